@@ -53,13 +53,21 @@ def parse_payload(text: Column | str) -> Column:
 
 def decode_messages(messages: DataFrame, strip: bool = True, fail_fast: bool = False,
                     line_col: str = "line") -> DataFrame:
-    """Add ``target_id BIGINT`` and ``count INT`` (NULL when undecodable) to every row."""
+    """Add ``target_id BIGINT`` and ``count INT`` (NULL when undecodable) to every row.
+
+    The parsed struct leaves through a one-element ``inline``. Catalyst
+    pushes filters through projections by copying the projected expression
+    into the filter, which would run ``from_json`` (no codegen path) once
+    per reference; filters are not pushed below a generator, so the JSON is
+    parsed exactly once per message however the rows are filtered later.
+    """
     payload = parse_payload(payload_text(line_col, strip))
     decoded = (messages
-               .withColumn("_payload", payload)
-               .withColumn("target_id", F.col("_payload.targetId").try_cast("bigint"))
-               .withColumn("count", F.col("_payload.count").try_cast("int"))
-               .drop("_payload"))
+               .select("*", F.inline(F.array(payload)))
+               .withColumnRenamed("count", "_count_text")
+               .withColumn("target_id", F.col("targetId").try_cast("bigint"))
+               .withColumn("count", F.col("_count_text").try_cast("int"))
+               .drop("targetId", "_count_text"))
     if fail_fast:
         bad = F.col("target_id").isNull() | F.col("count").isNull()
         message = F.concat(F.lit("undecodable message: "),

@@ -52,14 +52,34 @@ class JobLayout:
         return f"{self.table(name)}/batch_id={batch_id}"
 
 
-def _read_parts(spark: SparkSession, path: str, lo: int | None, hi: int) -> DataFrame | None:
+# Schemas of the job's output tables (explicit, so reading them back needs
+# no footer-inference job). ``batch_id`` comes from the folder names.
+SCHEMAS = {
+    "deltas": "target_id BIGINT, batch_count BIGINT",
+    "snapshots": "target_id BIGINT, view_count BIGINT",
+    "notices": "target_id BIGINT, notice_key STRING, view_count BIGINT",
+    "ledger": "topic STRING, partition INT, from_offset BIGINT, until_offset BIGINT",
+    "metrics": "n_rows BIGINT, n_rejected BIGINT",
+}
+
+
+def _read(spark: SparkSession, path: str, name: str) -> DataFrame:
+    reader = spark.read
+    if name in SCHEMAS:
+        reader = reader.schema(SCHEMAS[name] + ", batch_id BIGINT")
+    return reader.parquet(path)
+
+
+def _read_parts(spark: SparkSession, layout: JobLayout, name: str, lo: int | None,
+                hi: int) -> DataFrame | None:
     """Rows of ``batch_id`` partitions in ``(lo, hi)``; partition pruning skips the rest."""
+    path = layout.table(name)
     if not path_exists(spark, path):
         return None
     cond = F.col("batch_id") < F.lit(hi)
     if lo is not None:
         cond = cond & (F.col("batch_id") > F.lit(lo))
-    return spark.read.parquet(path).where(cond).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    return _read(spark, path, name).where(cond)
 
 
 def _history(spark: SparkSession, layout: JobLayout, before: int) -> DataFrame | None:
@@ -68,9 +88,9 @@ def _history(spark: SparkSession, layout: JobLayout, before: int) -> DataFrame |
     parts = []
     last_snap = snaps[-1] if snaps else None
     if last_snap is not None:
-        parts.append(spark.read.parquet(layout.part("snapshots", last_snap))
+        parts.append(spark.read.schema(SCHEMAS["snapshots"]).parquet(layout.part("snapshots", last_snap))
                      .select("target_id", F.col("view_count").alias("batch_count")))
-    later = _read_parts(spark, layout.table("deltas"), last_snap, before)
+    later = _read_parts(spark, layout, "deltas", last_snap, before)
     if later is not None:
         parts.append(later.select("target_id", "batch_count"))
     if not parts:
@@ -93,8 +113,8 @@ def read_counters(spark: SparkSession, out_dir: str) -> DataFrame:
 
 def read_output(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
     """One output table (``notices``, ``ledger``, ``rejected``, ``metrics``, ``deltas``)."""
-    return (spark.read.parquet(JobLayout(out_dir).table(name))
-            .withColumn("batch_id", F.col("batch_id").cast("bigint")))
+    return _read(spark, JobLayout(out_dir).table(name), name).withColumn(
+        "batch_id", F.col("batch_id").cast("bigint"))
 
 
 class PlayCountBatch:
@@ -118,35 +138,40 @@ class PlayCountBatch:
         # ``batch_id`` column of replayed messages would clash with it.
         decoded = decode_messages(messages.drop("batch_id"), strip=self.strip, fail_fast=self.fail_fast)
         decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
+        deltas = None
         try:
-            if decoded.isEmpty():
+            # One aggregate fills the cache and gives the row metrics (one row).
+            stats = decoded.agg(F.count(F.lit(1)).alias("n_rows"),
+                                F.count_if(~is_accepted()).alias("n_rejected")).first()
+            if stats["n_rows"] == 0:
                 return
-            (accepted(decoded).groupBy("target_id")
-             .agg(F.sum("count").cast("bigint").alias("batch_count"))
-             .write.mode("overwrite").parquet(lay.part("deltas", n)))
+            deltas = (accepted(decoded).groupBy("target_id")
+                      .agg(F.sum("count").cast("bigint").alias("batch_count"))
+                      .persist(StorageLevel.MEMORY_AND_DISK))
+            deltas.write.mode("overwrite").parquet(lay.part("deltas", n))
             if self.notify:
-                self._notices(spark, n).write.mode("overwrite").parquet(lay.part("notices", n))
+                self._notices(spark, deltas, n).write.mode("overwrite").parquet(lay.part("notices", n))
             (decoded.filter(~is_accepted()).drop("target_id", "count")
              .write.mode("overwrite").parquet(lay.part("rejected", n)))
-            (decoded.agg(F.count(F.lit(1)).alias("n_rows"),
-                         F.count_if(~is_accepted()).alias("n_rejected"))
+            (spark.createDataFrame([(stats["n_rows"], stats["n_rejected"])], SCHEMAS["metrics"])
              .write.mode("overwrite").parquet(lay.part("metrics", n)))
             (batch_ledger(decoded, n).drop("batch_id")
              .write.mode("overwrite").parquet(lay.part("ledger", n)))
             if self.compact_every and (n + 1) % self.compact_every == 0:
                 self._compact(spark, n)
         finally:
+            if deltas is not None:
+                deltas.unpersist()
             decoded.unpersist()
 
-    def _notices(self, spark: SparkSession, n: int) -> DataFrame:
-        touched = spark.read.parquet(self.layout.part("deltas", n)).select("target_id", "batch_count")
+    def _notices(self, spark: SparkSession, deltas: DataFrame, n: int) -> DataFrame:
         history = _history(spark, self.layout, n)
-        rows = touched
+        rows = deltas
         if history is not None:
-            rows = rows.unionByName(history.join(touched.select("target_id"), "target_id", "left_semi"))
+            rows = rows.unionByName(history.join(deltas.select("target_id"), "target_id", "left_semi"))
         totals = rows.groupBy("target_id").agg(F.sum("batch_count").cast("bigint").alias("view_count"))
         new = totals.filter(F.col("view_count") > F.lit(self.limit))
-        earlier = _read_parts(spark, self.layout.table("notices"), None, n)
+        earlier = _read_parts(spark, self.layout, "notices", None, n)
         if earlier is not None:
             new = new.join(earlier.select("target_id"), "target_id", "left_anti")
         return new.select("target_id", notice_key().alias("notice_key"), "view_count")

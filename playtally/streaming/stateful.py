@@ -24,6 +24,9 @@ from playtally.operators.notices import DEFAULT_LIMIT
 from playtally.session import path_exists
 from playtally.streaming.job import DEFAULT_TRIGGER
 
+TOTALS_SCHEMA = "target_id BIGINT, view_count BIGINT, batch_id BIGINT"
+NOTICES_SCHEMA = "target_id BIGINT, notice_key STRING, view_count BIGINT, batch_id BIGINT"
+
 
 def running_totals(decoded: DataFrame) -> DataFrame:
     return (accepted(decoded).groupBy("target_id")
@@ -47,7 +50,7 @@ def start_running_totals(decoded: DataFrame, out_dir: str, checkpoint: str,
 
 def latest_totals(spark: SparkSession, out_dir: str) -> DataFrame:
     """``target_id, view_count``: the last update of every target."""
-    return (spark.read.parquet(out_dir).groupBy("target_id")
+    return (spark.read.schema(TOTALS_SCHEMA).parquet(out_dir).groupBy("target_id")
             .agg(F.max_by("view_count", "batch_id").alias("view_count")))
 
 
@@ -61,7 +64,8 @@ class _NoticeWriter:
         n = int(batch_id)
         new = totals.filter(F.col("view_count") > F.lit(self.limit))
         if path_exists(spark, self.out_dir):
-            earlier = spark.read.parquet(self.out_dir).where(F.col("batch_id") < F.lit(n))
+            earlier = (spark.read.schema(NOTICES_SCHEMA).parquet(self.out_dir)
+                       .where(F.col("batch_id") < F.lit(n)))
             new = new.join(earlier.select("target_id"), "target_id", "left_anti")
         (new.select("target_id", notice_key().alias("notice_key"), "view_count")
          .write.mode("overwrite").parquet(f"{self.out_dir}/batch_id={n}"))
