@@ -1,0 +1,130 @@
+"""Streaming job and pure-state queries: stream = batch, replay, restart guard."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from playtally.functions.decode import decode_messages
+from playtally.operators import counts, metrics, notices, offsets
+from playtally.sources.messages import read_messages
+from playtally.streaming import job, stateful
+from playtally.streaming.replay import StagedReplay
+
+from conftest import SF_SMOKE
+
+ONCE = {"availableNow": True}
+
+# FIXTURES.md "Threshold" as messages (batch_id, target_id, count); limit 10.
+THRESHOLD_ROWS = [(0, 1, 4), (1, 1, 6), (2, 1, 1), (0, 2, 50), (0, 3, 12), (1, 3, -5), (2, 3, 9), (0, 4, 0)]
+
+
+def _fixture_messages(spark):
+    rows = [(i, b, "dmp", i % 2, i // 2, f'message: {{"targetId":{t},"count":{c}}}')
+            for i, (b, t, c) in enumerate(THRESHOLD_ROWS)]
+    rows.append((99, 1, "dmp", 1, 50, "not json"))
+    return spark.createDataFrame(
+        rows, "event_id BIGINT, batch_id BIGINT, topic STRING, partition INT, offset BIGINT, line STRING")
+
+
+def _rows(df, *cols):
+    return sorted(tuple(r) for r in df.select(*cols).collect())
+
+
+def _run_job(spark, table, root, limit, **kw):
+    replay = StagedReplay(spark, table, f"{root}/stage")
+    out, ck = f"{root}/out", f"{root}/ckpt"
+    ids = replay.run(lambda s: job.start_job(s, out, ck, limit=limit, trigger=ONCE, **kw))
+    return replay, ids, out, ck
+
+
+def test_job_equals_batch_replay(spark, scratch):
+    msgs = read_messages(spark, SF_SMOKE)
+    _, ids, out, _ = _run_job(spark, msgs, scratch, 3000)
+    assert ids == list(range(6))
+    decoded = decode_messages(msgs)
+    assert _rows(job.read_counters(spark, out), "target_id", "view_count") == \
+        _rows(counts.total_counts(decoded), "target_id", "view_count")
+    running = counts.running_counts(counts.batch_counts(decoded))
+    cols = ("batch_id", "target_id", "notice_key", "view_count")
+    assert _rows(job.read_output(spark, out, "notices"), *cols) == \
+        _rows(notices.threshold_notices(running, 3000), *cols)
+    cols = ("batch_id", "topic", "partition", "from_offset", "until_offset")
+    assert _rows(job.read_output(spark, out, "ledger"), *cols) == _rows(offsets.offset_ledger(msgs), *cols)
+    assert _rows(job.read_output(spark, out, "metrics"), "batch_id", "n_rows", "n_rejected") == \
+        _rows(metrics.batch_metrics(decoded), "batch_id", "n_rows", "n_rejected")
+    assert job.read_output(spark, out, "rejected").count() == \
+        decoded.filter("target_id IS NULL OR count IS NULL").count()
+
+
+def test_threshold_fixture_through_stream(spark, scratch):
+    _, ids, out, _ = _run_job(spark, _fixture_messages(spark), scratch, 10)
+    assert ids == [0, 1, 2]
+    assert _rows(job.read_output(spark, out, "notices"), "batch_id", "target_id", "view_count") == \
+        [(0, 2, 50), (0, 3, 12), (2, 1, 11)]
+    assert _rows(job.read_counters(spark, out), "target_id", "view_count") == [(1, 11), (2, 50), (3, 16), (4, 0)]
+
+
+def _snapshot(spark, out):
+    return {name: _rows(job.read_output(spark, out, name),
+                        *[c for c in job.read_output(spark, out, name).columns])
+            for name in ("deltas", "notices", "ledger", "metrics", "rejected")}
+
+
+def test_replaying_last_batch_changes_nothing(spark, scratch):
+    replay, ids, out, _ = _run_job(spark, _fixture_messages(spark), scratch, 10)
+    before = _snapshot(spark, out)
+    job.PlayCountBatch(out, limit=10)(replay.batch(ids[-1]), len(ids) - 1)
+    assert _snapshot(spark, out) == before
+    # Replaying a middle batch must not suppress its own notices either.
+    job.PlayCountBatch(out, limit=10)(replay.batch(0), 0)
+    assert _snapshot(spark, out) == before
+
+
+def test_refuses_new_checkpoint_on_old_output(spark, scratch):
+    replay, _, out, _ = _run_job(spark, _fixture_messages(spark), scratch, 10)
+    with pytest.raises(RuntimeError, match="no commit log"):
+        job.start_job(replay.stream(), out, f"{scratch}/other-ckpt", limit=10, trigger=ONCE)
+
+
+def test_restart_continues_from_checkpoint(spark, scratch):
+    """Each replayed batch is a restart; a restart with nothing new adds no batch."""
+    replay, ids, out, ck = _run_job(spark, _fixture_messages(spark), scratch, 10)
+    job.start_job(replay.stream(), out, ck, limit=10, trigger=ONCE).awaitTermination()
+    assert _rows(job.read_output(spark, out, "metrics"), "batch_id") == [(0,), (1,), (2,)]
+
+
+def test_empty_batch_writes_nothing(spark, scratch):
+    out = f"{scratch}/out"
+    empty = _fixture_messages(spark).filter("false")
+    job.PlayCountBatch(out, limit=10)(empty, 0)
+    from playtally.session import path_exists
+    assert not path_exists(spark, f"{out}/deltas") and not path_exists(spark, f"{out}/ledger")
+
+
+def test_compaction_keeps_results(spark, scratch):
+    msgs = read_messages(spark, SF_SMOKE)
+    _, _, out, _ = _run_job(spark, msgs, scratch, 3000, compact_every=2)
+    from playtally.session import partition_values
+    assert partition_values(spark, f"{out}/snapshots", "batch_id") == [1, 3, 5]
+    decoded = decode_messages(msgs)
+    assert _rows(job.read_counters(spark, out), "target_id", "view_count") == \
+        _rows(counts.total_counts(decoded), "target_id", "view_count")
+    running = counts.running_counts(counts.batch_counts(decoded))
+    assert _rows(job.read_output(spark, out, "notices"), "batch_id", "target_id", "view_count") == \
+        _rows(notices.threshold_notices(running, 3000), "batch_id", "target_id", "view_count")
+
+
+def test_pure_state_forms(spark, scratch):
+    replay = StagedReplay(spark, _fixture_messages(spark), f"{scratch}/stage")
+    replay.run(lambda s: stateful.start_running_totals(decode_messages(s), f"{scratch}/tot",
+                                                       f"{scratch}/ck1", ONCE))
+    assert _rows(stateful.latest_totals(spark, f"{scratch}/tot"), "target_id", "view_count") == \
+        [(1, 11), (2, 50), (3, 16), (4, 0)]
+    # Update mode emits exactly the touched targets with their new totals.
+    upd = spark.read.schema(stateful.TOTALS_SCHEMA).parquet(f"{scratch}/tot")
+    assert _rows(upd, "batch_id", "target_id", "view_count") == [
+        (0, 1, 4), (0, 2, 50), (0, 3, 12), (0, 4, 0), (1, 1, 10), (1, 3, 7), (2, 1, 11), (2, 3, 16)]
+    replay2 = StagedReplay(spark, _fixture_messages(spark), f"{scratch}/stage2")
+    replay2.run(lambda s: stateful.start_threshold_notices(decode_messages(s), f"{scratch}/nt",
+                                                           f"{scratch}/ck2", 10, ONCE))
+    got = spark.read.schema(stateful.NOTICES_SCHEMA).parquet(f"{scratch}/nt")
+    assert _rows(got, "batch_id", "target_id", "view_count") == [(0, 2, 50), (0, 3, 12), (2, 1, 11)]
