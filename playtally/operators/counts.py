@@ -50,6 +50,10 @@ def running_counts(deltas: DataFrame, block: int = RUNNING_BLOCK) -> DataFrame:
     batches (at most ``block`` rows per window group), plus the sum of all
     earlier blocks of the same target (a window over per-block totals, i.e.
     ``block`` times fewer rows), joined back on ``(target_id, block)``.
+
+    ``deltas`` is read by both levels, so pass a stored table (see
+    :func:`playtally.session.materialize`) rather than a plan over raw
+    messages, or the messages are scanned and decoded twice.
     """
     d = deltas.withColumn("_blk", F.expr(f"batch_id div {int(block)}"))
     in_block = (Window.partitionBy("target_id", "_blk").orderBy("batch_id")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from playtally.functions import decode as dec
 from playtally.functions.keys import counter_key, notice_key
 from playtally.operators import counts, metrics, notices, offsets
+from playtally.session import materialize
 from playtally.sources.messages import read_messages
 
 # Fixed parameters of the registered queries: the notice limit (totals per
@@ -74,8 +75,13 @@ def batch_counts_nostrip(spark, sf_dir):
     return counts.batch_counts(_decoded(spark, sf_dir, strip=False))
 
 
+def _stored_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-batch sums written once: the running sum reads them at two levels."""
+    return materialize(counts.batch_counts(_decoded(spark, sf_dir)), "deltas")
+
+
 def running_counts(spark, sf_dir):
-    return counts.running_counts(counts.batch_counts(_decoded(spark, sf_dir)))
+    return counts.running_counts(_stored_deltas(spark, sf_dir))
 
 
 def total_counts(spark, sf_dir):
@@ -111,11 +117,13 @@ def committed_offsets(spark, sf_dir):
 
 
 def resume_offsets(spark, sf_dir):
-    msgs = read_messages(spark, sf_dir)
-    ledger = (offsets.offset_ledger(msgs)
-              .filter((F.col("batch_id") < RESUME_BEFORE_BATCH)
+    """Positions from a stored ledger (as the job keeps it): every partition of
+    the ledger, at its committed offset before batch 3, partition 3 never committed."""
+    ledger = materialize(offset_ledger(spark, sf_dir), "ledger")
+    committed = offsets.committed_offsets(
+        ledger.filter((F.col("batch_id") < RESUME_BEFORE_BATCH)
                       & (F.col("partition") != RESUME_MISSING_PARTITION)))
-    return offsets.resume_offsets(offsets.topic_partitions(msgs), offsets.committed_offsets(ledger))
+    return offsets.resume_offsets(offsets.topic_partitions(ledger), committed)
 
 
 def scan_from_offsets(spark, sf_dir):

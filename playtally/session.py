@@ -82,3 +82,16 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[int]:
         if status.isDirectory() and name.startswith(prefix):
             values.append(int(name[len(prefix):]))
     return sorted(values)
+
+
+def materialize(df, name: str):
+    """Write ``df`` once to a fresh folder below the checkpoint folder and
+    return it read back (explicit schema, no inference job).
+
+    Cuts lineage where a plan would otherwise scan and compute the same
+    input twice (self-joins defeat exchange reuse); the folder lives on the
+    cluster's shared store, so lost executors lose nothing.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
