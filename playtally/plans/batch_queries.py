@@ -99,7 +99,9 @@ def threshold_notices(spark, sf_dir):
 def unnotified(spark, sf_dir):
     """Targets to notify in the last batch: over the limit there, no earlier notice."""
     running = running_counts(spark, sf_dir)
-    last = read_messages(spark, sf_dir).agg(F.max("batch_id")).scalar()
+    # One scalar (a one-row aggregate over one column), fetched once and then
+    # used as a literal in both filters.
+    last = read_messages(spark, sf_dir).agg(F.max("batch_id")).first()[0]
     earlier = notices.threshold_notices(running.filter(F.col("batch_id") < last), QUERY_LIMIT)
     return notices.unnotified(running.filter(F.col("batch_id") == last), earlier, QUERY_LIMIT)
 

@@ -7,6 +7,7 @@ session has no such folder (local runs, tests) is one made here.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -41,16 +42,28 @@ def build_session(master: str | None = None, app_name: str = "playtally",
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session, or None (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions have no SparkContext
+        return None
+
+
 def work_root(spark: SparkSession) -> str:
     """The reliable checkpoint folder of the session, made only if unset."""
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    sc = _context(spark)
+    root = sc.getCheckpointDir() if sc is not None else None
     if root:
         return root
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         # Local runs and tests only: a cluster names a shared folder here.
         configured = tempfile.mkdtemp(prefix="playtally-ckpt-")
+        if sc is None:
+            spark.conf.set("spark.checkpoint.dir", configured)
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
@@ -60,28 +73,39 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark).rstrip('/')}/playtally/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _hadoop_fs(spark: SparkSession, path: str):
+    sc = _context(spark)
+    if sc is None or getattr(sc, "_jvm", None) is None:
+        return None, None
+    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(sc._jsc.hadoopConfiguration()), hpath
+
+
+def _local(path: str) -> str:
+    return path[len("file:"):] if path.startswith("file:") else path
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence test through Hadoop's FileSystem, so any cluster store works."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _hadoop_fs(spark, path)
+    if fs is None:
+        return os.path.exists(_local(path))
     return bool(fs.exists(hpath))
 
 
 def partition_values(spark: SparkSession, path: str, column: str) -> list[int]:
     """Integer values of ``column=N`` sub-folders of ``path`` (folder listing only)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return []
     prefix = f"{column}="
-    values = []
-    for status in fs.listStatus(hpath):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(prefix):
-            values.append(int(name[len(prefix):]))
-    return sorted(values)
+    fs, hpath = _hadoop_fs(spark, path)
+    if fs is None:
+        local = _local(path)
+        names = [n for n in os.listdir(local) if os.path.isdir(os.path.join(local, n))] \
+            if os.path.isdir(local) else []
+    else:
+        if not fs.exists(hpath):
+            return []
+        names = [st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory()]
+    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
 
 
 def materialize(df, name: str):
