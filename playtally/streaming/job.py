@@ -155,8 +155,9 @@ class PlayCountBatch:
              .write.mode("overwrite").parquet(lay.part("rejected", n)))
             (spark.createDataFrame([(stats["n_rows"], stats["n_rejected"])], SCHEMAS["metrics"])
              .write.mode("overwrite").parquet(lay.part("metrics", n)))
-            (batch_ledger(decoded, n).drop("batch_id")
-             .write.mode("overwrite").parquet(lay.part("ledger", n)))
+            if {"topic", "partition", "offset"} <= set(decoded.columns):  # log lines have no offsets
+                (batch_ledger(decoded, n).drop("batch_id")
+                 .write.mode("overwrite").parquet(lay.part("ledger", n)))
             if self.compact_every and (n + 1) % self.compact_every == 0:
                 self._compact(spark, n)
         finally:
