@@ -12,8 +12,11 @@ the handler, in order:
 4. writes ``notices/batch_id=N``: totals over the limit, ``left_anti`` on
    notices of batches before ``N`` (the notice table is the "already
    notified" flag, never cleared);
-5. writes rejected rows, row metrics and the offset ledger of the batch;
-6. every ``compact_every`` batches writes a full counter snapshot.
+5. writes rejected rows and row metrics (steps 2-5 run as concurrent Spark
+   jobs over the cached batch);
+6. every ``compact_every`` batches writes a full counter snapshot;
+7. writes the offset ledger of the batch last: a ledger row marks the batch
+   as complete.
 
 Every output is an overwrite of its own ``batch_id=N`` folder and reads only
 batches before ``N``, so re-running a batch after a failure (Spark re-runs
@@ -23,6 +26,7 @@ counts are exactly-once even though the reference's increments were not.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -148,18 +152,27 @@ class PlayCountBatch:
             deltas = (accepted(decoded).groupBy("target_id")
                       .agg(F.sum("count").cast("bigint").alias("batch_count"))
                       .persist(StorageLevel.MEMORY_AND_DISK))
-            deltas.write.mode("overwrite").parquet(lay.part("deltas", n))
+            writes = [
+                lambda: deltas.write.mode("overwrite").parquet(lay.part("deltas", n)),
+                lambda: (decoded.filter(~is_accepted()).drop("target_id", "count")
+                         .write.mode("overwrite").parquet(lay.part("rejected", n))),
+                lambda: (spark.createDataFrame([(stats["n_rows"], stats["n_rejected"])], SCHEMAS["metrics"])
+                         .write.mode("overwrite").parquet(lay.part("metrics", n))),
+            ]
             if self.notify:
-                self._notices(spark, deltas, n).write.mode("overwrite").parquet(lay.part("notices", n))
-            (decoded.filter(~is_accepted()).drop("target_id", "count")
-             .write.mode("overwrite").parquet(lay.part("rejected", n)))
-            (spark.createDataFrame([(stats["n_rows"], stats["n_rejected"])], SCHEMAS["metrics"])
-             .write.mode("overwrite").parquet(lay.part("metrics", n)))
+                writes.append(lambda: self._notices(spark, deltas, n)
+                              .write.mode("overwrite").parquet(lay.part("notices", n)))
+            # Independent outputs of one cached batch: run them as concurrent
+            # Spark jobs (small ones no longer queue behind large ones).
+            with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+                for f in [pool.submit(w) for w in writes]:
+                    f.result()
+            if self.compact_every and (n + 1) % self.compact_every == 0:
+                self._compact(spark, n)
+            # The ledger goes last: a ledger row means the batch is complete.
             if {"topic", "partition", "offset"} <= set(decoded.columns):  # log lines have no offsets
                 (batch_ledger(decoded, n).drop("batch_id")
                  .write.mode("overwrite").parquet(lay.part("ledger", n)))
-            if self.compact_every and (n + 1) % self.compact_every == 0:
-                self._compact(spark, n)
         finally:
             if deltas is not None:
                 deltas.unpersist()
