@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from playtally.session import partition_values
+
 
 class StagedReplay:
     def __init__(self, spark: SparkSession, table: DataFrame, root: str,
@@ -33,14 +35,15 @@ class StagedReplay:
         self.fmt = fmt
         self.to_files = to_files or (lambda df: df)
         table.write.mode("errorifexists").partitionBy(batch_col).parquet(self.source)
+        self._stored_schema = spark.read.parquet(self.source).schema   # inferred once
         self._schema = self.to_files(self._stored()).schema
 
     def _stored(self) -> DataFrame:
-        return self.spark.read.parquet(self.source)
+        return self.spark.read.schema(self._stored_schema).parquet(self.source)
 
     def batch_ids(self) -> list[int]:
-        rows = self._stored().select(self.batch_col).distinct().orderBy(self.batch_col).collect()
-        return [r[0] for r in rows]
+        """Stored batch ids, from the partition folder names (no Spark job)."""
+        return partition_values(self.spark, self.source, self.batch_col)
 
     def batch(self, batch_id: int) -> DataFrame:
         """Rows of one stored batch, in the shape the stream reads."""
