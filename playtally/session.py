@@ -27,6 +27,9 @@ SESSION_DEFAULTS = {
     # Counter and dedup state lives for ever (one entry per target): keep it
     # off-heap in RocksDB instead of the JVM heap.
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    # Commit only the changed keys per batch (snapshots are made in the
+    # background) instead of uploading a full RocksDB snapshot every batch.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
