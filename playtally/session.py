@@ -61,6 +61,10 @@ def work_root(spark: SparkSession) -> str:
         return root
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach; "
+                               "a machine-local temporary folder does not survive lost executors")
         # Local runs and tests only: a cluster names a shared folder here.
         configured = tempfile.mkdtemp(prefix="playtally-ckpt-")
         if sc is None:
