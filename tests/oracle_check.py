@@ -1,6 +1,6 @@
 """Compare registered queries with their DuckDB oracles (rows, column names, values).
 
-Usage: python tests/oracle_check.py [sf_dir] [query ...]
+Usage: python tests/oracle_check.py [--plain] [sf_dir] [query ...]
 """
 
 from __future__ import annotations
@@ -66,12 +66,19 @@ def compare(spark, con, name, fn, sql, sf_dir):
 
 
 def main(argv):
+    plain = "--plain" in argv      # a bare session, as a caller might hand in
+    argv = [a for a in argv if a != "--plain"]
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     wanted = argv[2:]
     import __spark_entry__ as entry
     from playtally.session import build_session
 
-    spark = build_session("local[8]", conf={"spark.sql.shuffle.partitions": "8"})
+    if plain:
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.ui.enabled", "false").getOrCreate())
+    else:
+        spark = build_session("local[8]", conf={"spark.sql.shuffle.partitions": "8"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     qs, sqls = entry.queries(), entry.oracle_sql()
