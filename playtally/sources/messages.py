@@ -13,13 +13,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playtally.functions.decode import PREFIX
+
 # Fixed values of the message fixture (must stay as they are for the
 # expected results): topic name, number of topic partitions, days per
-# micro-batch, the prefix and the two divisors that make bad messages.
+# micro-batch and the two divisors that make bad messages.
 TOPIC = "dmp"
 TOPIC_PARTITIONS = 4
 DAYS_PER_BATCH = 5
-PREFIX = "message: "
 NOT_JSON_EVERY = 101
 NO_COUNT_EVERY = 103
 

@@ -128,3 +128,13 @@ def test_pure_state_forms(spark, scratch):
                                                            f"{scratch}/ck2", 10, ONCE))
     got = spark.read.schema(stateful.NOTICES_SCHEMA).parquet(f"{scratch}/nt")
     assert _rows(got, "batch_id", "target_id", "view_count") == [(0, 2, 50), (0, 3, 12), (2, 1, 11)]
+
+
+def test_observed_metrics_on_stream(spark, scratch):
+    from playtally.operators.metrics import observe_batch
+    replay = StagedReplay(spark, _fixture_messages(spark), f"{scratch}/stage")
+    replay.release(0)
+    q = (observe_batch(decode_messages(replay.stream()), "msgs").writeStream.format("noop")
+         .option("checkpointLocation", f"{scratch}/ck").trigger(**ONCE).start())
+    q.awaitTermination()
+    assert q.lastProgress["observedMetrics"]["msgs"].asDict() == {"n_rows": 4, "n_rejected": 0}
