@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from playtally.functions.keys import notice_key, notice_value
 
-# Fixed value: the notice limit of the reference job (strictly greater than).
+# The notice limit of the reference job (strictly greater than)
+# and the queue its notices go to.
 DEFAULT_LIMIT = 10
+NOTICE_QUEUE = "mq.message"
 
 
 def over_threshold(running: DataFrame, limit: int = DEFAULT_LIMIT) -> DataFrame:
@@ -47,3 +49,9 @@ def unnotified(totals: DataFrame, notices: DataFrame, limit: int = DEFAULT_LIMIT
 def notice_payload(notices: DataFrame) -> DataFrame:
     """``target_id, value``: the message sent for each notice (JSON ``{"targetId": n}``)."""
     return notices.select("target_id", notice_value().alias("value"))
+
+
+def notice_sink_rows(notices: DataFrame, topic: str = NOTICE_QUEUE) -> DataFrame:
+    """Notices as Kafka sink rows: ``key`` = notice key, ``value`` = notice body, ``topic``."""
+    return notices.select(F.col("notice_key").alias("key"), notice_value().alias("value"),
+                          F.lit(topic).alias("topic"))

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import argparse
 
-from playtally.operators.notices import DEFAULT_LIMIT
+from playtally.operators.notices import DEFAULT_LIMIT, NOTICE_QUEUE, notice_sink_rows
 from playtally.session import build_session
 from playtally.sources.kafka import DEFAULT_TOPIC, kafka_messages, kafka_options, read_kafka
 from playtally.sources.logs import read_log_lines
@@ -38,9 +38,18 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--no-strip", action="store_true", help="parse raw lines (no prefix strip, no trim)")
     p.add_argument("--fail-fast", action="store_true")
     p.add_argument("--compact-every", type=int, default=DEFAULT_COMPACT_EVERY)
+    p.add_argument("--notice-topic", help=f"also send notices to this Kafka topic (e.g. {NOTICE_QUEUE})")
     return p.parse_args(argv)
 
 
+def kafka_notice_sender(bootstrap: str, topic: str):
+    """``on_notices`` hook writing each batch's notices to a Kafka topic."""
+    def send(notices, batch_id):
+        (notice_sink_rows(notices, topic).write.format("kafka")
+         .option("kafka.bootstrap.servers", bootstrap).save())
+    return send
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parse_args(argv)
     spark = build_session(app_name="playtally-job")
@@ -51,10 +60,15 @@ def main(argv: list[str] | None = None) -> None:
         messages = kafka_messages(read_kafka(spark, opts))
     else:
         messages = read_log_lines(spark, args.log_dir)
+    on_notices = None
+    if args.notice_topic:
+        if not args.bootstrap:
+            raise SystemExit("--notice-topic needs --bootstrap")
+        on_notices = kafka_notice_sender(args.bootstrap, args.notice_topic)
     query = start_job(messages, args.out, args.checkpoint, limit=args.limit,
                       trigger={"processingTime": args.trigger}, strip=not args.no_strip,
                       fail_fast=args.fail_fast, compact_every=args.compact_every,
-                      query_name="playtally")
+                      query_name="playtally", on_notices=on_notices)
     query.awaitTermination()
 
 

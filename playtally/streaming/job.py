@@ -26,6 +26,7 @@ counts are exactly-once even though the reference's increments were not.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -126,8 +127,10 @@ class PlayCountBatch:
 
     def __init__(self, out_dir: str, limit: int = DEFAULT_LIMIT, strip: bool = True,
                  notify: bool = True, fail_fast: bool = False,
-                 compact_every: int | None = DEFAULT_COMPACT_EVERY):
+                 compact_every: int | None = DEFAULT_COMPACT_EVERY,
+                 on_notices: Callable[[DataFrame, int], None] | None = None):
         self.layout = JobLayout(out_dir)
+        self.on_notices = on_notices
         self.limit = limit
         self.strip = strip
         self.notify = notify
@@ -167,6 +170,11 @@ class PlayCountBatch:
             with ThreadPoolExecutor(max_workers=len(writes)) as pool:
                 for f in [pool.submit(w) for w in writes]:
                     f.result()
+            if self.notify and self.on_notices is not None:
+                # Deliver the batch's stored notices (e.g. Kafka rows or a
+                # per-partition service call); a replayed batch re-delivers.
+                stored = spark.read.schema(SCHEMAS["notices"]).parquet(lay.part("notices", n))
+                self.on_notices(stored.withColumn("batch_id", F.lit(n).cast("bigint")), n)
             if self.compact_every and (n + 1) % self.compact_every == 0:
                 self._compact(spark, n)
             # The ledger goes last: a ledger row means the batch is complete.
@@ -199,7 +207,8 @@ class PlayCountBatch:
 def start_job(messages: DataFrame, out_dir: str, checkpoint: str, limit: int = DEFAULT_LIMIT,
               trigger: dict | None = None, strip: bool = True, notify: bool = True,
               fail_fast: bool = False, compact_every: int | None = DEFAULT_COMPACT_EVERY,
-              query_name: str | None = None) -> StreamingQuery:
+              query_name: str | None = None,
+              on_notices: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
     """Start the job on a streaming message DataFrame (``topic, partition, offset, line``).
 
     Refuses to start when the output folder holds results but the checkpoint
@@ -210,7 +219,8 @@ def start_job(messages: DataFrame, out_dir: str, checkpoint: str, limit: int = D
             not path_exists(spark, f"{checkpoint.rstrip('/')}/commits"):
         raise RuntimeError(f"{out_dir} holds job output but {checkpoint} has no commit log")
     handler = PlayCountBatch(out_dir, limit=limit, strip=strip, notify=notify,
-                             fail_fast=fail_fast, compact_every=compact_every)
+                             fail_fast=fail_fast, compact_every=compact_every,
+                             on_notices=on_notices)
     writer = (messages.writeStream.foreachBatch(handler)
               .option("checkpointLocation", checkpoint)
               .trigger(**(trigger or DEFAULT_TRIGGER)))
