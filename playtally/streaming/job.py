@@ -3,7 +3,8 @@
 One stateless decoded stream feeds ``foreachBatch``; for micro-batch ``N``
 the handler, in order:
 
-1. persists the decoded batch and returns at once if it is empty;
+1. persists the decoded batch; one aggregate fills the cache and gives the
+   row metrics; an empty batch returns at once (no output at all);
 2. writes the per-target sums of the batch to ``deltas/batch_id=N``
    (the counter increment, one row per touched target);
 3. computes the new totals of the touched targets only: this batch's deltas
@@ -14,7 +15,8 @@ the handler, in order:
    notified" flag, never cleared);
 5. writes rejected rows and row metrics (steps 2-5 run as concurrent Spark
    jobs over the cached batch);
-6. every ``compact_every`` batches writes a full counter snapshot;
+6. hands the batch's notices to ``on_notices`` if given (Kafka rows, a
+   service call); every ``compact_every`` batches writes a counter snapshot;
 7. writes the offset ledger of the batch last: a ledger row marks the batch
    as complete.
 

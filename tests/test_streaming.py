@@ -168,3 +168,21 @@ def test_random_split_through_the_job(spark, scratch):
         _rows(totals, "target_id", "view_count")
     notified = {r.target_id for r in job.read_output(spark, out, "notices").collect()}
     assert notified == {r.target_id for r in totals.filter("view_count > 3000").collect()}
+
+
+def test_batch_of_only_rejected_messages(spark, scratch):
+    rows = [(1, 0, "dmp", 0, 0, '{"targetId":1,"count":20}'),
+            (2, 1, "dmp", 0, 1, "not json"), (3, 1, "dmp", 1, 0, None),
+            (4, 2, "dmp", 0, 2, '{"targetId":1,"count":1}')]
+    msgs = spark.createDataFrame(
+        rows, "event_id BIGINT, batch_id BIGINT, topic STRING, partition INT, offset BIGINT, line STRING")
+    _, ids, out, _ = _run_job(spark, msgs, scratch, 10)
+    assert ids == [0, 1, 2]
+    assert _rows(job.read_counters(spark, out), "target_id", "view_count") == [(1, 21)]
+    assert _rows(job.read_output(spark, out, "notices"), "batch_id", "target_id", "view_count") == [(0, 1, 20)]
+    assert _rows(job.read_output(spark, out, "metrics"), "batch_id", "n_rows", "n_rejected") == \
+        [(0, 1, 0), (1, 2, 2), (2, 1, 0)]
+    assert _rows(job.read_output(spark, out, "ledger"), "batch_id", "partition", "from_offset", "until_offset") == \
+        [(0, 0, 0, 1), (1, 0, 1, 2), (1, 1, 0, 1), (2, 0, 2, 3)]
+    assert _rows(job.read_output(spark, out, "deltas"), "batch_id", "target_id", "batch_count") == \
+        [(0, 1, 20), (2, 1, 1)]
