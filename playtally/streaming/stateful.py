@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from playtally.functions.decode import accepted
+from playtally.functions.decode import accepted, decode_messages
 from playtally.functions.keys import notice_key
 from playtally.operators.notices import DEFAULT_LIMIT
 from playtally.session import path_exists
@@ -78,3 +78,25 @@ def start_threshold_notices(decoded: DataFrame, out_dir: str, checkpoint: str,
             .foreachBatch(_NoticeWriter(out_dir, limit))
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or DEFAULT_TRIGGER)).start())
+
+
+def start_split_job(messages: DataFrame, out_dir: str, checkpoint: str, limit: int = DEFAULT_LIMIT,
+                    trigger: dict | None = None, strip: bool = True) -> list[StreamingQuery]:
+    """The job for very large key spaces: two queries on the same source.
+
+    The stateless job writes deltas, rejected rows, metrics and the ledger;
+    a stateful query keeps the totals in the state store and writes notices
+    to the same ``notices/batch_id=N`` layout, so a batch never reads other
+    targets' history. Both queries see the same micro-batches when started
+    together with ``availableNow``.
+    """
+    from playtally.streaming.job import JobLayout, start_job
+
+    lay = JobLayout(out_dir)
+    ck = checkpoint.rstrip("/")
+    return [
+        start_job(messages, out_dir, f"{ck}/job", limit=limit, trigger=trigger, strip=strip,
+                  notify=False),
+        start_threshold_notices(decode_messages(messages, strip=strip), lay.table("notices"),
+                                f"{ck}/notices", limit=limit, trigger=trigger),
+    ]

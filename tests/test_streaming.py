@@ -186,3 +186,16 @@ def test_batch_of_only_rejected_messages(spark, scratch):
         [(0, 0, 0, 1), (1, 0, 1, 2), (1, 1, 0, 1), (2, 0, 2, 3)]
     assert _rows(job.read_output(spark, out, "deltas"), "batch_id", "target_id", "batch_count") == \
         [(0, 1, 20), (2, 1, 1)]
+
+
+def test_split_job_for_large_key_spaces(spark, scratch):
+    replay = StagedReplay(spark, _fixture_messages(spark), f"{scratch}/stage")
+    out, ck = f"{scratch}/out", f"{scratch}/ck"
+    for b in replay.batch_ids():
+        replay.release(b)
+        for q in stateful.start_split_job(replay.stream(), out, ck, limit=10, trigger=ONCE):
+            q.awaitTermination()
+    assert _rows(job.read_output(spark, out, "notices"), "batch_id", "target_id", "view_count") == \
+        [(0, 2, 50), (0, 3, 12), (2, 1, 11)]
+    assert _rows(job.read_counters(spark, out), "target_id", "view_count") == [(1, 11), (2, 50), (3, 16), (4, 0)]
+    assert _rows(job.read_output(spark, out, "ledger"), "batch_id", "partition") == [(0, 0), (0, 1), (1, 1), (2, 0)]
