@@ -92,6 +92,7 @@ _BODIES = {
                            'count(*) FILTER (WHERE target_id IS NULL OR "count" IS NULL) n_rejected '
                            'FROM A GROUP BY batch_id'),
     "stream_replay": TOTALS,
+    "stream_split_job": "SELECT batch_id, target_id, notice_key, view_count FROM N",
     "counter_table": ("SELECT target_id, 'view:count:' || target_id AS counter_key, "
                       'CAST(sum("count") AS BIGINT) view_count FROM D GROUP BY target_id'),
 }

@@ -104,6 +104,17 @@ def stream_replay(spark, sf_dir):
     return job.read_counters(spark, out).select("target_id", "view_count")
 
 
+def stream_split_job(spark, sf_dir):
+    """Large-key-space form: stateless outputs + state-store totals for notices."""
+    root, replay = _setup(spark, sf_dir, "stream_split_job")
+    out, ck = f"{root}/out", f"{root}/checkpoint"
+    for b in replay.batch_ids():
+        replay.release(b)
+        for q in stateful.start_split_job(replay.stream(), out, ck, limit=QUERY_LIMIT, trigger=RUN_ONCE):
+            q.awaitTermination()
+    return job.read_output(spark, out, "notices").select("batch_id", "target_id", "notice_key", "view_count")
+
+
 def counter_table(spark, sf_dir):
     """Batch form of the counter sink: per-batch deltas written with dynamic
     partition overwrite (idempotent per batch), counters = sum of deltas."""
@@ -125,5 +136,6 @@ STREAM_QUERIES = {
     "stream_job_ledger": stream_job_ledger,
     "stream_job_metrics": stream_job_metrics,
     "stream_replay": stream_replay,
+    "stream_split_job": stream_split_job,
     "counter_table": counter_table,
 }
