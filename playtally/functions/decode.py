@@ -53,7 +53,8 @@ def parse_payload(text: Column | str) -> Column:
 
 def decode_messages(messages: DataFrame, strip: bool = True, fail_fast: bool = False,
                     line_col: str = "line") -> DataFrame:
-    """Add ``target_id BIGINT`` and ``count INT`` (NULL when undecodable) to every row.
+    """Add ``target_id BIGINT`` and ``count INT`` (NULL when undecodable) to every row
+    (replacing columns of those names, so decoding twice is harmless).
 
     The parsed struct leaves through a one-element ``inline``. Catalyst
     pushes filters through projections by copying the projected expression
@@ -61,13 +62,15 @@ def decode_messages(messages: DataFrame, strip: bool = True, fail_fast: bool = F
     per reference; filters are not pushed below a generator, so the JSON is
     parsed exactly once per message however the rows are filtered later.
     """
-    payload = parse_payload(payload_text(line_col, strip))
-    decoded = (messages
+    # A positional struct cast gives the parsed fields private names, so they
+    # cannot collide with the input's columns (e.g. an existing ``count``).
+    payload = parse_payload(payload_text(line_col, strip)).cast(
+        "struct<_target_text: string, _count_text: string>")
+    decoded = (messages.drop("target_id", "count")
                .select("*", F.inline(F.array(payload)))
-               .withColumnRenamed("count", "_count_text")
-               .withColumn("target_id", F.col("targetId").try_cast("bigint"))
+               .withColumn("target_id", F.col("_target_text").try_cast("bigint"))
                .withColumn("count", F.col("_count_text").try_cast("int"))
-               .drop("targetId", "_count_text"))
+               .drop("_target_text", "_count_text"))
     if fail_fast:
         bad = F.col("target_id").isNull() | F.col("count").isNull()
         message = F.concat(F.lit("undecodable message: "),

@@ -76,7 +76,8 @@ def main(argv):
     if plain:
         from pyspark.sql import SparkSession
         spark = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
-                 .config("spark.ui.enabled", "false").getOrCreate())
+                 .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+                 .getOrCreate())
     else:
         spark = build_session("local[8]", conf={"spark.sql.shuffle.partitions": "8"})
     spark.sparkContext.setLogLevel("ERROR")

@@ -97,3 +97,12 @@ def test_strip_prefix_only_first(spark):
     df = spark.createDataFrame([("message: message: x",), ("xmessage: y",), ("message: ",)], "l STRING")
     got = [r[0] for r in df.select(dec.strip_prefix("l")).collect()]
     assert got == ["message: x", "xmessage: y", ""]
+
+
+def test_decode_twice_and_existing_count_column(spark):
+    df = spark.createDataFrame([(1, '{"targetId":7,"count":3}', 99)], "event_id BIGINT, line STRING, count INT")
+    once = dec.decode_messages(df)
+    twice = dec.decode_messages(once)
+    for d in (once, twice):
+        assert d.columns == ["event_id", "line", "target_id", "count"]
+        assert tuple(d.first()) == (1, '{"targetId":7,"count":3}', 7, 3)
