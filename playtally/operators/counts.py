@@ -40,7 +40,8 @@ def totals_from_deltas(deltas: DataFrame) -> DataFrame:
             .select("target_id", counter_key().alias("counter_key"), "view_count"))
 
 
-def running_counts(deltas: DataFrame, block: int = RUNNING_BLOCK) -> DataFrame:
+def running_counts(deltas: DataFrame, block: int = RUNNING_BLOCK,
+                   max_batch_id: int | None = None) -> DataFrame:
     """``batch_id, target_id, view_count``: new total of each target after each batch.
 
     ``deltas`` has one row per ``(batch_id, target_id)``. A plain window over
@@ -51,7 +52,8 @@ def running_counts(deltas: DataFrame, block: int = RUNNING_BLOCK) -> DataFrame:
     earlier blocks of the same target (a window over per-block totals, i.e.
     ``block`` times fewer rows), joined back on ``(target_id, block)``.
 
-    ``deltas`` is read by both levels, so pass a stored table (see
+    With ``max_batch_id`` below ``block`` (and batch ids >= 0) only the first
+    level is needed. ``deltas`` is read by both levels, so pass a stored table (see
     :func:`playtally.session.materialize`) rather than a plan over raw
     messages, or the messages are scanned and decoded twice.
     """
@@ -59,6 +61,10 @@ def running_counts(deltas: DataFrame, block: int = RUNNING_BLOCK) -> DataFrame:
     in_block = (Window.partitionBy("target_id", "_blk").orderBy("batch_id")
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     within = d.withColumn("_within", F.sum("batch_count").over(in_block))
+    if max_batch_id is not None and 0 <= max_batch_id < block:
+        # Every batch is in block 0 (caller knows batch ids are >= 0 and the
+        # largest): no earlier blocks, so no second level, shuffle or join.
+        return within.select("batch_id", "target_id", F.col("_within").cast("bigint").alias("view_count"))
     earlier_blocks = (Window.partitionBy("target_id").orderBy("_blk")
                       .rowsBetween(Window.unboundedPreceding, -1))
     before = (d.groupBy("target_id", "_blk")

@@ -81,7 +81,11 @@ def _stored_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def running_counts(spark, sf_dir):
-    return counts.running_counts(_stored_deltas(spark, sf_dir))
+    deltas = _stored_deltas(spark, sf_dir)
+    # Batch id range of the stored deltas (one-row aggregate of a small table):
+    # lets the running sum skip its second level when all batches share a block.
+    lo, hi = deltas.agg(F.min("batch_id"), F.max("batch_id")).first()
+    return counts.running_counts(deltas, max_batch_id=hi if lo is not None and lo >= 0 else None)
 
 
 def total_counts(spark, sf_dir):

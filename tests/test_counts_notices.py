@@ -99,3 +99,12 @@ def test_hot_key_running_sum(spark):
     got = {(r.batch_id, r.target_id): r.view_count for r in running.collect()}
     assert got[(299, 1)] == 300 and got[(15, 1)] == 16 and got[(16, 1)] == 17
     assert got[(294, 2)] == 2 * 43
+
+
+def test_single_block_shortcut_equals_two_levels(spark):
+    rows = [(b, t, b * t) for b in range(20) for t in range(1, 4)]
+    deltas = counts.batch_counts(_decoded(spark, rows))
+    short = counts.running_counts(deltas, block=64, max_batch_id=19)
+    full = counts.running_counts(deltas, block=4)
+    assert sorted(tuple(r) for r in short.collect()) == sorted(tuple(r) for r in full.collect())
+    assert "Join" not in short._jdf.queryExecution().optimizedPlan().toString()
