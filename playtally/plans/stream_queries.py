@@ -65,16 +65,18 @@ def stream_threshold_notices(spark, sf_dir):
     return spark.read.schema(stateful.NOTICES_SCHEMA).parquet(out).select("target_id", "view_count")
 
 
-def run_job(spark: SparkSession, sf_dir: str, name: str, replay_last: bool = False):
+def run_job(spark: SparkSession, sf_dir: str, name: str, replay_last: bool = False,
+            compact_every: int | None = job.DEFAULT_COMPACT_EVERY):
     """Run the full job over the replayed messages; returns the output folder."""
     root, replay = _setup(spark, sf_dir, name)
     out, ck = f"{root}/out", f"{root}/checkpoint"
-    ids = replay.run(lambda s: job.start_job(s, out, ck, limit=QUERY_LIMIT, trigger=RUN_ONCE))
+    ids = replay.run(lambda s: job.start_job(s, out, ck, limit=QUERY_LIMIT, trigger=RUN_ONCE,
+                                             compact_every=compact_every))
     if replay_last and ids:
         # What Spark does when the last batch ran but its commit was lost:
         # the same rows are handed to the handler again under the same id.
         last = len(ids) - 1
-        job.PlayCountBatch(out, limit=QUERY_LIMIT)(replay.batch(ids[last]), last)
+        job.PlayCountBatch(out, limit=QUERY_LIMIT, compact_every=compact_every)(replay.batch(ids[last]), last)
     return out
 
 
@@ -100,7 +102,9 @@ def stream_job_metrics(spark, sf_dir):
 
 
 def stream_replay(spark, sf_dir):
-    out = run_job(spark, sf_dir, "stream_replay", replay_last=True)
+    """Replay of the last batch, with a counter snapshot every two batches, so
+    the replayed batch also rewrites a snapshot."""
+    out = run_job(spark, sf_dir, "stream_replay", replay_last=True, compact_every=2)
     return job.read_counters(spark, out).select("target_id", "view_count")
 
 

@@ -89,9 +89,12 @@ def _read_parts(spark: SparkSession, layout: JobLayout, name: str, lo: int | Non
     return _read(spark, path, name).where(cond)
 
 
-def _history(spark: SparkSession, layout: JobLayout, before: int) -> DataFrame | None:
-    """``target_id, batch_count`` rows whose sum per target is the total before batch ``before``."""
-    snaps = [s for s in partition_values(spark, layout.table("snapshots"), "batch_id") if s < before]
+def _history(spark: SparkSession, layout: JobLayout, before: int,
+             snapshot_before: int | None = None) -> DataFrame | None:
+    """``target_id, batch_count`` rows whose sum per target is the total before batch ``before``:
+    the latest snapshot older than ``snapshot_before`` (default ``before``) plus later deltas."""
+    limit = before if snapshot_before is None else snapshot_before
+    snaps = [s for s in partition_values(spark, layout.table("snapshots"), "batch_id") if s < limit]
     parts = []
     last_snap = snaps[-1] if snaps else None
     if last_snap is not None:
@@ -201,7 +204,9 @@ class PlayCountBatch:
         return new.select("target_id", notice_key().alias("notice_key"), "view_count")
 
     def _compact(self, spark: SparkSession, n: int) -> None:
-        history = _history(spark, self.layout, n + 1)
+        # Built from older snapshots only, so re-running batch n never reads
+        # the snapshot it is about to replace.
+        history = _history(spark, self.layout, n + 1, snapshot_before=n)
         (history.groupBy("target_id").agg(F.sum("batch_count").cast("bigint").alias("view_count"))
          .write.mode("overwrite").parquet(self.layout.part("snapshots", n)))
 

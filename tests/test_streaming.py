@@ -199,3 +199,16 @@ def test_split_job_for_large_key_spaces(spark, scratch):
         [(0, 2, 50), (0, 3, 12), (2, 1, 11)]
     assert _rows(job.read_counters(spark, out), "target_id", "view_count") == [(1, 11), (2, 50), (3, 16), (4, 0)]
     assert _rows(job.read_output(spark, out, "ledger"), "batch_id", "partition") == [(0, 0), (0, 1), (1, 1), (2, 0)]
+
+
+def test_replay_of_a_compaction_batch(spark, scratch):
+    msgs = read_messages(spark, SF_SMOKE)
+    replay = StagedReplay(spark, msgs, f"{scratch}/stage")
+    out, ck = f"{scratch}/out", f"{scratch}/ck"
+    ids = replay.run(lambda s: job.start_job(s, out, ck, limit=3000, trigger=ONCE, compact_every=2))
+    snap = _rows(spark.read.parquet(f"{out}/snapshots/batch_id=5"), "target_id", "view_count")
+    before = _snapshot(spark, out)
+    job.PlayCountBatch(out, limit=3000, compact_every=2)(replay.batch(ids[-1]), len(ids) - 1)
+    assert _snapshot(spark, out) == before
+    assert _rows(spark.read.parquet(f"{out}/snapshots/batch_id=5"), "target_id", "view_count") == snap
+    assert snap == _rows(counts.total_counts(decode_messages(msgs)), "target_id", "view_count")
