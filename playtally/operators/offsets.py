@@ -58,7 +58,12 @@ def scan_from_offsets(messages: DataFrame, positions: DataFrame) -> DataFrame:
 
 def starting_offsets_json(positions: DataFrame) -> DataFrame:
     """One row, one column ``starting_offsets``: ``{"topic":{"0":n,...}}`` for Kafka's
-    ``startingOffsets`` option."""
+    ``startingOffsets`` option.
+
+    The option is a single string, so the last step is one group; its input
+    is one row per topic partition (bounded by the topics' partition counts,
+    not by data volume).
+    """
     per_topic = (positions.groupBy("topic")
                  .agg(F.map_from_entries(F.collect_list(
                      F.struct(F.col("partition").cast("string"), F.col("from_offset")))).alias("p")))
