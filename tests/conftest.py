@@ -2,6 +2,12 @@ import os
 import sys
 
 import pytest
+from hypothesis import settings
+
+# PLAYTALLY_HYPOTHESIS=deep runs the property tests with many more examples.
+settings.register_profile("default", max_examples=25, deadline=None)
+settings.register_profile("deep", max_examples=300, deadline=None)
+settings.load_profile(os.environ.get("PLAYTALLY_HYPOTHESIS", "default"))
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
