@@ -91,6 +91,8 @@ _BODIES = {
     "stream_job_metrics": ('SELECT batch_id, count(*) n_rows, '
                            'count(*) FILTER (WHERE target_id IS NULL OR "count" IS NULL) n_rejected '
                            'FROM A GROUP BY batch_id'),
+    "stream_job_deltas": "SELECT batch_id, target_id, batch_count FROM C",
+    "stream_job_rejected": 'SELECT batch_id, event_id, line FROM A WHERE target_id IS NULL OR "count" IS NULL',
     "stream_replay": TOTALS,
     "stream_split_job": "SELECT batch_id, target_id, notice_key, view_count FROM N",
     "counter_table": ("SELECT target_id, 'view:count:' || target_id AS counter_key, "

@@ -101,6 +101,16 @@ def stream_job_metrics(spark, sf_dir):
     return job.read_output(spark, out, "metrics").select("batch_id", "n_rows", "n_rejected")
 
 
+def stream_job_deltas(spark, sf_dir):
+    out = run_job(spark, sf_dir, "stream_job_deltas")
+    return job.read_output(spark, out, "deltas").select("batch_id", "target_id", "batch_count")
+
+
+def stream_job_rejected(spark, sf_dir):
+    out = run_job(spark, sf_dir, "stream_job_rejected")
+    return job.read_output(spark, out, "rejected").select("batch_id", "event_id", "line")
+
+
 def stream_replay(spark, sf_dir):
     """Replay of the last batch, with a counter snapshot every two batches, so
     the replayed batch also rewrites a snapshot."""
@@ -139,6 +149,8 @@ STREAM_QUERIES = {
     "stream_job_notices": stream_job_notices,
     "stream_job_ledger": stream_job_ledger,
     "stream_job_metrics": stream_job_metrics,
+    "stream_job_deltas": stream_job_deltas,
+    "stream_job_rejected": stream_job_rejected,
     "stream_replay": stream_replay,
     "stream_split_job": stream_split_job,
     "counter_table": counter_table,
