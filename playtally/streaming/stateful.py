@@ -48,6 +48,16 @@ def start_running_totals(decoded: DataFrame, out_dir: str, checkpoint: str,
             .trigger(**(trigger or DEFAULT_TRIGGER)).start())
 
 
+def read_state_totals(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``target_id, view_count`` read straight from the aggregate's state store
+    (Spark's state data source): one row per target, the counter lookup of
+    the reference, without scanning the update history."""
+    state = spark.read.format("statestore").load(checkpoint)
+    total_field = state.schema["value"].dataType.fieldNames()[0]   # the sum buffer
+    return state.select(F.col("key.target_id").alias("target_id"),
+                        F.col(f"value.{total_field}").cast("bigint").alias("view_count"))
+
+
 def latest_totals(spark: SparkSession, out_dir: str) -> DataFrame:
     """``target_id, view_count``: the last update of every target."""
     return (spark.read.schema(TOTALS_SCHEMA).parquet(out_dir).groupBy("target_id")

@@ -119,6 +119,8 @@ def test_pure_state_forms(spark, scratch):
                                                        f"{scratch}/ck1", ONCE))
     assert _rows(stateful.latest_totals(spark, f"{scratch}/tot"), "target_id", "view_count") == \
         [(1, 11), (2, 50), (3, 16), (4, 0)]
+    assert _rows(stateful.read_state_totals(spark, f"{scratch}/ck1"), "target_id", "view_count") == \
+        [(1, 11), (2, 50), (3, 16), (4, 0)]
     # Update mode emits exactly the touched targets with their new totals.
     upd = spark.read.schema(stateful.TOTALS_SCHEMA).parquet(f"{scratch}/tot")
     assert _rows(upd, "batch_id", "target_id", "view_count") == [
