@@ -87,3 +87,28 @@ def test_cli_args():
     assert a.topic == "dmp" and a.limit == 10 and a.trigger == "10 seconds" and a.min_partitions == 64
     b = cli.parse_args(["--log-dir", "d", "--out", "o", "--checkpoint", "c", "--no-strip"])
     assert b.log_dir == "d" and b.no_strip
+
+
+def test_cli_main_runs_until_stopped(spark, scratch):
+    """main() starts the job on a log folder and blocks until the query stops."""
+    import threading
+    import time
+
+    from playtally.session import path_exists
+
+    logs = f"{scratch}/logs"
+    _fixture_messages(spark).selectExpr("line AS value").where("value IS NOT NULL").write.text(logs)
+    out, ck = f"{scratch}/out", f"{scratch}/ck"
+    runner = threading.Thread(target=cli.main, args=(["--log-dir", logs, "--out", out, "--checkpoint", ck,
+                                                      "--trigger", "1 second"],), daemon=True)
+    runner.start()
+    deadline = time.time() + 120
+    while time.time() < deadline and not path_exists(spark, f"{out}/metrics"):
+        time.sleep(1)
+    for q in spark.streams.active:
+        q.processAllAvailable()
+        q.stop()
+    runner.join(60)
+    assert not runner.is_alive()
+    got = sorted(tuple(r) for r in read_counters(spark, out).select("target_id", "view_count").collect())
+    assert got == [(1, 11), (2, 50), (3, 16), (4, 0)]
