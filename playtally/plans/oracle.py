@@ -84,7 +84,7 @@ _BODIES = {
     "stream_scan": 'SELECT topic, "partition", "offset", line FROM M',
     "log_ingest": "SELECT replace(replace(line, chr(13), ''), chr(10), '') AS line FROM M",
     "stream_running_counts": TOTALS,
-    "stream_threshold_notices": "SELECT target_id, view_count FROM N",
+    "stream_threshold_notices": "SELECT batch_id, target_id, notice_key, view_count FROM N",
     "stream_job": TOTALS,
     "stream_job_notices": "SELECT batch_id, target_id, notice_key, view_count FROM N",
     "stream_job_ledger": 'SELECT batch_id, topic, "partition", from_offset, until_offset FROM L',

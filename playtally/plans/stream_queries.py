@@ -63,7 +63,8 @@ def stream_threshold_notices(spark, sf_dir):
     out, ck = f"{root}/out", f"{root}/checkpoint"
     replay.run(lambda s: stateful.start_threshold_notices(decode_messages(s), out, ck,
                                                           QUERY_LIMIT, RUN_ONCE))
-    return spark.read.schema(stateful.NOTICES_SCHEMA).parquet(out).select("target_id", "view_count")
+    return spark.read.schema(stateful.NOTICES_SCHEMA).parquet(out).select(
+        "batch_id", "target_id", "notice_key", "view_count")
 
 
 def run_job(spark: SparkSession, sf_dir: str, name: str, replay_last: bool = False,
