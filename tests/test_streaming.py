@@ -214,3 +214,15 @@ def test_replay_of_a_compaction_batch(spark, scratch):
     assert _snapshot(spark, out) == before
     assert _rows(spark.read.parquet(f"{out}/snapshots/batch_id=5"), "target_id", "view_count") == snap
     assert snap == _rows(counts.total_counts(decode_messages(msgs)), "target_id", "view_count")
+
+
+def test_streaming_aggregate_pre_aggregates_before_state(spark, scratch):
+    """Hot targets in a stream: a partial sum runs before the shuffle into the state store."""
+    replay = StagedReplay(spark, _fixture_messages(spark), f"{scratch}/stage")
+    replay.release(0)
+    q = stateful.start_running_totals(decode_messages(replay.stream()), f"{scratch}/tot",
+                                      f"{scratch}/ck", ONCE)
+    q.awaitTermination()
+    plan = q._jsq.explainInternal(False)
+    assert "StateStoreSave" in plan and "partial_sum" in plan
+    assert plan.index("StateStoreRestore") < plan.index("partial_sum")   # partial sum sits below
