@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from playtally.llm import op02_quality_rules as op02
+from playtally.llm import op05_warc as op05
+from playtally.llm import op08_mixing as op08
 from playtally.llm.common import read_table
 
 
@@ -14,9 +16,20 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op02.apply_policy(op02.ledger(read_table(spark, sf_dir, "documents")))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op05.archive_round_trip(read_table(spark, sf_dir, "pages"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op08.taken_words(op08.plan_mix(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op5_warc": op5_warc,
+    "op8_mixing": op8_mixing,
 }
 ORACLES: dict[str, str] = {
     "op2_quality_rules": op02.ORACLE,
+    "op5_warc": op05.ORACLE,
 }
