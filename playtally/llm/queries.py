@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from playtally.llm import op02_quality_rules as op02
 from playtally.llm import op05_warc as op05
+from playtally.llm import op07_token_output as op07
 from playtally.llm import op08_mixing as op08
 from playtally.llm.common import read_table
 
@@ -20,6 +21,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op05.archive_round_trip(read_table(spark, sf_dir, "pages"))
 
 
+def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op07.token_output(read_table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op08.taken_words(op08.plan_mix(read_table(spark, sf_dir, "documents")))
 
@@ -27,6 +32,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op5_warc": op5_warc,
+    "op7_token_output": op7_token_output,
     "op8_mixing": op8_mixing,
 }
 ORACLES: dict[str, str] = {
