@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from playtally.llm import op02_quality_rules as op02
+from playtally.llm import op04_decontamination as op04
 from playtally.llm import op05_warc as op05
 from playtally.llm import op07_token_output as op07
 from playtally.llm import op08_mixing as op08
@@ -17,6 +18,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op02.apply_policy(op02.ledger(read_table(spark, sf_dir, "documents")))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = op04.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op05.archive_round_trip(read_table(spark, sf_dir, "pages"))
 
@@ -31,11 +37,13 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op4_decontamination": op4_decontamination,
     "op5_warc": op5_warc,
     "op7_token_output": op7_token_output,
     "op8_mixing": op8_mixing,
 }
 ORACLES: dict[str, str] = {
     "op2_quality_rules": op02.ORACLE,
+    "op4_decontamination": op04.ORACLE,
     "op5_warc": op05.ORACLE,
 }
