@@ -35,55 +35,22 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playtally.llm.textscan import byte_class, scan_words, shards
+
 WINDOW = 10
 DEPTH = 16                  # words by which suffixes are sorted
 SHARD_WORDS = 400_000
 BLOCK_BYTES = 16 << 20      # benchmark text searched at once
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A"):ord("Z") + 1] += 32
-# Word bytes: digits, a-z after lower-casing, and every byte of a non-ASCII character.
-_IS_WORD = np.zeros(256, dtype=bool)
-_IS_WORD[ord("0"):ord("9") + 1] = _IS_WORD[ord("a"):ord("z") + 1] = _IS_WORD[128:] = True
-_BASES = (np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xC2B2AE3D27D4EB4F | 1))
+# Word bytes after lower-casing: digits, a-z, and every byte of a non-ASCII character.
+_WORD_BYTES = byte_class(range(ord("0"), ord("9") + 1), range(ord("a"), ord("z") + 1), range(128, 256))
 
 MATCH_SCHEMA = ("struct<n_words: bigint, n_hit: bigint, spans: array<bigint>, items: array<string>, "
                 "longest: bigint, longest_start: bigint, longest_item: string>")
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def word_ids(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit ids of all texts' words, and where each text's words begin (one entry more)."""
-    lists = texts.cast(pa.large_binary())
-    offsets = np.frombuffer(lists.buffers()[1], dtype=np.int64)[lists.offset:lists.offset + len(lists) + 1]
-    if lists.buffers()[2] is None or offsets[-1] == offsets[0]:
-        return np.zeros(0, np.uint64), np.zeros(len(lists) + 1, np.int64)
-    raw = _LOWER[np.frombuffer(lists.buffers()[2], dtype=np.uint8)[offsets[0]:offsets[-1]]]
-    offsets = offsets - offsets[0]
-    word = _IS_WORD[raw]
-    begins = word.copy()
-    begins[1:] &= ~word[:-1]
-    cuts = offsets[:-1][offsets[:-1] < len(raw)]
-    begins[cuts] = word[cuts]  # a text's first byte never continues the text before
-    starts = np.flatnonzero(begins)
-    if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(len(lists) + 1, np.int64)
-    where = np.flatnonzero(word)
-    length = np.diff(np.append(np.searchsorted(where, starts), len(where)))
-    inside = np.arange(len(where)) - np.repeat(np.cumsum(length) - length, length)
-    value = raw[where].astype(np.uint64) + np.uint64(1)
-    first = np.cumsum(length) - length
-    ids = np.zeros(len(starts), np.uint64)
-    with np.errstate(over="ignore"):
-        for base in _BASES:
-            power = np.cumprod(np.concatenate(([np.uint64(1)], np.full(int(length.max()), base))))
-            ids = _mix(ids ^ np.add.reduceat(value * power[inside], first)) + length.astype(np.uint64)
-    return ids, np.searchsorted(starts, offsets)
+    return scan_words(texts, _WORD_BYTES)
 
 
 def suffix_array(ids: np.ndarray, edges: np.ndarray, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
@@ -221,17 +188,6 @@ def _bisect(ids: np.ndarray, order: np.ndarray, ends: np.ndarray, d: int, want:
     return lo
 
 
-def _shards(texts: pa.Array, words_per_shard: int = SHARD_WORDS) -> Iterator[pa.Array]:
-    """Consecutive whole texts of about ``words_per_shard`` words (six bytes a word)."""
-    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
-    at = 0
-    while at < len(texts):
-        base = sizes[at - 1] if at else 0
-        stop = max(at + 1, int(np.searchsorted(sizes, base + 6 * words_per_shard, side="right")))
-        yield texts.slice(at, stop - at)
-        at = stop
-
-
 def _benchmark_blocks(benchmark: DataFrame, item_id: str, text: str, window: int,
                       block_bytes: int) -> Iterator[Benchmark]:
     """The items in blocks of bounded size, read one partition at a time."""
@@ -255,7 +211,7 @@ def _matcher(block: Broadcast) -> Callable:
         items: Benchmark = block.value
         for texts, earlier in batches:
             texts, at, parts = pc.fill_null(texts, ""), 0, []
-            for shard in _shards(texts):
+            for shard in shards(texts, 6 * SHARD_WORDS):  # six bytes a word, about
                 parts.append(items.matches(shard, earlier.slice(at, len(shard)).to_pylist()))
                 at += len(shard)
             yield pa.concat_arrays(parts) if parts else pa.array([], items.RESULT)
