@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from playtally.llm import op02_quality_rules as op02
+from playtally.llm import op03_jaccard_join as op03
 from playtally.llm import op04_decontamination as op04
 from playtally.llm import op05_warc as op05
 from playtally.llm import op07_token_output as op07
@@ -18,6 +19,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op02.apply_policy(op02.ledger(read_table(spark, sf_dir, "documents")))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op03.similar_documents(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op04.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -37,6 +43,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_decontamination": op4_decontamination,
     "op5_warc": op5_warc,
     "op7_token_output": op7_token_output,
