@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from playtally.llm import op01_quality_gam as op01
 from playtally.llm import op02_quality_rules as op02
 from playtally.llm import op03_jaccard_join as op03
 from playtally.llm import op04_decontamination as op04
@@ -15,6 +16,10 @@ from playtally.llm import op08_mixing as op08
 from playtally.llm.common import read_table
 
 
+def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op01.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op02.apply_policy(op02.ledger(read_table(spark, sf_dir, "documents")))
 
@@ -42,6 +47,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_gam": op1_quality_gam,
     "op2_quality_rules": op2_quality_rules,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_decontamination": op4_decontamination,
