@@ -11,8 +11,10 @@ from playtally.llm import op02_quality_rules as op02
 from playtally.llm import op03_jaccard_join as op03
 from playtally.llm import op04_decontamination as op04
 from playtally.llm import op05_warc as op05
+from playtally.llm import op06_html_extraction as op06
 from playtally.llm import op07_token_output as op07
 from playtally.llm import op08_mixing as op08
+from playtally.llm import op10_line_dedup as op10
 from playtally.llm.common import read_table
 
 
@@ -38,6 +40,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op05.archive_round_trip(read_table(spark, sf_dir, "pages"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op06.extract_pages(read_table(spark, sf_dir, "pages"))
+
+
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op07.token_output(read_table(spark, sf_dir, "documents"))
 
@@ -46,17 +52,24 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op08.taken_words(op08.plan_mix(read_table(spark, sf_dir, "documents")))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10.clean_documents(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_gam": op1_quality_gam,
     "op2_quality_rules": op2_quality_rules,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_decontamination": op4_decontamination,
     "op5_warc": op5_warc,
+    "op6_html_extraction": op6_html_extraction,
     "op7_token_output": op7_token_output,
     "op8_mixing": op8_mixing,
+    "op10_line_dedup": op10_line_dedup,
 }
 ORACLES: dict[str, str] = {
     "op2_quality_rules": op02.ORACLE,
     "op4_decontamination": op04.ORACLE,
     "op5_warc": op05.ORACLE,
+    "op10_line_dedup": op10.ORACLE,
 }
