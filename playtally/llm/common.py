@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,3 +25,16 @@ def words(text: Column) -> Column:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did.
+
+    Enough for local runs and for clusters whose nodes share or hold the code; elsewhere submit
+    the package with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *known])

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playtally.llm.common import words
+from playtally.llm.common import share_package, words
 
 SAMPLE_ROWS = 40_000     # labelled rows the model is fitted on, at most
 FOLDS = 5
@@ -224,6 +224,7 @@ def score_documents(docs: DataFrame, model: Gam, doc_id: str = "doc_id", text: s
         for columns in batches:
             yield pa.array(model.score(np.stack([c.to_numpy(zero_copy_only=False) for c in columns], axis=1)))
 
+    share_package(docs.sparkSession)
     scored = features(docs, doc_id, text).select("doc_id", score(*FEATURES).alias("score"))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -15,8 +15,8 @@ documents link when ``100 * intersection >= percent * union``.
 3. *Equal sets* become one class (two 64-bit sums over the set), and classes
    with the same size and prefix one group.
 4. *Groups meet.* Per prefix shingle, each group is paired with the group that
-   holds it earliest (the hub) if sizes and positions allow a link; members
-   meet their group's first member. Pairs are verified on the whole sets, links
+   holds it earliest (the hub) if sizes and positions allow a link, and expanded
+   to its members, which also meet their group's first member. Pairs are verified on the whole sets, links
    become components. Then groups of one shingle that are still in different
    components are paired, again under the size and position filters, expanded
    to their members and verified. Members of one component are never paired
@@ -42,6 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from playtally.llm.common import share_package
 from playtally.llm.graph import components
 from playtally.llm.textscan import NOT_SPACE, mix, scan_words, shards
 from playtally.session import materialize
@@ -210,6 +211,7 @@ def document_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", w
                   percent: int = PERCENT) -> DataFrame:
     """SET_SCHEMA per row of ``docs``, stored: size, set sums, kept prefix shingles with their
     ranks and, where there are any, the whole set."""
+    share_package(docs.sparkSession)
     slim = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(LEAST_PARTS, math.ceil(size / PART_BYTES))
@@ -324,9 +326,19 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
                     F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links")))
 
 
-def keep_one_per_component(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """Pipeline form: the row of each component's smallest doc_id (all columns of ``docs``)."""
-    kept = (similar_documents(docs, doc_id, **options).filter("doc_id = component_id")
-            .select(F.col("doc_id").alias("_kept")).distinct())
+def keep_one_per_component(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """Pipeline form: of each component one row stays, its smallest doc_id's (all columns of
+    ``docs``); of rows that repeat that doc_id one with the least text stays. Rows with a null doc_id all stay.
+
+    The texts meet the ids to remove, which are few, not the ids to keep.
+    """
+    found = similar_documents(docs, doc_id, text, **options).filter("doc_id is not null")
+    ids = materialize(found.groupBy("doc_id").agg(F.min("component_id").alias("component"), F.count(F.lit(1)).alias("n"))
+                      .filter("n > 1 or doc_id <> component"), "jaccard-remove")
     rows = docs.select(F.struct(*docs.columns).alias("_row"))
-    return rows.join(kept, F.col(f"_row.{doc_id}") == F.col("_kept"), "left_semi").select("_row.*")
+    key = F.col(f"_row.{doc_id}") == F.col("_id")
+    once = rows.join(ids.select(F.col("doc_id").alias("_id")), key, "left_anti")
+    repeated = (rows.join(ids.filter("doc_id = component").select(F.col("doc_id").alias("_id")), key, "left_semi")
+                .groupBy(F.col(f"_row.{doc_id}").alias("_id"))
+                .agg(F.min_by("_row", f"_row.{text}").alias("_row")).select("_row"))
+    return once.union(repeated).select("_row.*")

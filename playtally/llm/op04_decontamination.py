@@ -35,6 +35,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playtally.llm.common import share_package
 from playtally.llm.textscan import byte_class, scan_words, shards
 
 WINDOW = 10
@@ -227,6 +228,7 @@ def match_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", i
     adds to the spans, items and longest match of the earlier ones.
     """
     spark = docs.sparkSession
+    share_package(spark)
     found = docs.select(F.struct(*docs.columns).alias("doc"), F.lit(None).cast(MATCH_SCHEMA).alias("match"))
     for block in _benchmark_blocks(benchmark, item_id, item_text, window, block_bytes):
         matcher = _matcher(spark.sparkContext.broadcast(block))

@@ -38,6 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playtally.llm.common import share_package
 from playtally.llm.labelled_pages import labelled_pages
 from playtally.llm.textscan import shards
 
@@ -310,6 +311,7 @@ def extract(pages: list[Page], model: TreeModel) -> list[str]:
 
 def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages``."""
+    share_package(pages.sparkSession)
     model = train_model()
 
     @F.arrow_udf("string")

@@ -47,7 +47,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from playtally.llm.common import shuffle_width
+from playtally.llm.common import share_package, shuffle_width
 from playtally.session import scratch_dir
 
 END_ID = 2
@@ -190,6 +190,7 @@ def _slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
 
 def train_dictionary(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> bytes:
     """The shared dictionary, from a bounded sample of documents chosen by id hash."""
+    share_package(docs.sparkSession)
     n = docs.count()
     if not n:
         return b""

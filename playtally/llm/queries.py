@@ -14,6 +14,7 @@ from playtally.llm import op05_warc as op05
 from playtally.llm import op06_html_extraction as op06
 from playtally.llm import op07_token_output as op07
 from playtally.llm import op08_mixing as op08
+from playtally.llm import op09_license_scan as op09
 from playtally.llm import op10_line_dedup as op10
 from playtally.llm.common import read_table
 
@@ -52,6 +53,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op08.taken_words(op08.plan_mix(read_table(spark, sf_dir, "documents")))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op09.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10.clean_documents(read_table(spark, sf_dir, "documents"))
 
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_html_extraction": op6_html_extraction,
     "op7_token_output": op7_token_output,
     "op8_mixing": op8_mixing,
+    "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
 }
 ORACLES: dict[str, str] = {
