@@ -8,7 +8,7 @@
 2. *Whole passes and a cutoff.* Each document has a pseudo-random position in
    [0, 2**63) from its id. A source gives ``passes`` whole copies of itself plus
    the documents at positions up to ``cutoff`` and up to FILLS later documents,
-   each the largest that still fits. The cutoff comes from a radix selection over 12-bit position
+   each the largest that still fits, the last the nearest. The cutoff comes from a radix selection over 12-bit position
    buckets (two levels, then the documents of one bucket in 16.7 million), so no
    task holds a source, however hot.
 3. *Blocks.* Consecutive positions form blocks of about ``block_words`` words; a
@@ -47,7 +47,7 @@ WEIGHTS = (1, 2, 3)
 MAX_PASSES = 3
 BLOCK_WORDS = 50_000      # a block's words, about
 SHARD_WORDS = 5_000_000   # an output shard's words, about
-FILLS = 4                 # documents beyond the cutoff that may fill a source's gap
+FILLS = 5                 # documents beyond the cutoff that may fill a source's gap
 
 
 @dataclass(frozen=True)
@@ -126,7 +126,7 @@ def _radix_step(sizes: DataFrame, wanted: DataFrame, shift: int) -> DataFrame:
 def _cutoffs(sizes: DataFrame, planned: DataFrame) -> DataFrame:
     """``s, cutoff, extra``: the partial pass takes the documents at positions up to ``cutoff``,
     as many as fit, and up to FILLS later documents (positions ``extra``), each the largest that
-    still fits."""
+    still fits (the last the nearest)."""
     wanted = planned.filter("rest > 0").select(
         F.col("source").alias("s"), F.lit(0).cast("bigint").alias("lo"), F.lit(0).cast("bigint").alias("base"), "rest")
     for shift in (51, 39):
@@ -140,10 +140,13 @@ def _cutoffs(sizes: DataFrame, planned: DataFrame) -> DataFrame:
             F.coalesce(F.max(F.when(fits, F.col("pos"))), F.min("lo") - 1).alias("cutoff"),
             (F.first("rest") - F.coalesce(F.max(F.when(fits, F.col("cum"))), F.first("base"))).alias("gap"),
             F.array().cast("array<bigint>").alias("extra")), "mix-cutoff")
-    for _ in range(FILLS):
+    for turn in range(FILLS):
+        # The last one may go over, if that comes nearer.
+        most = F.col("gap") if turn < FILLS - 1 else 2 * F.col("gap")
         best = (sizes.join(cut, _same("source", "s") & (F.col("pos") > F.col("cutoff")) & (F.col("size") > 0)
-                           & (F.col("size") <= F.col("gap")) & ~F.array_contains("extra", F.col("pos")))
-                .groupBy(F.col("s").alias("_s")).agg(F.max(F.struct("size", "pos")).alias("best")))
+                           & (F.col("size") <= most) & ~F.array_contains("extra", F.col("pos")))
+                .groupBy(F.col("s").alias("_s"))
+                .agg(F.min(F.struct(F.abs(F.col("gap") - F.col("size")).alias("off"), "pos", "size")).alias("best")))
         cut = materialize(cut.join(best, _same("s", "_s"), "left").select(
             "s", "cutoff", (F.col("gap") - F.coalesce("best.size", F.lit(0))).alias("gap"),
             F.when(F.col("best").isNotNull(), F.array_append("extra", F.col("best.pos")))
