@@ -49,8 +49,8 @@ from playtally.session import materialize
 
 WIDTH = 4
 PERCENT = 85
-PART_BYTES = 24 << 20     # text of a document part, about
-SLICE_BYTES = 4 << 20     # text handled at once inside a task
+PART_BYTES = 16 << 20     # text of a document part, about
+SLICE_BYTES = 3 << 20     # text handled at once inside a task
 LEAST_PARTS = 32
 
 _BITS = np.uint64(40)     # low bits of a shingle kept inside a bucket
@@ -289,10 +289,11 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         grouped.groupBy("token").agg(F.min(F.struct("rank", "n", "gid")).alias("h"), F.count(F.lit(1)).alias("c"))
         .filter("c > 1").select("token", "h.rank", "h.n", "h.gid"), "jaccard-hubs")
     met = (grouped.alias("x").join(hubs.alias("y"), F.col("x.token") == F.col("y.token"))
-           .filter(_may_link("x", "y", percent)).select(*_pairs("x.gid", "y.gid")))
+           .filter(_may_link("x", "y", percent)).select(F.col("x.gid").alias("_g"), F.col("y.gid").alias("_hub")).distinct())
+    expanded = members.join(met, F.col("gid") == F.col("_g")).select(*_pairs("rep", "_hub"))
     inside = members.filter("rep <> gid").select(*_pairs("rep", "gid"))
     whole = active.select("rep", "shingles")
-    first = materialize(met.union(inside).distinct(), "jaccard-pairs")
+    first = materialize(expanded.union(inside).distinct(), "jaccard-pairs")
     links = materialize(_verified(first, whole, percent), "jaccard-links")
     reached = components(links)
 
