@@ -3,7 +3,7 @@
 A ledger row records the half-open offset range ``[from_offset,
 until_offset)`` of one topic partition in one batch; an empty batch writes no
 row. Positions (one row per topic partition) are tiny and bounded by the
-topic's partition count, so joins against them broadcast after a size check.
+topic's partition count, so Spark broadcasts them in joins by their stored size.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playtally.plans.broadcast import broadcast_if_bounded
+from playtally.plans.broadcast import stored_side
 
 TP = ["topic", "partition"]
 
@@ -46,11 +46,11 @@ def resume_offsets(partitions: DataFrame, committed: DataFrame) -> DataFrame:
 def scan_from_offsets(messages: DataFrame, positions: DataFrame) -> DataFrame:
     """Messages at or after the start position of their partition.
 
-    The position table is broadcast once its row count is checked, so the
-    message side is never shuffled (a partition holding a third of all
-    messages costs nothing extra); above the bound Spark shuffles instead.
+    The position table is stored, so Spark broadcasts it by its known size and the
+    message side is not shuffled (a partition holding a third of all
+    messages costs nothing extra); a side above Spark's threshold is shuffled.
     """
-    pos = broadcast_if_bounded(positions.select(*TP, "from_offset"))
+    pos = stored_side(positions.select(*TP, "from_offset"))
     return (messages.join(pos, TP)
             .filter(F.col("offset") >= F.col("from_offset"))
             .drop("from_offset"))

@@ -14,6 +14,7 @@ from playtally.functions import decode as dec
 from playtally.functions.keys import counter_key, notice_key
 from playtally.operators import counts, metrics, notices, offsets
 from playtally.session import materialize
+from playtally.sources.kafka import as_kafka_rows, kafka_messages
 from playtally.sources.messages import read_messages
 
 # Fixed parameters of the registered queries: the notice limit (totals per
@@ -22,6 +23,9 @@ from playtally.sources.messages import read_messages
 QUERY_LIMIT = 3000
 RESUME_BEFORE_BATCH = 3
 RESUME_MISSING_PARTITION = 3
+# Batches per block of the registered running sums: the table has six batches, so both
+# levels of the sum have work.
+QUERY_BLOCK = 2
 
 
 def _decoded(spark: SparkSession, sf_dir: str, strip: bool = True) -> DataFrame:
@@ -29,7 +33,8 @@ def _decoded(spark: SparkSession, sf_dir: str, strip: bool = True) -> DataFrame:
 
 
 def message_value(spark, sf_dir):
-    return read_messages(spark, sf_dir).select("event_id", "line")
+    """Messages as Kafka rows (key and value bytes) and back through the Kafka adapter."""
+    return kafka_messages(as_kafka_rows(read_messages(spark, sf_dir))).select("topic", "partition", "offset", "line")
 
 
 def topic_partitions(spark, sf_dir):
@@ -81,11 +86,7 @@ def _stored_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def running_counts(spark, sf_dir):
-    deltas = _stored_deltas(spark, sf_dir)
-    # Batch id range of the stored deltas (one-row aggregate of a small table):
-    # lets the running sum skip its second level when all batches share a block.
-    lo, hi = deltas.agg(F.min("batch_id"), F.max("batch_id")).first()
-    return counts.running_counts(deltas, max_batch_id=hi if lo is not None and lo >= 0 else None)
+    return counts.running_counts(_stored_deltas(spark, sf_dir), block=QUERY_BLOCK)
 
 
 def total_counts(spark, sf_dir):
@@ -102,10 +103,9 @@ def threshold_notices(spark, sf_dir):
 
 def unnotified(spark, sf_dir):
     """Targets to notify in the last batch: over the limit there, no earlier notice."""
-    running = running_counts(spark, sf_dir)
-    # One scalar (a one-row aggregate over one column), fetched once and then
-    # used as a literal in both filters.
-    last = read_messages(spark, sf_dir).agg(F.max("batch_id")).first()[0]
+    # Stored once, read on both sides of the anti join; its largest batch id is one scalar.
+    running = materialize(running_counts(spark, sf_dir), "running")
+    last = running.agg(F.max("batch_id")).first()[0]
     earlier = notices.threshold_notices(running.filter(F.col("batch_id") < last), QUERY_LIMIT)
     return notices.unnotified(running.filter(F.col("batch_id") == last), earlier, QUERY_LIMIT)
 

@@ -1,25 +1,17 @@
-"""Broadcast behind a measured size bound.
+"""A join side whose size Spark knows.
 
-A join side is broadcast only after its row count has been measured and found
-within ``max_rows``; above that the plain DataFrame is returned and Spark
-plans a shuffle join (with AQE skew splitting). The side is first written
-once to the shared scratch folder, so the count (answered from Parquet
-metadata) and the join read the same stored rows: nothing is computed twice,
-nothing stays cached, and a lost executor loses nothing.
+The side is written once to the shared scratch folder. Spark then plans the
+join with the stored table's size: it broadcasts the side by itself when it is
+below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise. Nothing
+is hinted, computed twice or cached, and a lost executor loses nothing.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from playtally.session import materialize
 
-# A topic partition position row is ~40 bytes; 1M rows stay far below the
-# default 8 GB broadcast ceiling and well inside executor memory.
-DEFAULT_MAX_ROWS = 1_000_000
 
-
-def broadcast_if_bounded(side: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    side = materialize(side, "join-side")
-    return F.broadcast(side) if side.count() <= max_rows else side
+def stored_side(side: DataFrame) -> DataFrame:
+    return materialize(side, "join-side")

@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from playtally.operators import offsets
-from playtally.plans.broadcast import broadcast_if_bounded
+from playtally.plans.broadcast import stored_side
 
 MSG = "batch_id BIGINT, topic STRING, partition INT, offset BIGINT, line STRING"
 
@@ -56,10 +56,16 @@ def test_scan_from_offsets_broadcasts(spark):
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
 
 
-def test_broadcast_only_within_bound(spark):
-    side = spark.range(10)
-    assert "broadcast" in str(broadcast_if_bounded(side, 10)._jdf.queryExecution().logical()).lower()
-    assert "broadcast" not in str(broadcast_if_bounded(side, 9)._jdf.queryExecution().logical()).lower()
+def test_stored_side_is_not_hinted(spark):
+    """Spark decides by the stored size: no broadcast when its threshold is off."""
+    pos = spark.createDataFrame([("dmp", p, 0) for p in range(4)], "topic STRING, partition INT, from_offset BIGINT")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = offsets.scan_from_offsets(_messages(spark), pos)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert "hint" not in str(stored_side(pos)._jdf.queryExecution().logical()).lower()
 
 
 def test_starting_offsets_json(spark):
