@@ -49,8 +49,23 @@ NS AS (
 
 TOTALS = """SELECT target_id, CAST(sum("count") AS BIGINT) view_count FROM D GROUP BY target_id"""
 
+STATE = f"""SELECT 'total' AS kind, CAST(-1 AS BIGINT) AS batch_id, target_id AS k, view_count AS v FROM ({TOTALS})
+UNION ALL SELECT 'notice', batch_id, target_id, view_count FROM N
+UNION ALL SELECT 'ledger', batch_id, CAST("partition" AS BIGINT), until_offset FROM L"""
+
+# The same over six batches cut by event_id.
+RESUMED = f"""SELECT 'total' AS kind, CAST(-1 AS BIGINT) AS batch_id, target_id AS k, view_count AS v FROM ({TOTALS})
+UNION ALL (
+  SELECT 'notice', nb, target_id, view_count FROM (
+    SELECT nb, target_id, CAST(sum(c) OVER (PARTITION BY target_id ORDER BY nb) AS BIGINT) view_count FROM (
+      SELECT event_id * 6 // (SELECT max(event_id) + 1 FROM M) nb, target_id, sum("count") c FROM D GROUP BY ALL))
+  WHERE view_count > 3000 QUALIFY row_number() OVER (PARTITION BY target_id ORDER BY nb) = 1)
+UNION ALL (
+  SELECT 'ledger', event_id * 6 // (SELECT max(event_id) + 1 FROM M) nb, CAST("partition" AS BIGINT), max("offset") + 1
+  FROM M GROUP BY nb, "partition")"""
+
 _BODIES = {
-    "message_value": "SELECT event_id, line FROM M",
+    "message_value": 'SELECT topic, "partition", "offset", line FROM M',
     "topic_partitions": 'SELECT DISTINCT topic, "partition" FROM M',
     "strip_prefix": "SELECT event_id, body FROM B",
     "trim_control": "SELECT event_id, json FROM J",
@@ -83,7 +98,8 @@ _BODIES = {
     # Streaming forms: the same results as their batch counterparts.
     "stream_scan": 'SELECT topic, "partition", "offset", line FROM M',
     "log_ingest": "SELECT replace(replace(line, chr(13), ''), chr(10), '') AS line FROM M",
-    "stream_running_counts": TOTALS,
+    "stream_running_counts": ("SELECT batch_id, target_id, view_count FROM R "
+                              f"UNION ALL SELECT CAST(-1 AS BIGINT), target_id, view_count FROM ({TOTALS})"),
     "stream_threshold_notices": "SELECT batch_id, target_id, notice_key, view_count FROM N",
     "stream_job": TOTALS,
     "stream_job_notices": "SELECT batch_id, target_id, notice_key, view_count FROM N",
@@ -93,7 +109,11 @@ _BODIES = {
                            'FROM A GROUP BY batch_id'),
     "stream_job_deltas": "SELECT batch_id, target_id, batch_count FROM C",
     "stream_job_rejected": 'SELECT batch_id, event_id, line FROM A WHERE target_id IS NULL OR "count" IS NULL',
-    "stream_replay": TOTALS,
+    "stream_replay": STATE,
+    "stream_resume": RESUMED,
+    "stream_empty_batch": ('SELECT batch_id, count(*) n_rows, '
+                           'count(*) FILTER (WHERE target_id IS NULL OR "count" IS NULL) n_rejected '
+                           'FROM A WHERE batch_id <> 2 GROUP BY batch_id'),
     "stream_split_job": "SELECT batch_id, target_id, notice_key, view_count FROM N",
     "counter_table": ("SELECT target_id, 'view:count:' || target_id AS counter_key, "
                       'CAST(sum("count") AS BIGINT) view_count FROM D GROUP BY target_id'),

@@ -12,9 +12,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from playtally.functions.decode import decode_messages
-from playtally.operators import counts
+from playtally.operators import counts, offsets
 from playtally.plans.batch_queries import QUERY_LIMIT
-from playtally.session import scratch_dir
+from playtally.session import materialize, remove_folder, scratch_dir
 from playtally.sources.kafka import as_kafka_rows, kafka_messages
 from playtally.sources.logs import log_text, read_log_lines
 from playtally.sources.messages import read_messages
@@ -54,8 +54,10 @@ def stream_running_counts(spark, sf_dir):
     root, replay = _setup(spark, sf_dir, "stream_running_counts")
     out, ck = f"{root}/out", f"{root}/checkpoint"
     replay.run(lambda s: stateful.start_running_totals(decode_messages(s), out, ck, RUN_ONCE))
-    # Counters read from the state store itself (one row per target).
-    return stateful.read_state_totals(spark, ck)
+    # What each batch emitted (the increments' return values), and the counters as the state
+    # store itself holds them (one row per target, batch -1).
+    updates = spark.read.schema(stateful.TOTALS_SCHEMA).parquet(out).select("batch_id", "target_id", "view_count")
+    return updates.union(stateful.read_state_totals(spark, ck).selectExpr("-1L", "target_id", "view_count"))
 
 
 def stream_threshold_notices(spark, sf_dir):
@@ -75,9 +77,10 @@ def run_job(spark: SparkSession, sf_dir: str, name: str, replay_last: bool = Fal
     ids = replay.run(lambda s: job.start_job(s, out, ck, limit=QUERY_LIMIT, trigger=RUN_ONCE,
                                              compact_every=compact_every))
     if replay_last and ids:
-        # What Spark does when the last batch ran but its commit was lost:
-        # the same rows are handed to the handler again under the same id.
+        # What Spark does when the handler failed before its mark: the same rows are
+        # handed to it again under the same id.
         last = len(ids) - 1
+        remove_folder(spark, job.JobLayout(out).part("done", last))
         job.PlayCountBatch(out, limit=QUERY_LIMIT, compact_every=compact_every)(replay.batch(ids[last]), last)
     return out
 
@@ -113,11 +116,48 @@ def stream_job_rejected(spark, sf_dir):
     return job.read_output(spark, out, "rejected").select("batch_id", "event_id", "line")
 
 
+def _whole_state(spark, out):
+    """Totals, notices and ledger of a job in one frame, so that a doubled row of any shows."""
+    totals = job.read_counters(spark, out).selectExpr("'total' as kind", "-1L as batch_id", "target_id as k", "view_count as v")
+    told = job.read_output(spark, out, "notices").selectExpr("'notice' as kind", "batch_id", "target_id as k", "view_count as v")
+    ledger = job.read_output(spark, out, "ledger").selectExpr(
+        "'ledger' as kind", "batch_id", "cast(partition as bigint) as k", "until_offset as v")
+    return totals.union(told).union(ledger)
+
+
 def stream_replay(spark, sf_dir):
-    """Replay of the last batch, with a counter snapshot every two batches, so
-    the replayed batch also rewrites a snapshot."""
-    out = run_job(spark, sf_dir, "stream_replay", replay_last=True, compact_every=2)
-    return job.read_counters(spark, out).select("target_id", "view_count")
+    """The last batch fails before its mark and runs again, with a snapshot every two batches,
+    so it also rewrites a snapshot."""
+    return _whole_state(spark, run_job(spark, sf_dir, "stream_replay", replay_last=True, compact_every=2))
+
+
+def stream_resume(spark, sf_dir):
+    """The checkpoint is lost after three batches: a new one goes on from the ledger's positions.
+    The messages are cut into six batches by event_id, so that offsets rise from batch to batch
+    as they do in a topic."""
+    messages = read_messages(spark, sf_dir)
+    last = messages.agg(F.max("event_id")).first()[0]
+    root = scratch_dir(spark, "stream_resume")
+    replay = StagedReplay(spark, messages.withColumn("batch_id", F.expr(f"event_id * 6 div {last + 1}")), f"{root}/stage")
+    out, ids = f"{root}/out", replay.batch_ids()
+    for b in ids[:3]:
+        replay.release(b)
+        job.start_job(replay.stream(), out, f"{root}/lost", limit=QUERY_LIMIT, trigger=RUN_ONCE).awaitTermination()
+    every = offsets.topic_partitions(messages)
+    positions = materialize(offsets.resume_offsets(every, job.committed_positions(spark, out)), "positions")
+    for b in ids[3:]:
+        replay.release(b)
+        job.start_job(offsets.scan_from_offsets(replay.stream(), positions), out, f"{root}/new", limit=QUERY_LIMIT,
+                      trigger=RUN_ONCE, resume=True).awaitTermination()
+    return _whole_state(spark, out)
+
+
+def stream_empty_batch(spark, sf_dir):
+    """A micro-batch without rows (batch 2): it is marked complete and writes no output."""
+    root, replay = _setup(spark, sf_dir, "stream_empty_batch", to_files=lambda df: df.filter("batch_id <> 2"))
+    out = f"{root}/out"
+    replay.run(lambda s: job.start_job(s, out, f"{root}/checkpoint", limit=QUERY_LIMIT, trigger=RUN_ONCE))
+    return job.read_output(spark, out, "metrics").select("batch_id", "n_rows", "n_rejected")
 
 
 def stream_split_job(spark, sf_dir):
@@ -154,6 +194,8 @@ STREAM_QUERIES = {
     "stream_job_deltas": stream_job_deltas,
     "stream_job_rejected": stream_job_rejected,
     "stream_replay": stream_replay,
+    "stream_resume": stream_resume,
+    "stream_empty_batch": stream_empty_batch,
     "stream_split_job": stream_split_job,
     "counter_table": counter_table,
 }

@@ -7,7 +7,6 @@ session has no such folder (local runs, tests) is one made here.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -40,9 +39,7 @@ def build_session(master: str | None = None, app_name: str = "playtally",
         builder = builder.master(master)
     for key, value in {**SESSION_DEFAULTS, **(conf or {})}.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    work_root(spark)
-    return spark
+    return builder.getOrCreate()  # the scratch folder is made when something first needs it
 
 
 def _context(spark: SparkSession):
@@ -61,7 +58,7 @@ def work_root(spark: SparkSession) -> str:
         return root
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        master = spark.conf.get("spark.master", "local")
+        master = spark.conf.get("spark.master", "")
         if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach; "
                                "a machine-local temporary folder does not survive lost executors")
@@ -83,20 +80,15 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 def _hadoop_fs(spark: SparkSession, path: str):
     sc = _context(spark)
     if sc is None or getattr(sc, "_jvm", None) is None:
-        return None, None
+        # A client without a JVM sees only its own disk, where a cluster path is always absent.
+        raise RuntimeError("folder state needs a session with a JVM (not Spark Connect)")
     hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
     return hpath.getFileSystem(sc._jsc.hadoopConfiguration()), hpath
 
 
-def _local(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence test through Hadoop's FileSystem, so any cluster store works."""
     fs, hpath = _hadoop_fs(spark, path)
-    if fs is None:
-        return os.path.exists(_local(path))
     return bool(fs.exists(hpath))
 
 
@@ -104,17 +96,24 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[int]:
     """Integer values of ``column=N`` sub-folders of ``path`` (folder listing only)."""
     prefix = f"{column}="
     fs, hpath = _hadoop_fs(spark, path)
-    if fs is None:
-        local = _local(path)
-        names = [n for n in os.listdir(local) if os.path.isdir(os.path.join(local, n))] \
-            if os.path.isdir(local) else []
-    else:
-        if not fs.exists(hpath):
-            return []
-        names = [st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory()]
+    if not fs.exists(hpath):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory()]
     return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file (and its folders); an existing one stays."""
+    fs, hpath = _hadoop_fs(spark, path)
+    if not fs.exists(hpath):
+        fs.create(hpath, True).close()
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, hpath = _hadoop_fs(spark, path)
+    fs.delete(hpath, True)
+
+
 def materialize(df, name: str):
     """Write ``df`` once to a fresh folder below the checkpoint folder and
     return it read back (explicit schema, no inference job).

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from playtally.sources.kafka import DEFAULT_TOPIC, kafka_sink_rows
 
@@ -32,6 +33,15 @@ def read_log_lines(spark: SparkSession, folder: str, stream: bool = True,
     return df.select(F.col("value").alias("line"))
 
 
+def start_log_to_topic(lines: DataFrame, checkpoint: str, options: dict[str, str], topic: str = DEFAULT_TOPIC,
+                       partition: int | None = 0, fmt: str = "kafka", trigger: dict | None = None) -> StreamingQuery:
+    """Stream log lines into the topic (the reference's log agent as a Spark job). ``options`` are
+    the sink's, e.g. ``kafka.bootstrap.servers``; the checkpoint makes it start where it stopped."""
+    return (log_to_topic(lines, topic, partition).writeStream.format(fmt).options(**options)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "10 seconds"})).start())
+
+
 def log_to_topic(lines: DataFrame, topic: str = DEFAULT_TOPIC, partition: int | None = 0) -> DataFrame:
     """Lines as Kafka sink rows; the reference sends every line to partition 0."""
     return kafka_sink_rows(lines, value="line", topic=topic, partition=partition)

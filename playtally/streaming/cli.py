@@ -1,10 +1,14 @@
 """Run the play-count job from the command line (for ``spark-submit``).
 
+    zip -r playtally.zip playtally
     spark-submit --packages org.apache.spark:spark-sql-kafka-0-10_2.13:<spark version> \\
-        -m playtally.streaming.cli --bootstrap host:9092 --topic dmp \\
+        --py-files playtally.zip play_count_job.py --bootstrap host:9092 --topic dmp \\
         --out s3a://bucket/playcount --checkpoint s3a://bucket/playcount-ckpt
 
-Reads the topic (or ``--log-dir`` with rolled text files), runs the job with
+With ``--log-dir`` and ``--forward-to`` it streams the log lines into the topic
+instead. With ``--resume`` a job whose checkpoint was lost goes on from the
+ledger in ``--out`` (``--topic-partitions`` gives the topic's partition count, so
+that partitions without a message yet start at 0). Reads the topic (or ``--log-dir`` with rolled text files), runs the job with
 a processing-time trigger (10 s by default) and waits for termination. On
 restart the checkpoint resumes at the committed offsets; a first start reads
 from ``--starting-offsets`` (default ``earliest``).
@@ -14,11 +18,14 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import functions as F
+
 from playtally.operators.notices import DEFAULT_LIMIT, NOTICE_QUEUE, notice_sink_rows
+from playtally.operators.offsets import resume_offsets, starting_offsets_json
 from playtally.session import build_session
-from playtally.sources.kafka import DEFAULT_TOPIC, kafka_messages, kafka_options, read_kafka
-from playtally.sources.logs import read_log_lines
-from playtally.streaming.job import DEFAULT_COMPACT_EVERY, start_job
+from playtally.sources.kafka import DEFAULT_GROUP, DEFAULT_TOPIC, kafka_messages, kafka_options, read_kafka
+from playtally.sources.logs import read_log_lines, start_log_to_topic
+from playtally.streaming.job import DEFAULT_COMPACT_EVERY, committed_positions, start_job
 
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
@@ -27,11 +34,17 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     src.add_argument("--bootstrap", help="Kafka bootstrap servers")
     src.add_argument("--log-dir", help="folder of rolled log files")
     p.add_argument("--topic", default=DEFAULT_TOPIC)
+    p.add_argument("--group", default=DEFAULT_GROUP, help="consumer group id")
     p.add_argument("--starting-offsets", default="earliest")
-    p.add_argument("--max-offsets-per-trigger", type=int)
+    p.add_argument("--max-offsets-per-trigger", type=int, default=20_000_000,
+                   help="messages of a micro-batch, at most")
+    p.add_argument("--max-files-per-trigger", type=int, default=1000, help="log files of a micro-batch, at most")
+    p.add_argument("--resume", action="store_true", help="new checkpoint on old output: go on from the ledger")
+    p.add_argument("--topic-partitions", type=int, help="partitions of the topic (needed with --resume)")
+    p.add_argument("--forward-to", help="bootstrap servers: stream --log-dir into the topic and count nothing")
     p.add_argument("--min-partitions", type=int,
                    help="split large topic partitions over at least this many tasks")
-    p.add_argument("--out", required=True)
+    p.add_argument("--out", help="output folder of the job")
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--limit", type=int, default=DEFAULT_LIMIT)
     p.add_argument("--trigger", default="10 seconds")
@@ -39,7 +52,21 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--fail-fast", action="store_true")
     p.add_argument("--compact-every", type=int, default=DEFAULT_COMPACT_EVERY)
     p.add_argument("--notice-topic", help=f"also send notices to this Kafka topic (e.g. {NOTICE_QUEUE})")
-    return p.parse_args(argv)
+    args = p.parse_args(argv)
+    if not args.out and not args.forward_to:
+        p.error("--out is needed")
+    if args.forward_to and not args.log_dir:
+        p.error("--forward-to needs --log-dir")
+    if args.resume and args.bootstrap and not args.topic_partitions:
+        p.error("--resume needs --topic-partitions")
+    return args
+
+
+def resume_offsets_json(spark, out: str, topic: str, partitions: int) -> str:
+    """``startingOffsets`` for all partitions of the topic: committed positions, else 0."""
+    every = spark.range(partitions).select(F.lit(topic).alias("topic"), F.col("id").cast("int").alias("partition"))
+    positions = resume_offsets(every, committed_positions(spark, out))
+    return starting_offsets_json(positions).first()[0]
 
 
 def kafka_notice_sender(bootstrap: str, topic: str):
@@ -53,13 +80,21 @@ def kafka_notice_sender(bootstrap: str, topic: str):
 def main(argv: list[str] | None = None) -> None:
     args = parse_args(argv)
     spark = build_session(app_name="playtally-job")
+    if args.forward_to:
+        lines = read_log_lines(spark, args.log_dir, max_files_per_trigger=args.max_files_per_trigger)
+        start_log_to_topic(lines, args.checkpoint, {"kafka.bootstrap.servers": args.forward_to}, args.topic,
+                           trigger={"processingTime": args.trigger}).awaitTermination()
+        return
     if args.bootstrap:
-        opts = kafka_options(args.bootstrap, args.topic, starting_offsets=args.starting_offsets,
+        starting = args.starting_offsets
+        if args.resume:
+            starting = resume_offsets_json(spark, args.out, args.topic, args.topic_partitions)
+        opts = kafka_options(args.bootstrap, args.topic, starting_offsets=starting, group_id=args.group,
                              max_offsets_per_trigger=args.max_offsets_per_trigger,
                              min_partitions=args.min_partitions)
         messages = kafka_messages(read_kafka(spark, opts))
     else:
-        messages = read_log_lines(spark, args.log_dir)
+        messages = read_log_lines(spark, args.log_dir, max_files_per_trigger=args.max_files_per_trigger)
     on_notices = None
     if args.notice_topic:
         if not args.bootstrap:
@@ -68,7 +103,7 @@ def main(argv: list[str] | None = None) -> None:
     query = start_job(messages, args.out, args.checkpoint, limit=args.limit,
                       trigger={"processingTime": args.trigger}, strip=not args.no_strip,
                       fail_fast=args.fail_fast, compact_every=args.compact_every,
-                      query_name="playtally", on_notices=on_notices)
+                      query_name="playtally", on_notices=on_notices, resume=args.resume)
     query.awaitTermination()
 
 

@@ -3,22 +3,28 @@
 One stateless decoded stream feeds ``foreachBatch``; for micro-batch ``N``
 the handler, in order:
 
-1. persists the decoded batch; one aggregate fills the cache and gives the
-   row metrics; an empty batch returns at once (no output at all);
-2. writes the per-target sums of the batch to ``deltas/batch_id=N``
+1. returns at once when ``done/batch_id=N`` exists: the batch is complete;
+2. persists the decoded batch; one aggregate fills the cache and gives the
+   row metrics; an empty batch writes no output;
+3. writes the per-target sums of the batch to ``deltas/batch_id=N``
    (the counter increment, one row per touched target);
-3. computes the new totals of the touched targets only: this batch's deltas
-   plus earlier history of those targets (latest compacted snapshot + later
-   deltas, ``left_semi`` on the touched targets);
-4. writes ``notices/batch_id=N``: totals over the limit, ``left_anti`` on
-   notices of batches before ``N`` (the notice table is the "already
-   notified" flag, never cleared);
-5. writes rejected rows and row metrics (steps 2-5 run as concurrent Spark
-   jobs over the cached batch);
-6. hands the batch's notices to ``on_notices`` if given (Kafka rows, a
-   service call); every ``compact_every`` batches writes a counter snapshot;
-7. writes the offset ledger of the batch last: a ledger row marks the batch
-   as complete.
+4. computes the new totals of the touched targets only: this batch's deltas
+   plus earlier history of those targets (latest snapshot + later deltas,
+   ``left_semi`` on the touched targets);
+5. writes ``notices/batch_id=N``: totals over the limit, ``left_anti`` on the
+   targets notified before ``N`` (notice snapshot + later notices; never cleared);
+6. writes rejected rows and row metrics (steps 3-6 run as concurrent Spark
+   jobs over the cached batch), and the offset ledger where rows have offsets;
+7. hands the batch's notices to ``on_notices`` if given (Kafka rows, a
+   service call);
+8. when ``compact_every`` batches have passed since the last one, writes a
+   counter and a notice snapshot and removes all but the newest two;
+9. writes the mark ``done/batch_id=N`` last, for every kind of source.
+
+Readers (and the handler's own history) use marked batches and snapshots of
+marked batches only, so an unfinished or half-rewritten folder is never read.
+They open the folders of those batches by name: at most ``compact_every``
+after the snapshot, however many batches the job has run.
 
 Every output is an overwrite of its own ``batch_id=N`` folder and reads only
 batches before ``N``, so re-running a batch after a failure (Spark re-runs
@@ -32,16 +38,16 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from playtally.functions.decode import accepted, decode_messages, is_accepted
 from playtally.functions.keys import counter_key, notice_key
 from playtally.operators.notices import DEFAULT_LIMIT
-from playtally.operators.offsets import batch_ledger
-from playtally.session import partition_values, path_exists
+from playtally.operators.offsets import batch_ledger, committed_offsets
+from playtally.session import partition_values, path_exists, remove_folder, touch
 
 # Fixed value of the reference job: a 10 s processing-time micro-batch.
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
@@ -77,50 +83,110 @@ def _read(spark: SparkSession, path: str, name: str) -> DataFrame:
     return reader.parquet(path)
 
 
-def _read_parts(spark: SparkSession, layout: JobLayout, name: str, lo: int | None,
-                hi: int) -> DataFrame | None:
-    """Rows of ``batch_id`` partitions in ``(lo, hi)``; partition pruning skips the rest."""
-    path = layout.table(name)
-    if not path_exists(spark, path):
-        return None
-    cond = F.col("batch_id") < F.lit(hi)
-    if lo is not None:
-        cond = cond & (F.col("batch_id") > F.lit(lo))
-    return _read(spark, path, name).where(cond)
-
-
-def _history(spark: SparkSession, layout: JobLayout, before: int,
-             snapshot_before: int | None = None) -> DataFrame | None:
-    """``target_id, batch_count`` rows whose sum per target is the total before batch ``before``:
-    the latest snapshot older than ``snapshot_before`` (default ``before``) plus later deltas."""
-    limit = before if snapshot_before is None else snapshot_before
-    snaps = [s for s in partition_values(spark, layout.table("snapshots"), "batch_id") if s < limit]
-    parts = []
-    last_snap = snaps[-1] if snaps else None
-    if last_snap is not None:
-        parts.append(spark.read.schema(SCHEMAS["snapshots"]).parquet(layout.part("snapshots", last_snap))
-                     .select("target_id", F.col("view_count").alias("batch_count")))
-    later = _read_parts(spark, layout, "deltas", last_snap, before)
-    if later is not None:
-        parts.append(later.select("target_id", "batch_count"))
-    if not parts:
+def is_done(spark: SparkSession, layout: JobLayout, batch_id: int) -> bool:
+    return path_exists(spark, layout.part("done", batch_id))
+
+
+def _last_snapshot(spark: SparkSession, layout: JobLayout, before: int | None = None) -> int | None:
+    """Newest snapshot of a complete batch (older than ``before``). At most three folders exist."""
+    snaps = partition_values(spark, layout.table("snapshots"), "batch_id")
+    for s in reversed(snaps):
+        if (before is None or s < before) and is_done(spark, layout, s):
+            return s
+    return None
+
+
+def complete_batches(spark: SparkSession, layout: JobLayout, after: int | None = None,
+                     before: int | None = None) -> list[int]:
+    """Marked batches after ``after`` (a snapshot's batch; default: the first batch on), in
+    order up to ``before`` or the first batch without a mark. Batch ids have no gaps."""
+    first = 0 if after is None else after + 1
+    if before is not None:
+        return [n for n in range(first, before) if is_done(spark, layout, n)]
+    found, n = [], first
+    while is_done(spark, layout, n):
+        found.append(n)
+        n += 1
+    return found
+
+
+def _read_batches(spark: SparkSession, layout: JobLayout, name: str, batches: list[int]) -> DataFrame | None:
+    """Rows of the named batches' folders, opened one by one: no other folder is listed."""
+    paths = [p for p in (layout.part(name, n) for n in batches) if path_exists(spark, p)]
+    if not paths:
         return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    reader = spark.read.option("basePath", layout.table(name))
+    if name in SCHEMAS:
+        reader = reader.schema(SCHEMAS[name] + ", batch_id BIGINT")
+    return reader.parquet(*paths)
+
+
+def _union(parts: list[DataFrame | None]) -> DataFrame | None:
+    out = None
+    for p in parts:
+        if p is not None:
+            out = p if out is None else out.unionByName(p)
     return out
 
 
+def _history(spark: SparkSession, layout: JobLayout, before: int | None = None) -> DataFrame | None:
+    """``target_id, batch_count`` rows whose sum per target is the total before batch ``before``
+    (default: of all complete batches): the latest snapshot plus later deltas."""
+    snap = _last_snapshot(spark, layout, before)
+    base = None
+    if snap is not None:
+        base = (spark.read.schema(SCHEMAS["snapshots"]).parquet(layout.part("snapshots", snap))
+                .select("target_id", F.col("view_count").alias("batch_count")))
+    later = _read_batches(spark, layout, "deltas", complete_batches(spark, layout, snap, before))
+    return _union([base, None if later is None else later.select("target_id", "batch_count")])
+
+
+def _notified(spark: SparkSession, layout: JobLayout, before: int) -> DataFrame | None:
+    """``target_id`` of every target notified before batch ``before``."""
+    snap = _last_snapshot(spark, layout, before)
+    base = None
+    if snap is not None and path_exists(spark, layout.part("notice_snapshots", snap)):
+        base = spark.read.schema("target_id BIGINT").parquet(layout.part("notice_snapshots", snap))
+    later = _read_batches(spark, layout, "notices", complete_batches(spark, layout, snap, before))
+    return _union([base, None if later is None else later.select("target_id")])
+
+
 def read_counters(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Counter table ``target_id, counter_key, view_count`` of a job's output folder."""
-    layout = JobLayout(out_dir)
-    history = _history(spark, layout, 1 << 62)
+    """Counter table ``target_id, counter_key, view_count`` over the complete batches of a job's
+    output folder."""
+    history = _history(spark, JobLayout(out_dir))
     if history is None:
         return spark.createDataFrame([], "target_id BIGINT, counter_key STRING, view_count BIGINT")
     return (history.groupBy("target_id").agg(F.sum("batch_count").cast("bigint").alias("view_count"))
             .select("target_id", counter_key().alias("counter_key"), "view_count"))
 
 
+def committed_positions(spark: SparkSession, out_dir: str) -> DataFrame:
+    """``topic, partition, until_offset`` from the ledger of complete batches (for a resume)."""
+    layout = JobLayout(out_dir)
+    done = partition_values(spark, layout.table("done"), "batch_id")
+    ledger = _read_batches(spark, layout, "ledger", done)
+    if ledger is None:
+        return spark.createDataFrame([], "topic STRING, partition INT, until_offset BIGINT")
+    return committed_offsets(ledger)
+
+
+def expire_batches(spark: SparkSession, out_dir: str, keep: int) -> list[int]:
+    """Retention: remove the deltas, rejected rows and metrics of batches that the second newest
+    snapshot covers and that are older than the newest ``keep`` batches. Counters and notices
+    stay as they are; ledger, notices and marks (one small file each) are kept."""
+    layout = JobLayout(out_dir)
+    snaps = [s for s in partition_values(spark, layout.table("snapshots"), "batch_id") if is_done(spark, layout, s)]
+    stored = partition_values(spark, layout.table("deltas"), "batch_id")
+    if len(snaps) < 2 or not stored:
+        return []
+    old = [n for n in stored if n <= snaps[-2] and n <= stored[-1] - keep]
+    for n in old:
+        for name in ("deltas", "rejected", "metrics"):
+            remove_folder(spark, layout.part(name, n))
+    return old
+
+
 def read_output(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
     """One output table (``notices``, ``ledger``, ``rejected``, ``metrics``, ``deltas``)."""
     return _read(spark, JobLayout(out_dir).table(name), name).withColumn(
@@ -133,7 +199,9 @@ class PlayCountBatch:
     def __init__(self, out_dir: str, limit: int = DEFAULT_LIMIT, strip: bool = True,
                  notify: bool = True, fail_fast: bool = False,
                  compact_every: int | None = DEFAULT_COMPACT_EVERY,
-                 on_notices: Callable[[DataFrame, int], None] | None = None):
+                 on_notices: Callable[[DataFrame, int], None] | None = None,
+                 first_batch: int = 0):
+        self.first_batch = first_batch  # of this checkpoint: batch ids go on after a resume
         self.layout = JobLayout(out_dir)
         self.on_notices = on_notices
         self.limit = limit
@@ -145,7 +213,9 @@ class PlayCountBatch:
     def __call__(self, messages: DataFrame, batch_id: int) -> None:
         spark = messages.sparkSession
         lay = self.layout
-        n = int(batch_id)
+        n = int(batch_id) + self.first_batch
+        if is_done(spark, lay, n):
+            return
         # The micro-batch id is the batch id of every output; a stored
         # ``batch_id`` column of replayed messages would clash with it.
         decoded = decode_messages(messages.drop("batch_id"), strip=self.strip, fail_fast=self.fail_fast)
@@ -155,42 +225,49 @@ class PlayCountBatch:
             # One aggregate fills the cache and gives the row metrics (one row).
             stats = decoded.agg(F.count(F.lit(1)).alias("n_rows"),
                                 F.count_if(~is_accepted()).alias("n_rejected")).first()
-            if stats["n_rows"] == 0:
-                return
-            deltas = (accepted(decoded).groupBy("target_id")
-                      .agg(F.sum("count").cast("bigint").alias("batch_count"))
-                      .persist(StorageLevel.MEMORY_AND_DISK))
-            writes = [
-                lambda: deltas.write.mode("overwrite").parquet(lay.part("deltas", n)),
-                lambda: (decoded.filter(~is_accepted()).drop("target_id", "count")
-                         .write.mode("overwrite").parquet(lay.part("rejected", n))),
-                lambda: (spark.createDataFrame([(stats["n_rows"], stats["n_rejected"])], SCHEMAS["metrics"])
-                         .write.mode("overwrite").parquet(lay.part("metrics", n))),
-            ]
-            if self.notify:
-                writes.append(lambda: self._notices(spark, deltas, n)
-                              .write.mode("overwrite").parquet(lay.part("notices", n)))
-            # Independent outputs of one cached batch: run them as concurrent
-            # Spark jobs (small ones no longer queue behind large ones).
-            with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-                for f in [pool.submit(w) for w in writes]:
-                    f.result()
-            if self.notify and self.on_notices is not None:
-                # Deliver the batch's stored notices (e.g. Kafka rows or a
-                # per-partition service call); a replayed batch re-delivers.
-                stored = spark.read.schema(SCHEMAS["notices"]).parquet(lay.part("notices", n))
-                self.on_notices(stored.withColumn("batch_id", F.lit(n).cast("bigint")), n)
-            if self.compact_every and (n + 1) % self.compact_every == 0:
-                self._compact(spark, n)
-            # The ledger goes last: a ledger row means the batch is complete.
-            if {"topic", "partition", "offset"} <= set(decoded.columns):  # log lines have no offsets
-                (batch_ledger(decoded, n).drop("batch_id")
-                 .write.mode("overwrite").parquet(lay.part("ledger", n)))
+            if stats["n_rows"] > 0:
+                deltas = (accepted(decoded).groupBy("target_id")
+                          .agg(F.sum("count").cast("bigint").alias("batch_count"))
+                          .persist(StorageLevel.MEMORY_AND_DISK))
+                self._write(spark, decoded, deltas, stats, n)
+            if self.compact_every:
+                last = _last_snapshot(spark, lay, n)
+                if n - (-1 if last is None else last) >= self.compact_every:
+                    self._compact(spark, n)
+            touch(spark, f"{lay.part('done', n)}/mark")
         finally:
             if deltas is not None:
                 deltas.unpersist()
             decoded.unpersist()
 
+    def _write(self, spark: SparkSession, decoded: DataFrame, deltas: DataFrame, stats: Row, n: int) -> None:
+        lay = self.layout
+        writes = [
+            lambda: deltas.write.mode("overwrite").parquet(lay.part("deltas", n)),
+            lambda: (decoded.filter(~is_accepted()).drop("target_id", "count")
+                     .write.mode("overwrite").parquet(lay.part("rejected", n))),
+            lambda: (spark.createDataFrame([(stats["n_rows"], stats["n_rejected"])], SCHEMAS["metrics"])
+                     .write.mode("overwrite").parquet(lay.part("metrics", n))),
+        ]
+        if self.notify:
+            writes.append(lambda: self._notices(spark, deltas, n)
+                          .write.mode("overwrite").parquet(lay.part("notices", n)))
+        if {"topic", "partition", "offset"} <= set(decoded.columns):  # log lines have no offsets
+            writes.append(lambda: (batch_ledger(decoded, n).drop("batch_id")
+                                   .write.mode("overwrite").parquet(lay.part("ledger", n))))
+        # Independent outputs of one cached batch: run them as concurrent Spark jobs. The threads
+        # inherit the query's job group, so stopping the query cancels them; leaving the pool
+        # waits for all of them, also after an error.
+        with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+            futures = [pool.submit(inheritable_thread_target(spark)(w)) for w in writes]
+        for f in futures:
+            f.result()
+        if self.notify and self.on_notices is not None:
+            # Deliver the batch's stored notices (e.g. Kafka rows or a
+            # per-partition service call); a re-run batch delivers again.
+            stored = spark.read.schema(SCHEMAS["notices"]).parquet(lay.part("notices", n))
+            self.on_notices(stored.withColumn("batch_id", F.lit(n).cast("bigint")), n)
+
     def _notices(self, spark: SparkSession, deltas: DataFrame, n: int) -> DataFrame:
         history = _history(spark, self.layout, n)
         rows = deltas
@@ -198,36 +275,78 @@ class PlayCountBatch:
             rows = rows.unionByName(history.join(deltas.select("target_id"), "target_id", "left_semi"))
         totals = rows.groupBy("target_id").agg(F.sum("batch_count").cast("bigint").alias("view_count"))
         new = totals.filter(F.col("view_count") > F.lit(self.limit))
-        earlier = _read_parts(spark, self.layout, "notices", None, n)
+        earlier = _notified(spark, self.layout, n)
         if earlier is not None:
-            new = new.join(earlier.select("target_id"), "target_id", "left_anti")
+            new = new.join(earlier, "target_id", "left_anti")
         return new.select("target_id", notice_key().alias("notice_key"), "view_count")
 
     def _compact(self, spark: SparkSession, n: int) -> None:
-        # Built from older snapshots only, so re-running batch n never reads
-        # the snapshot it is about to replace.
-        history = _history(spark, self.layout, n + 1, snapshot_before=n)
-        (history.groupBy("target_id").agg(F.sum("batch_count").cast("bigint").alias("view_count"))
-         .write.mode("overwrite").parquet(self.layout.part("snapshots", n)))
+        """Snapshots as of batch ``n``, from complete batches and the one being finished; only the
+        newest two older ones stay for readers that are still on them."""
+        lay = self.layout
+
+        def with_own(name: str, column: str, earlier: DataFrame | None) -> DataFrame | None:
+            own = lay.part(name, n)
+            rows = spark.read.schema(SCHEMAS[name]).parquet(own) if path_exists(spark, own) else None
+            return _union([earlier, None if rows is None else rows.select("target_id", *([column] if column else []))])
+
+        totals = with_own("deltas", "batch_count", _history(spark, lay, n))
+        if totals is None:
+            return
+        (totals.groupBy("target_id").agg(F.sum("batch_count").cast("bigint").alias("view_count"))
+         .write.mode("overwrite").parquet(lay.part("snapshots", n)))
+        told = with_own("notices", "", _notified(spark, lay, n))
+        if told is not None:
+            told.distinct().write.mode("overwrite").parquet(lay.part("notice_snapshots", n))
+        for name in ("snapshots", "notice_snapshots"):
+            for old in partition_values(spark, lay.table(name), "batch_id")[:-3]:
+                remove_folder(spark, lay.part(name, old))
+
+
+def refuse_lost_checkpoint(spark: SparkSession, table: str, checkpoint: str) -> None:
+    """Old output with a checkpoint that has no commit log: batch ids would restart at 0 and
+    overwrite it."""
+    if path_exists(spark, table) and not path_exists(spark, f"{checkpoint.rstrip('/')}/commits"):
+        raise RuntimeError(f"{table} holds job output but {checkpoint} has no commit log")
+
+
+def _first_batch(spark: SparkSession, layout: JobLayout, checkpoint: str) -> int:
+    """Batch id at which this checkpoint's batch 0 stands, kept beside the checkpoint."""
+    folder = f"{checkpoint.rstrip('/')}-resume"
+    known = partition_values(spark, folder, "first_batch")
+    if known:
+        return known[-1]
+    done = partition_values(spark, layout.table("done"), "batch_id")
+    first = done[-1] + 1 if done else 0
+    if first:
+        touch(spark, f"{folder}/first_batch={first}/mark")
+    return first
 
 
 def start_job(messages: DataFrame, out_dir: str, checkpoint: str, limit: int = DEFAULT_LIMIT,
               trigger: dict | None = None, strip: bool = True, notify: bool = True,
               fail_fast: bool = False, compact_every: int | None = DEFAULT_COMPACT_EVERY,
               query_name: str | None = None,
-              on_notices: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+              on_notices: Callable[[DataFrame, int], None] | None = None,
+              resume: bool = False) -> StreamingQuery:
     """Start the job on a streaming message DataFrame (``topic, partition, offset, line``).
 
     Refuses to start when the output folder holds results but the checkpoint
-    has no commit log: batch ids would restart at 0 and overwrite them.
+    has no commit log: batch ids would restart at 0 and overwrite them. With
+    ``resume`` such a start is wanted (the checkpoint was lost): batch ids go on
+    after the last complete batch, and ``messages`` must start at the committed
+    positions (:func:`committed_positions` with ``scan_from_offsets``, or the
+    topic's ``startingOffsets`` made from them).
     """
     spark = messages.sparkSession
-    if path_exists(spark, JobLayout(out_dir).table("deltas")) and \
-            not path_exists(spark, f"{checkpoint.rstrip('/')}/commits"):
-        raise RuntimeError(f"{out_dir} holds job output but {checkpoint} has no commit log")
+    layout = JobLayout(out_dir)
+    if not resume and not partition_values(spark, f"{checkpoint.rstrip('/')}-resume", "first_batch"):
+        refuse_lost_checkpoint(spark, layout.table("done"), checkpoint)
+    first = _first_batch(spark, layout, checkpoint) if resume or \
+        partition_values(spark, f"{checkpoint.rstrip('/')}-resume", "first_batch") else 0
     handler = PlayCountBatch(out_dir, limit=limit, strip=strip, notify=notify,
                              fail_fast=fail_fast, compact_every=compact_every,
-                             on_notices=on_notices)
+                             on_notices=on_notices, first_batch=first)
     writer = (messages.writeStream.foreachBatch(handler)
               .option("checkpointLocation", checkpoint)
               .trigger(**(trigger or DEFAULT_TRIGGER)))

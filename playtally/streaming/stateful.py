@@ -22,7 +22,7 @@ from playtally.functions.decode import accepted, decode_messages
 from playtally.functions.keys import notice_key
 from playtally.operators.notices import DEFAULT_LIMIT
 from playtally.session import path_exists
-from playtally.streaming.job import DEFAULT_TRIGGER
+from playtally.streaming.job import DEFAULT_TRIGGER, refuse_lost_checkpoint
 
 TOTALS_SCHEMA = "target_id BIGINT, view_count BIGINT, batch_id BIGINT"
 NOTICES_SCHEMA = "target_id BIGINT, notice_key STRING, view_count BIGINT, batch_id BIGINT"
@@ -42,6 +42,7 @@ def _write_batch(out_dir: str):
 def start_running_totals(decoded: DataFrame, out_dir: str, checkpoint: str,
                          trigger: dict | None = None) -> StreamingQuery:
     """Write each batch's updated totals to ``out_dir/batch_id=N``."""
+    refuse_lost_checkpoint(decoded.sparkSession, out_dir, checkpoint)
     return (running_totals(decoded).writeStream.outputMode("update")
             .foreachBatch(_write_batch(out_dir))
             .option("checkpointLocation", checkpoint)
@@ -84,6 +85,7 @@ class _NoticeWriter:
 def start_threshold_notices(decoded: DataFrame, out_dir: str, checkpoint: str,
                             limit: int = DEFAULT_LIMIT, trigger: dict | None = None) -> StreamingQuery:
     """Write each batch's new notices to ``out_dir/batch_id=N``."""
+    refuse_lost_checkpoint(decoded.sparkSession, out_dir, checkpoint)
     return (running_totals(decoded).writeStream.outputMode("update")
             .foreachBatch(_NoticeWriter(out_dir, limit))
             .option("checkpointLocation", checkpoint)

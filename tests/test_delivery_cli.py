@@ -112,3 +112,26 @@ def test_cli_main_runs_until_stopped(spark, scratch):
     assert not runner.is_alive()
     got = sorted(tuple(r) for r in read_counters(spark, out).select("target_id", "view_count").collect())
     assert got == [(1, 11), (2, 50), (3, 16), (4, 0)]
+
+
+def test_cli_resume_positions_and_checks(spark, scratch):
+    import pytest
+
+    replay = StagedReplay(spark, _fixture_messages(spark), f"{scratch}/stage")
+    out = f"{scratch}/out"
+    replay.run(lambda s: start_job(s, out, f"{scratch}/ck", limit=10, trigger=ONCE))
+    got = json.loads(cli.resume_offsets_json(spark, out, "dmp", 3))
+    assert got == {"dmp": {"0": 4, "1": 51, "2": 0}}   # partition 2 holds no message yet
+    for bad in (["--bootstrap", "h", "--checkpoint", "c"], ["--bootstrap", "h", "--out", "o", "--checkpoint", "c", "--resume"],
+                ["--bootstrap", "h", "--checkpoint", "c", "--forward-to", "h"]):
+        with pytest.raises(SystemExit):
+            cli.parse_args(bad)
+    assert cli.parse_args(["--log-dir", "d", "--checkpoint", "c", "--forward-to", "h"]).forward_to == "h"
+
+
+def test_launcher_file_parses():
+    import subprocess
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    said = subprocess.run([sys.executable, os.path.join(root, "play_count_job.py"), "--help"], capture_output=True, text=True)
+    assert said.returncode == 0 and "--resume" in said.stdout

@@ -226,3 +226,79 @@ def test_streaming_aggregate_pre_aggregates_before_state(spark, scratch):
     plan = q._jsq.explainInternal(False)
     assert "StateStoreSave" in plan and "partial_sum" in plan
     assert plan.index("StateStoreRestore") < plan.index("partial_sum")   # partial sum sits below
+
+
+def test_unfinished_batches_and_snapshots_are_not_read(spark, scratch):
+    """A snapshot folder or a rewritten delta folder without its mark leaves the last complete totals."""
+    _, _, out, _ = _run_job(spark, _fixture_messages(spark), scratch, 10, compact_every=2)
+    want = [(1, 11), (2, 50), (3, 16), (4, 0)]
+    deltas = spark.createDataFrame([(1, 1000)], job.SCHEMAS["deltas"])
+    deltas.write.parquet(f"{out}/deltas/batch_id=3")
+    deltas.toDF("target_id", "view_count").write.parquet(f"{out}/snapshots/batch_id=3/_temporary/0")
+    assert _rows(job.read_counters(spark, out), "target_id", "view_count") == want
+
+
+def test_history_reads_only_folders_after_the_snapshot(spark, scratch):
+    rows = [(b, b, "dmp", 0, b, f'{{"targetId":{b % 3},"count":1}}') for b in range(9) if b != 4]
+    msgs = spark.createDataFrame(
+        rows, "event_id BIGINT, batch_id BIGINT, topic STRING, partition INT, offset BIGINT, line STRING")
+    out = f"{scratch}/out"
+    handler = job.PlayCountBatch(out, limit=1, compact_every=2)
+    files = []
+    for b in range(9):
+        handler(msgs.filter(F.col("batch_id") == b), b)   # batch 4 is empty
+        files.append(len(job._history(spark, job.JobLayout(out)).inputFiles()))
+    assert max(files[4:]) <= max(files[:5]) + 1
+    from playtally.session import partition_values
+    assert len(partition_values(spark, f"{out}/snapshots", "batch_id")) <= 3
+    assert _rows(job.read_counters(spark, out), "target_id", "view_count") == [(0, 3), (1, 2), (2, 3)]
+    notices_before = _rows(job.read_output(spark, out, "notices"), "batch_id", "target_id")
+    assert notices_before == [(3, 0), (5, 2), (7, 1)]
+    assert job.expire_batches(spark, out, keep=2) != []
+    assert _rows(job.read_counters(spark, out), "target_id", "view_count") == [(0, 3), (1, 2), (2, 3)]
+
+
+def test_all_starters_refuse_a_new_checkpoint(spark, scratch):
+    replay = StagedReplay(spark, _fixture_messages(spark), f"{scratch}/stage")
+    replay.release(0)
+    for start, name in ((stateful.start_running_totals, "a"), (stateful.start_threshold_notices, "b")):
+        start(decode_messages(replay.stream()), f"{scratch}/{name}", f"{scratch}/ck-{name}",
+              trigger=ONCE).awaitTermination()
+        with pytest.raises(RuntimeError, match="no commit log"):
+            start(decode_messages(replay.stream()), f"{scratch}/{name}", f"{scratch}/other-{name}", trigger=ONCE)
+
+
+def test_log_lines_go_on_to_a_topic(spark, scratch):
+    from playtally.sources.logs import read_log_lines, start_log_to_topic
+    logs = f"{scratch}/logs"
+    spark.createDataFrame([("one",), ("two",)], "value string").write.text(logs)
+    q = start_log_to_topic(read_log_lines(spark, logs, max_files_per_trigger=1), f"{scratch}/ck",
+                           {"path": f"{scratch}/topic"}, fmt="parquet", trigger=ONCE)
+    q.awaitTermination()
+    assert _rows(spark.read.parquet(f"{scratch}/topic"), "value", "topic", "partition") == [
+        ("one", "dmp", 0), ("two", "dmp", 0)]
+
+
+def test_stopping_a_query_stops_its_writes(spark, scratch):
+    """The handler's writer threads belong to the query's job group."""
+    import time
+
+    replay = StagedReplay(spark, _fixture_messages(spark), f"{scratch}/stage")
+    replay.release(0)
+    out = f"{scratch}/out"
+    handler = job.PlayCountBatch(out, limit=10)
+    slow = F.expr("java_method('java.lang.Thread', 'sleep', 20000L)")
+    handler._notices = lambda s, deltas, n: deltas.filter(slow.isNull()).selectExpr(
+        "target_id", "'x' as notice_key", "batch_count as view_count")
+    q = (replay.stream().writeStream.foreachBatch(handler).option("checkpointLocation", f"{scratch}/ck")
+         .trigger(**ONCE).start())
+    tracker = spark.sparkContext.statusTracker()
+    deadline = time.time() + 60
+    while time.time() < deadline and not tracker.getJobIdsForGroup(str(q.runId)):
+        time.sleep(0.2)
+    time.sleep(3)
+    q.stop()
+    time.sleep(1)
+    from playtally.session import path_exists
+    assert tracker.getActiveJobsIds() == [] or not list(tracker.getActiveJobsIds())
+    assert not path_exists(spark, f"{out}/done/batch_id=0")
