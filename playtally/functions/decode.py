@@ -9,6 +9,10 @@ no Python runs per row. The accept/reject contract:
 * ``strip=False`` (the variant without a prefix): the raw line is parsed.
 * The JSON object is read with both fields as text, so numbers given as
   strings are accepted; ``try_cast`` then yields BIGINT / INT or NULL.
+* An unquoted number in another form is converted as the reference does: a
+  fraction or exponent is truncated toward zero, and a number beyond the type
+  keeps its low 64 or 32 bits (up to 38 digits; nine decimals). Quoted ones of
+  these forms are rejected. Of a repeated field the last one decides.
 * A row is accepted when both ``target_id`` and ``count`` are non-null.
   Rejected rows are returned by :func:`rejected`, or raise an error with
   ``fail_fast=True``.
@@ -16,6 +20,8 @@ no Python runs per row. The accept/reject contract:
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +29,7 @@ from pyspark.sql import functions as F
 PREFIX = "message: "
 CONTROL_AND_SPACE = "".join(chr(c) for c in range(0x00, 0x21))  # U+0000 .. U+0020
 PAYLOAD_SCHEMA = "targetId STRING, count STRING"
+NUMBER = r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
 JSON_OPTIONS = {"allowUnquotedFieldNames": "true", "allowSingleQuotes": "true"}
 
 
@@ -51,6 +58,22 @@ def parse_payload(text: Column | str) -> Column:
     return F.from_json(_col(text), PAYLOAD_SCHEMA, JSON_OPTIONS)
 
 
+def _field(name: str, text: str, json: Column, bits: int) -> Column:
+    """The field as BIGINT (64 bits) or INT (32 bits); the second way runs only where the plain
+    cast fails on something that looks like a number."""
+    kind = "bigint" if bits == 64 else "int"
+    column = F.col(text)
+    opening = F.regexp_extract(json, rf"(?s).*(?:^|[{{,\s\"']){name}[\"']?\s*:\s*([\"']?)", 1)
+    exact = F.when(column.rlike(r"^-?[0-9]+$"), column.try_cast("decimal(38,0)"))
+    parts = column.try_cast("decimal(38,9)")
+    whole = F.coalesce(exact, F.when(parts < 0, F.ceil(parts)).otherwise(F.floor(parts)))
+    span = F.lit(Decimal(1 << bits))
+    low = F.pmod(whole, span)
+    signed = F.when(low >= F.lit(Decimal(1 << (bits - 1))), low - span).otherwise(low)
+    other = column.rlike(NUMBER) & (opening == "")
+    return F.coalesce(column.try_cast(kind), F.when(other, signed.try_cast(kind)))
+
+
 def decode_messages(messages: DataFrame, strip: bool = True, fail_fast: bool = False,
                     line_col: str = "line") -> DataFrame:
     """Add ``target_id BIGINT`` and ``count INT`` (NULL when undecodable) to every row
@@ -68,8 +91,8 @@ def decode_messages(messages: DataFrame, strip: bool = True, fail_fast: bool = F
         "struct<_target_text: string, _count_text: string>")
     decoded = (messages.drop("target_id", "count")
                .select("*", F.inline(F.array(payload)))
-               .withColumn("target_id", F.col("_target_text").try_cast("bigint"))
-               .withColumn("count", F.col("_count_text").try_cast("int"))
+               .withColumn("target_id", _field("targetId", "_target_text", payload_text(line_col, strip), 64))
+               .withColumn("count", _field("count", "_count_text", payload_text(line_col, strip), 32))
                .drop("_target_text", "_count_text"))
     if fail_fast:
         bad = F.col("target_id").isNull() | F.col("count").isNull()

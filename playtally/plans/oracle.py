@@ -7,6 +7,16 @@ SQL over ``events``. Sums are cast to BIGINT (DuckDB sums integers to HUGEINT).
 
 from __future__ import annotations
 
+import re
+
+# A count: a plain integer, or an unquoted number truncated to its low 32 bits.
+_COUNT = r"""CASE WHEN regexp_full_match({text}, '\s*[+-]?[0-9]+\s*') AND try_cast({text} AS INTEGER) IS NOT NULL
+     THEN try_cast({text} AS INTEGER)
+     WHEN regexp_full_match({text}, '-?[0-9]+([.][0-9]+)?([eE][+-]?[0-9]+)?')
+          AND regexp_extract({json}, '.*"count"\s*:\s*("?)', 1) = ''
+     THEN CAST(((CAST(trunc(CAST({text} AS DECIMAL(38, 9))) AS HUGEINT) % 4294967296 + 4294967296 + 2147483648)
+                % 4294967296) - 2147483648 AS INTEGER) END"""
+
 # Fixed values used in the SQL: notice limit 3000, resume before batch 3,
 # partition 3 never committed (same as playtally.plans.batch_queries).
 MESSAGE_CTES = r"""
@@ -17,6 +27,10 @@ M AS (
          CAST(event_id % 4 AS INTEGER) "partition", CAST(event_id // 4 AS BIGINT) "offset",
          CASE WHEN event_id % 101 = 0 THEN 'message: not json'
               WHEN event_id % 103 = 0 THEN '{"targetId":' || u || '}'
+              WHEN event_id % 107 = 0 THEN '{"targetId":' || u || ',"count":' || c || '.9}'
+              WHEN event_id % 109 = 0 THEN '{"targetId":' || u || ',"count":' || c || 'e1}'
+              WHEN event_id % 113 = 0 THEN '{"targetId":' || u || ',"count":' || (CAST(c AS BIGINT) + 4294967296) || '}'
+              WHEN event_id % 127 = 0 THEN '{"targetId":' || u || ',"count":"' || c || '.9"}'
               WHEN event_id % 4 = 0 THEN 'message: {"targetId":' || u || ',"count":' || c || '}'
               WHEN event_id % 4 = 1 THEN 'message: ' || chr(9) || '{"targetId":' || u || ',"count":' || c || '} ' || chr(13) || chr(10)
               WHEN event_id % 4 = 2 THEN '{"targetId":"' || u || '","count":"' || c || '","extra":1}'
@@ -26,7 +40,7 @@ B AS (SELECT *, CASE WHEN starts_with(line, 'message: ') THEN substr(line, 10) E
 J AS (SELECT *, regexp_replace(body, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g') json FROM B),
 P AS (SELECT *, CASE WHEN json_valid(json) THEN json_extract_string(json, '$.targetId') END target_text,
                 CASE WHEN json_valid(json) THEN json_extract_string(json, '$.count') END count_text FROM J),
-A AS (SELECT *, try_cast(target_text AS BIGINT) target_id, try_cast(count_text AS INTEGER) "count" FROM P),
+A AS (SELECT *, try_cast(target_text AS BIGINT) target_id, @COUNT(json, count_text)@ "count" FROM P),
 D AS (SELECT * FROM A WHERE target_id IS NOT NULL AND "count" IS NOT NULL),
 C AS (SELECT batch_id, target_id, CAST(sum("count") AS BIGINT) batch_count FROM D GROUP BY ALL),
 R AS (SELECT batch_id, target_id,
@@ -43,7 +57,7 @@ RS AS (
 NS AS (
   SELECT batch_id,
          try_cast(CASE WHEN json_valid(line) THEN json_extract_string(line, '$.targetId') END AS BIGINT) target_id,
-         try_cast(CASE WHEN json_valid(line) THEN json_extract_string(line, '$.count') END AS INTEGER) "count"
+         @COUNT(line, (CASE WHEN json_valid(line) THEN json_extract_string(line, '$.count') END))@ "count"
   FROM M)
 """
 
@@ -120,5 +134,15 @@ _BODIES = {
 }
 
 
+def _with_counts(sql: str) -> str:
+    """Write the count rule out for each ``@COUNT(json, text)@``."""
+    def rule(found: re.Match) -> str:
+        json, _, text = found[1].partition(", ")
+        return _COUNT.format(json=json, text=text)
+
+    return re.sub(r"@COUNT\((.*)\)@", rule, sql)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: MESSAGE_CTES + body for name, body in _BODIES.items()}
+    ctes = _with_counts(MESSAGE_CTES)
+    return {name: ctes + body for name, body in _BODIES.items()}

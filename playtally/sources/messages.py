@@ -17,12 +17,16 @@ from playtally.functions.decode import PREFIX
 
 # Fixed values of the message fixture (must stay as they are for the
 # expected results): topic name, number of topic partitions, days per
-# micro-batch and the two divisors that make bad messages.
+# micro-batch and the divisors that make bad messages and odd numbers.
 TOPIC = "dmp"
 TOPIC_PARTITIONS = 4
 DAYS_PER_BATCH = 5
 NOT_JSON_EVERY = 101
 NO_COUNT_EVERY = 103
+FRACTION_EVERY = 107
+EXPONENT_EVERY = 109
+WIDE_EVERY = 113
+QUOTED_FRACTION_EVERY = 127
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +46,10 @@ def message_lines(events: DataFrame) -> DataFrame:
     line = (
         F.when(eid % NOT_JSON_EVERY == 0, F.lit(PREFIX + "not json"))
         .when(eid % NO_COUNT_EVERY == 0, F.concat(F.lit('{"targetId":'), u, F.lit("}")))
+        .when(eid % FRACTION_EVERY == 0, _payload(u, F.concat(k, F.lit(".9"))))
+        .when(eid % EXPONENT_EVERY == 0, _payload(u, F.concat(k, F.lit("e1"))))
+        .when(eid % WIDE_EVERY == 0, _payload(u, (k.cast("bigint") + F.lit(1 << 32)).cast("string")))
+        .when(eid % QUOTED_FRACTION_EVERY == 0, _payload(u, F.concat(F.lit('"'), k, F.lit('.9"'))))
         .when(part == 0, F.concat(F.lit(PREFIX), _payload(u, k)))
         .when(part == 1, F.concat(F.lit(PREFIX + "\t"), _payload(u, k), F.lit(" \r\n")))
         .when(part == 2, F.concat(F.lit('{"targetId":"'), u, F.lit('","count":"'), k,

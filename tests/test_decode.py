@@ -17,10 +17,17 @@ TRUTH = [
     ("{'targetId':7,'count':3}", (7, 3), (7, 3)),
     ("{targetId:7,count:3}", (7, 3), (7, 3)),
     ('{"targetId":7,"targetId":8,"count":3}', (8, 3), (8, 3)),
-    ('{"targetId":7.9,"count":3}', None, None),
-    ('{"targetId":7,"count":1e2}', None, None),
+    ('{"targetId":7.9,"count":3}', (7, 3), (7, 3)),
+    ('{"targetId":7,"count":1e2}', (7, 100), (7, 100)),
+    ('{"targetId":-7.9,"count":-3.9}', (-7, -3), (-7, -3)),
+    ('{"targetId":"7.9","count":3}', None, None),
+    ("{'targetId':7,'count':'1e2'}", None, None),
+    ("{targetId:7,count:3.5}", (7, 3), (7, 3)),
+    ('{"targetId":7,"count":"x","count":2.5}', (7, 2), (7, 2)),
+    ('{"targetId":7,"count":2.5,"count":"2.5"}', None, None),
+    ('{"targetId":18446744073709551623,"count":-4294967299}', (7, -3), (7, -3)),
     ('{"targetId":" 7","count":"3"}', (7, 3), (7, 3)),
-    ('{"targetId":7,"count":4294967299}', None, None),
+    ('{"targetId":7,"count":4294967299}', (7, 3), (7, 3)),
     ('{"targetId":[7],"count":3}', None, None),
     ('{"targetId":7,"count":3} x', (7, 3), (7, 3)),
     ('{"targetId":7}', None, None),

@@ -21,8 +21,11 @@ def _as_int(v, bounds):
         if not v or not (v.isdigit() or (v[0] in "+-" and v[1:].isdigit())):
             return None
         v = int(v)
-    if isinstance(v, int) and bounds[0] <= v <= bounds[1]:
-        return v
+        return v if bounds[0] <= v <= bounds[1] else None
+    if isinstance(v, float):
+        v = int(v)
+    if isinstance(v, int):  # an unquoted number keeps its low bits
+        return (v - bounds[0]) % (bounds[1] - bounds[0] + 1) + bounds[0]
     return None
 
 
@@ -47,7 +50,7 @@ def model(line, strip):
 
 
 _value = st.one_of(
-    st.integers(-2**40, 2**40), st.integers(-2**70, 2**70),
+    st.integers(-2**40, 2**40), st.integers(-2**70, 2**70), st.integers(-9999, 9999).map(lambda i: i / 4),
     st.integers(-999, 999).map(str), st.integers(0, 999).map(lambda i: f" {i} "),
     st.just(None), st.booleans(), st.lists(st.integers(0, 9), max_size=2), st.just("x1"))
 
