@@ -16,7 +16,7 @@ the handler, in order:
 6. writes rejected rows and row metrics (steps 3-6 run as concurrent Spark
    jobs over the cached batch), and the offset ledger where rows have offsets;
 7. hands the batch's notices to ``on_notices`` if given (Kafka rows, a
-   service call);
+   service call); only notices that were sent are stored in step 5's table;
 8. when ``compact_every`` batches have passed since the last one, writes a
    counter and a notice snapshot and removes all but the newest two;
 9. writes the mark ``done/batch_id=N`` last, for every kind of source.
@@ -34,6 +34,7 @@ counts are exactly-once even though the reference's increments were not.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -49,6 +50,8 @@ from playtally.operators.notices import DEFAULT_LIMIT
 from playtally.operators.offsets import batch_ledger, committed_offsets
 from playtally.session import partition_values, path_exists, remove_folder, touch
 
+LOG = logging.getLogger(__name__)
+
 # Fixed value of the reference job: a 10 s processing-time micro-batch.
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
 DEFAULT_COMPACT_EVERY = 64
@@ -249,9 +252,11 @@ class PlayCountBatch:
             lambda: (spark.createDataFrame([(stats["n_rows"], stats["n_rejected"])], SCHEMAS["metrics"])
                      .write.mode("overwrite").parquet(lay.part("metrics", n))),
         ]
+        # With a sender the new notices wait in ``pending``: the flag is set after the send.
+        told = "notices" if self.on_notices is None else "pending"
         if self.notify:
             writes.append(lambda: self._notices(spark, deltas, n)
-                          .write.mode("overwrite").parquet(lay.part("notices", n)))
+                          .write.mode("overwrite").parquet(lay.part(told, n)))
         if {"topic", "partition", "offset"} <= set(decoded.columns):  # log lines have no offsets
             writes.append(lambda: (batch_ledger(decoded, n).drop("batch_id")
                                    .write.mode("overwrite").parquet(lay.part("ledger", n))))
@@ -263,10 +268,21 @@ class PlayCountBatch:
         for f in futures:
             f.result()
         if self.notify and self.on_notices is not None:
-            # Deliver the batch's stored notices (e.g. Kafka rows or a
-            # per-partition service call); a re-run batch delivers again.
-            stored = spark.read.schema(SCHEMAS["notices"]).parquet(lay.part("notices", n))
-            self.on_notices(stored.withColumn("batch_id", F.lit(n).cast("bigint")), n)
+            self._send(spark, n)
+
+    def _send(self, spark: SparkSession, n: int) -> None:
+        """Send the batch's pending notices, then store them as notices (the flag). A failed send
+        is logged and sets no flag: its targets are over the limit still, so each is sent when it
+        next appears. A batch that runs again after its send sends again."""
+        lay = self.layout
+        pending = spark.read.schema(SCHEMAS["notices"]).parquet(lay.part("pending", n))
+        try:
+            self.on_notices(pending.withColumn("batch_id", F.lit(n).cast("bigint")), n)
+        except Exception:
+            LOG.exception("notices of batch %d were not sent; their targets stay unnotified", n)
+            remove_folder(spark, lay.part("notices", n))
+            return
+        pending.write.mode("overwrite").parquet(lay.part("notices", n))
 
     def _notices(self, spark: SparkSession, deltas: DataFrame, n: int) -> DataFrame:
         history = _history(spark, self.layout, n)

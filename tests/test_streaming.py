@@ -302,3 +302,21 @@ def test_stopping_a_query_stops_its_writes(spark, scratch):
     from playtally.session import path_exists
     assert tracker.getActiveJobsIds() == [] or not list(tracker.getActiveJobsIds())
     assert not path_exists(spark, f"{out}/done/batch_id=0")
+
+
+def test_failed_send_is_retried_when_the_target_next_appears(spark, scratch):
+    rows = [(0, 0, "dmp", 0, 0, '{"targetId":1,"count":20}'), (1, 0, "dmp", 0, 1, '{"targetId":2,"count":30}'),
+            (2, 1, "dmp", 0, 2, '{"targetId":1,"count":1}'), (3, 2, "dmp", 0, 3, '{"targetId":1,"count":1}')]
+    msgs = spark.createDataFrame(
+        rows, "event_id BIGINT, batch_id BIGINT, topic STRING, partition INT, offset BIGINT, line STRING")
+    sent = []
+
+    def send(df, n):
+        if n == 0:
+            raise OSError("queue is down")
+        sent.extend((n, r.target_id) for r in df.collect())
+
+    _, _, out, _ = _run_job(spark, msgs, scratch, 10, on_notices=send)
+    assert sent == [(1, 1)]
+    assert _rows(job.read_output(spark, out, "notices"), "batch_id", "target_id", "view_count") == [(1, 1, 21)]
+    assert _rows(job.read_counters(spark, out), "target_id", "view_count") == [(1, 22), (2, 30)]
