@@ -6,7 +6,7 @@ documents link when ``100 * intersection >= percent * union``.
 1. *Frequencies.* Tasks cut their shingles by shingle bucket and document part
    into packed, locally distinct arrays (a shingle that a third of all documents
    share costs two entries per slice); a bucket's task counts them and sends
-   each part the shingles that occur more than once. Five bytes a shingle travel,
+   each part the shingles that occur more than once. Four bytes a shingle travel,
    nothing per (document, shingle) row.
 2. *Prefixes.* A part's documents meet those counts. Shingles are ordered rarest
    first; a set of size n keeps its first ``n - ceil(p n) + 1`` (a pair that
@@ -49,15 +49,18 @@ from playtally.session import materialize
 
 WIDTH = 4
 PERCENT = 85
-PART_BYTES = 16 << 20     # text of a document part, about
+PART_BYTES = 24 << 20     # text of a document part, about
 SLICE_BYTES = 3 << 20     # text handled at once inside a task
 LEAST_PARTS = 32
 
-_BITS = np.uint64(40)     # low bits of a shingle kept inside a bucket
-_LOW = np.uint64((1 << 40) - 1)
+# Low bits of a shingle kept inside a bucket. Buckets hold a few million shingles at any input
+# size, so about one in a thousand is counted together with another one. That changes the
+# order of shingles, equally in all documents, and no result.
+_BITS = np.uint64(32)
+_LOW = np.uint64((1 << 32) - 1)
 
 BLOB_SCHEMA = "bucket int, part int, low binary"
-SHARED_SCHEMA = "part int, keys binary, counts binary"
+SHARED_SCHEMA = "part int, bucket int, low binary, counts binary"
 SET_SCHEMA = ("doc_id bigint, n bigint, sum1 bigint, sum2 bigint, tokens array<bigint>, ranks array<bigint>, "
               "shingles binary")
 
@@ -86,18 +89,6 @@ def _bucket(shingles: np.ndarray, buckets: int) -> np.ndarray:
     return ((shingles >> _BITS) % np.uint64(buckets)).astype(np.int64)
 
 
-def _pack(low: np.ndarray) -> np.ndarray:
-    """Five bytes a value."""
-    return low.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-
-
-def _unpack(packed: bytes) -> np.ndarray:
-    five = np.frombuffer(packed, np.uint8).reshape(-1, 5)
-    out = np.zeros((len(five), 8), np.uint8)
-    out[:, :5] = five
-    return out.view("<u8").ravel()
-
-
 def _blobs(buckets: int, width: int) -> Callable:
     """``part, text`` to BLOB_SCHEMA: per slice, a bucket's shingles of a part, each once or,
     where it occurs more often, twice."""
@@ -121,8 +112,8 @@ def _blobs(buckets: int, width: int) -> Callable:
                 third[2:] = same[2:] & same[1:-1]
                 cell, low = cell[~third], low[~third]
                 edge = np.concatenate(([0], np.flatnonzero(np.diff(cell)) + 1, [len(cell)]))
-                data = pa.py_buffer(_pack(low).tobytes())
-                offsets = pa.py_buffer((edge * 5).astype(np.int32).tobytes())
+                data = pa.py_buffer(low.astype("<u4").tobytes())
+                offsets = pa.py_buffer((edge * 4).astype(np.int32).tobytes())
                 first = cell[edge[:-1]]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(first // buckets, pa.int32()), pa.array(first % buckets, pa.int32()),
@@ -134,7 +125,7 @@ def _blobs(buckets: int, width: int) -> Callable:
 
 def _count_bucket(key: tuple, table: pa.Table) -> pa.Table:
     """One bucket: per part, its shingles that occur more than once in all, with saturated counts."""
-    lows = [_unpack(x) for x in table["low"].to_pylist()]
+    lows = [np.frombuffer(x, "<u4") for x in table["low"].to_pylist()]
     parts = np.repeat(table["part"].to_numpy(), [len(x) for x in lows])
     low = np.concatenate(lows)
     values, where, counts = np.unique(low, return_inverse=True, return_counts=True)
@@ -144,21 +135,23 @@ def _count_bucket(key: tuple, table: pa.Table) -> pa.Table:
     part, which = pairs // len(values), pairs % len(values)
     edge = np.searchsorted(part, np.arange(part[-1] + 2)) if len(part) else np.zeros(1, np.int64)
     out_part, keys, times = [], [], []
-    bucket = np.uint64(key[0].as_py()) << _BITS
     for p in np.unique(part):
         some = which[edge[p]:edge[p + 1]]
         out_part.append(int(p))
-        keys.append((values[some].astype(np.uint64) | bucket).astype("<u8").tobytes())
+        keys.append(values[some].tobytes())
         times.append(np.minimum(counts[some], 65535).astype("<u2").tobytes())
-    return pa.table({"part": pa.array(out_part, pa.int32()), "keys": pa.array(keys, pa.binary()),
-                     "counts": pa.array(times, pa.binary())})
+    return pa.table({"part": pa.array(out_part, pa.int32()),
+                     "bucket": pa.array([key[0].as_py()] * len(out_part), pa.int32()),
+                     "low": pa.array(keys, pa.binary()), "counts": pa.array(times, pa.binary())})
 
 
 def _prefixes(buckets: int, width: int, percent: int) -> Callable:
     """A part's documents and counts to SET_SCHEMA rows."""
 
     def join(docs: pa.Table, shared: pa.Table) -> pa.Table:
-        keys = np.frombuffer(b"".join(shared["keys"].to_pylist()), "<u8")
+        lows = shared["low"].to_pylist()
+        keys = np.frombuffer(b"".join(lows), "<u4").astype(np.uint64) | np.repeat(
+            shared["bucket"].to_numpy().astype(np.uint64) << _BITS, [len(x) // 4 for x in lows])
         counts = np.frombuffer(b"".join(shared["counts"].to_pylist()), "<u2")
         by = np.argsort(keys, kind="stable")
         keys, counts = keys[by], counts[by]
