@@ -123,6 +123,24 @@ def test_license_wordings(text, found):
     assert sorted({f["license"] for f in licenses.scan_text(text, {})}) == found
 
 
+def test_license_notices_in_lines_of_any_length(spark):
+    """Each notice planted once in a line of 10 to 10,000 words, held against an exact word search."""
+    rng = np.random.default_rng(9)
+    pool = " ".join(r.text for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect() if r.text)
+    pool = [w for w in pool.split() if not licenses._TRIGGER.search(w)]
+    lost = []
+    for n in (10, 100, 300, 1000, 10_000):
+        for name, texts in licenses.TEMPLATES.items():
+            for notice in texts:
+                at, cut = int(rng.integers(len(pool) - n)), int(rng.integers(n + 1))
+                own = pool[at:at + n]
+                line = " ".join([*own[:cut], notice, *own[cut:]])
+                assert f" {' '.join(licenses._split(notice.lower())[0])} " in f" {' '.join(licenses._split(line.lower())[0])} "
+                if name not in {f["license"] for f in licenses.scan_text("x\n" + line, {}) if f["line"] == 1}:
+                    lost.append((n, notice[:40]))
+    assert lost == []
+
+
 def test_license_scan_finds_every_template_line(spark):
     short = {t: n for n, texts in licenses.TEMPLATES.items() for t in texts if len(t) < 100}
     for r in spark.read.parquet(f"{SF_MORE}/documents.parquet").join(
