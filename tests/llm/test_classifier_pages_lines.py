@@ -123,6 +123,31 @@ def test_license_wordings(text, found):
     assert sorted({f["license"] for f in licenses.scan_text(text, {})}) == found
 
 
+BSD = ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the "
+       "following\nconditions are met:\n1. Redistributions of source code must retain the above copyright notice, this list "
+       "of conditions and the following disclaimer.\n2. Redistributions in binary form must reproduce the above copyright "
+       "notice, this list of conditions and the following disclaimer in the documentation.\n")
+THIRD = ("3. Neither the name of Acme nor the names of its contributors may be used to endorse or promote products derived "
+         "from this software without specific prior written permission.\n")
+
+
+@pytest.mark.parametrize(("text", "found"), [
+    ("License\n" + BSD + THIRD, [("BSD-3-Clause", 1)]),
+    ("License\n\n" + BSD + "THIS SOFTWARE IS PROVIDED AS IS", [("BSD-2-Clause", 2)]),
+    (BSD + "\n" + BSD + THIRD, [("BSD-2-Clause", 0), ("BSD-3-Clause", 6)]),
+    ("All rights reserved. Some words. All rights reserved.", [("LicenseRef-all-rights-reserved", 0)] * 2),
+    ("Released under the MIT License. Also: Licensed under the MIT License.\nAll\nrights reserved",
+     [("MIT", 0), ("MIT", 0), ("LicenseRef-all-rights-reserved", 1)]),
+    ("// SPDX-License-Identifier: (MIT OR Apache-2.0) AND GPL-2.0-only WITH Classpath-exception-2.0 */\nint x;",
+     [("MIT", 0), ("Apache-2.0", 0), ("GPL-2.0-only", 0)]),
+    (licenses.TEMPLATES["GPL-3.0"][1].replace("General", "Affero General"), [("AGPL-3.0", 0)]),
+    ("Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby\ngranted, "
+     "provided that the above copyright notice and this permission notice appear in all copies.", [("ISC", 0)]),
+])
+def test_license_notices_over_lines_repeats_and_tags(text, found):
+    assert [(f["license"], f["line"]) for f in licenses.scan_text(text, {})] == found
+
+
 def test_license_notices_in_lines_of_any_length(spark):
     """Each notice planted once in a line of 10 to 10,000 words, held against an exact word search."""
     rng = np.random.default_rng(9)
