@@ -13,8 +13,9 @@ Both potential tables are counted, with smoothing, on labelled pages
 array operation per tree depth. Pages are independent: one narrow pass, no
 shuffle.
 
-Text rules: character references are decoded; scripts, styles, templates,
-comments and the head are never text; block elements end a text block, other
+Text rules: character references are decoded; scripts, styles, templates, frames'
+fallbacks, comments and the head are never text; formulas, drawings, objects and
+noscript are elements like others, kept or not by their label; block elements end a text block, other
 tags do not; white space inside a block (a line break tag counts as white space)
 becomes one space; blocks are trimmed, empty ones dropped, and joined by one
 line feed in page order. Malformed pages are read leniently: unclosed elements
@@ -47,8 +48,9 @@ SMOOTHING = 0.5
 
 # Fixed values of HTML: elements without content, with raw content, that are blocks, and
 # those whose start tag ends an open element of the listed names.
-_VOID = set("area base br col embed hr img input link meta source track wbr".split())
-_RAW = set("script style noscript iframe template svg math object xmp noframes noembed".split())
+_VOID = set("area base br col embed hr img input link meta param source track wbr".split())
+_RAW = set("script style iframe template xmp noframes noembed title".split())
+_FOREIGN = {"svg", "math"}  # inside these any start tag may close itself
 _BLOCK = set("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset "
              "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol "
              "option p pre search section select summary table tbody td textarea tfoot th thead title tr ul".split())
@@ -62,6 +64,7 @@ _ENDS_P = _BLOCK - {"body", "html", "head", "button", "option", "caption", "td",
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?/](?![a-zA-Z])[^>]*(?:>|\Z)|<!doctype[^>]*(?:>|\Z)"
                     r"|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*)(>|\Z)|([^<]+|<)", re.S | re.I)
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_UNQUOTED_END = re.compile(r"=\s*[^\s\"'=]+\Z")
 _NAME_PARTS = re.compile(r"[a-z]+")
 
 # Families of tags and of words in class, id and role, by what they usually hold.
@@ -132,12 +135,15 @@ def parse(source: str) -> Page:
                     close(depth)
                     break
             continue
-        if name in _RAW or name == "title":
-            if attributes.rstrip().endswith("/") and name in ("svg", "math"):
-                continue
-            stop = re.compile(rf"</{name}\s*>", re.I).search(source, at)
-            at = stop.end() if stop else len(source)
+        if attributes.endswith("/") and not _UNQUOTED_END.search(attributes[-500:]) and (
+                name in _RAW or name in _FOREIGN or name == "object" or any(page.tags[e] in _FOREIGN for e in stack)):
             continue
+        in_head = name == "noscript" and stack and page.tags[stack[-1]] == "head"
+        if name in _RAW or in_head:
+            stop = re.compile(rf"</{name}\s*>", re.I).search(source, at)
+            if stop or not in_head:
+                at = stop.end() if stop else len(source)
+                continue
         if name == "br":
             if stack:
                 page.runs.append((stack[-1], block, " "))

@@ -93,6 +93,22 @@ def test_page_parts_are_told_apart(spark):
     assert pages.extract_pages(table.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize(("extra", "text"), [
+    ("<p>Here <math><mi>E</mi><mo>=</mo><mi>m</mi></math> is the formula, as said.</p>", "Here E=m is the formula, as said."),
+    ("<p>A drawing: <svg><path d='M0 0'/><g><circle r=1 /></g><text>its label</text></svg> stands here.</p>",
+     "A drawing: its label stands here."),
+    ("<p>An object <object data=/x><param name=a>with its words</object> stands here.</p>",
+     "An object with its words stands here."),
+    ("<noscript><p>Words without any script, here.</p></noscript>", "Words without any script, here."),
+    ("<object data='/x'>", ""), ("<object data='/x'/>", ""), ("<noscript>", ""), ("<math><mi>", ""), ("<svg viewBox='0'>", ""),
+    ("<iframe src='/x'/>", ""), ("<iframe allowfullscreen/>", ""), ("<svg/>", ""),
+])
+def test_page_elements_that_are_no_raw_text(extra, text):
+    page = PAGE.replace("<p>Second one", extra + "<p>Second one")
+    want = ["The & title", "First paragraph, with a link in it. And more.", text, "Second one, unclosed.", "Third <one>."]
+    assert pages.extract([pages.parse(page)], pages.train_model()) == ["\n".join(x for x in want if x)]
+
+
 def test_marginals_equal_enumeration():
     """Sum-product against summing over all labelings of a small tree."""
     from itertools import product
