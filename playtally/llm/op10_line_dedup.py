@@ -2,19 +2,20 @@
 
 Lines are parsed like log messages. A line's path in the tree is its token count
 and its first ``depth`` tokens; tokens that hold a digit are variable from the
-start. All lines that reach a leaf form one template when they agree on at least
-``agree`` of ``SEGMENTS`` equal stretches of their tokens: the stretches on which
-they differ are the template's variable fields. In a leaf whose lines agree less
-(unrelated lines that merely begin alike), every distinct line is a template of
-its own. A template that occurs in enough documents is boilerplate: all its
-lines are dropped. Long templates need ``long_docs`` documents, short ones, which
-recur by chance, ``short_docs``.
-
-A leaf's state is the least and greatest hash per stretch plus counts, so leaves
-are ordinary aggregates with map-side partial sums: a line that a third of all
-documents hold never meets in one task. Only (document key, line number, hashes)
-rows are shuffled for this; the texts are shuffled once, to meet their dropped
-line numbers.
+start. A leaf holds any number of templates: one for every choice of ``agree`` of
+``SEGMENTS`` equal stretches of the tokens and the words on them; the other
+stretches are the template's variable fields. So a line belongs to a template
+whatever other lines its leaf holds. A template that occurs in enough documents
+is boilerplate: all its lines are dropped. Long templates need ``long_docs``
+documents, short ones, which recur by chance, ``short_docs``.
+
+All state is plain aggregates with map-side partial sums. Leaves that too few
+documents reach hold no template and leave first. Equal lines in enough documents
+are settled next, once per line text and not per document; only the lines left
+over (each in few documents) are counted under all their choices. A line that a
+third of all documents hold therefore never meets in one task. Only (document
+key, line number, hashes) rows are shuffled for this; the texts are shuffled
+once, to meet their dropped line numbers.
 
 Defined results: lines without tokens are never dropped; null and empty texts
 have no lines to drop and come back as they are. Rows with equal doc_id and text
@@ -25,6 +26,8 @@ rows.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,19 +66,37 @@ def _enough(docs_column: str, long_tokens: int, long_docs: int, short_docs: int)
     return F.col(docs_column) >= need
 
 
+def _choices(lines: DataFrame, agree: int, *columns: str) -> DataFrame:
+    """A row per line and choice of ``agree`` stretches: the hash of its template."""
+    hashes = [F.xxhash64("leaf", F.lit(i), *[F.col(f"s{k}") for k in some])
+              for i, some in enumerate(combinations(range(SEGMENTS), agree))]
+    return lines.select(*columns, F.explode(F.array(*hashes)).alias("template"))
+
+
 def recurring(lines: DataFrame, agree: int = AGREE, long_tokens: int = LONG_TOKENS, long_docs: int = LONG_DOCS,
-              short_docs: int = SHORT_DOCS) -> tuple[DataFrame, DataFrame]:
-    """Recurring templates: ``leaf, docs`` for generalised ones, ``exact, docs`` for single lines."""
-    bounds = [f(f"s{i}").alias(f"{n}{i}") for i in range(SEGMENTS) for f, n in ((F.min, "lo"), (F.max, "hi"))]
-    shape = lines.groupBy("leaf").agg(F.first("n_tokens").alias("n_tokens"), *bounds)
-    same = sum((F.col(f"lo{i}") == F.col(f"hi{i}")).cast("int") for i in range(SEGMENTS))
-    in_leaf = lines.groupBy("leaf", "key").agg(F.lit(1).alias("_1")).groupBy("leaf").agg(F.count("_1").alias("docs"))
-    leaves = (shape.filter(same >= agree).join(in_leaf, "leaf")
-              .filter(_enough("docs", long_tokens, long_docs, short_docs)).select("leaf", "docs"))
-    alike = (lines.groupBy("exact", "key").agg(F.first("n_tokens").alias("n_tokens"))
-             .groupBy("exact").agg(F.first("n_tokens").alias("n_tokens"), F.count(F.lit(1)).alias("docs"))
-             .filter(_enough("docs", long_tokens, long_docs, short_docs)).select("exact", "docs"))
-    return materialize(leaves, "template-leaves"), materialize(alike, "template-exact")
+              short_docs: int = SHORT_DOCS) -> DataFrame:
+    """``exact`` of the lines whose template recurs: lines in enough documents, and lines with a
+    choice of stretches that enough documents hold."""
+    need = (long_tokens, long_docs, short_docs)
+    shared = materialize(
+        lines.groupBy("leaf", "key").agg(F.first("n_tokens").alias("n_tokens"))
+        .groupBy("leaf").agg(F.first("n_tokens").alias("n_tokens"), F.count(F.lit(1)).alias("docs"))
+        .filter(_enough("docs", *need)).select("leaf"), "template-leaves")
+    stretches = [f"s{i}" for i in range(SEGMENTS)]
+    held = materialize(lines.join(shared, "leaf", "left_semi").groupBy("exact", "key")
+                       .agg(*[F.first(c).alias(c) for c in ("leaf", "n_tokens", *stretches)]), "template-held")
+    texts = materialize(held.groupBy("exact").agg(*[F.first(c).alias(c) for c in ("leaf", "n_tokens", *stretches)],
+                                                  F.count(F.lit(1)).alias("docs")), "template-texts")
+    alike = texts.filter(_enough("docs", *need))
+    rare = texts.filter(~_enough("docs", *need))
+    # A template of a line that recurs itself recurs; the others' documents are counted.
+    counted = (_choices(held.join(alike.select("exact"), "exact", "left_anti"), agree, "key", "n_tokens")
+               .groupBy("template", "key").agg(F.first("n_tokens").alias("n_tokens"))
+               .groupBy("template").agg(F.first("n_tokens").alias("n_tokens"), F.count(F.lit(1)).alias("docs"))
+               .filter(_enough("docs", *need)).select("template"))
+    templates = materialize(_choices(alike, agree).union(counted).distinct(), "template-choices")
+    general = _choices(rare, agree, "exact").join(templates, "template", "left_semi").select("exact").distinct()
+    return materialize(alike.select("exact").union(general), "template-exact")
 
 
 def clean_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH,
@@ -83,12 +104,10 @@ def clean_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """``doc_id, n_lines, n_dropped, n_tokens_dropped, text`` per row of ``docs``: the text
     without the lines of recurring templates."""
     lines = parsed_lines(docs, doc_id, text, depth)
-    leaves, alike = recurring(lines, **thresholds)
-    slim = lines.select("key", "line", "n_tokens", "leaf", "exact")
-    # Semi joins one after the other: each meets stored keys, so Spark can split a hot one.
-    by_leaf = slim.join(leaves.select("leaf"), "leaf", "left_semi").select("key", "line", "n_tokens")
-    by_line = slim.join(alike.select("exact"), "exact", "left_semi").select("key", "line", "n_tokens")
-    dropped = (by_leaf.union(by_line).groupBy("key", "line").agg(F.first("n_tokens").alias("n"))
+    # A semi join on stored keys, so that Spark can split a hot one.
+    dropped = (lines.select("key", "line", "n_tokens", "exact")
+               .join(recurring(lines, **thresholds), "exact", "left_semi")
+               .groupBy("key", "line").agg(F.first("n_tokens").alias("n"))
                .groupBy("key").agg(F.collect_list("line").alias("_gone"), F.sum("n").cast("bigint").alias("_tokens"))
                .withColumnRenamed("key", "_k"))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"))

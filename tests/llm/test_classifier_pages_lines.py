@@ -205,6 +205,24 @@ def test_templates_generalise_variable_fields(spark):
         assert r.n_lines == 3 and r.n_dropped == 1 and "order" not in r.text and r.text.count("\n") == 1
 
 
+def test_templates_beside_other_lines_of_their_leaf(spark):
+    """An unrelated line and a second template with the same length and first five tokens switch nothing off."""
+    names = ["ann", "bob", "cyd", "dee", "eve", "fay"]
+    head = "Your order number 12 was "
+    one = head + "shipped to our valued customer {who} by the usual carrier and will arrive within three days"
+    two = head + "refused by the bank of {who} so please call our helpful office before this week ends"
+    other = head + "never seen though nine old neighbours swear that it fell off some truck near your quiet little house"
+    short = "We thank our friend {who} for a gift to this site"
+    assert len({len(x.split()) for x in (one, two)}) == 1
+    other = " ".join(other.split()[:len(one.split())])
+    rows = [(i, f"own {chr(97 + i) * 3} words\n{one.format(who=w)}\n{two.format(who=w)}\n{short.format(who=w)}")
+            for i, w in enumerate(names)] + [(9, other)]
+    got = {r.doc_id: r for r in lines.clean_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[9].text == other
+    for i, w in enumerate(names):
+        assert got[i].text == f"own {chr(97 + i) * 3} words\n{short.format(who=w)}" and got[i].n_dropped == 2
+
+
 def test_line_dedup_odd_rows(spark):
     docs = odd_documents(spark)
     got = lines.clean_documents(docs)
