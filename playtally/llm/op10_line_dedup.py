@@ -17,6 +17,11 @@ third of all documents hold therefore never meets in one task. Only (document
 key, line number, hashes) rows are shuffled for this; the texts are shuffled
 once, to meet their dropped line numbers.
 
+A template needs constant words. A line with fewer than ``LEAST_CONSTANT`` tokens
+without a digit, or with more variable tokens than constant ones (years, prices,
+rows of a table), recurs only as it stands, digits included. A choice of stretches
+with fewer than ``LEAST_CONSTANT`` constant tokens is no template either.
+
 Defined results: lines without tokens are never dropped; null and empty texts
 have no lines to drop and come back as they are. Rows with equal doc_id and text
 are one document (and all come back); a null doc_id is a value like others. The
@@ -37,6 +42,7 @@ from playtally.session import materialize
 DEPTH = 5          # leading tokens on a line's path
 SEGMENTS = 6
 AGREE = 4          # stretches on which a template's lines agree, at least
+LEAST_CONSTANT = 3  # tokens without a digit that a template holds, at least
 LONG_TOKENS = 20
 LONG_DOCS = 2
 SHORT_DOCS = 10
@@ -47,18 +53,25 @@ def _key(doc_id: Column, text: Column) -> Column:
 
 
 def parsed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH) -> DataFrame:
-    """``key, line, n_tokens, leaf, exact, s0..`` per line with tokens, stored."""
+    """``key, line, n_tokens, leaf, exact, s0.., c0..`` per line with tokens, stored; ``c``: constant
+    tokens on a stretch."""
     lines = docs.select(_key(F.col(doc_id), F.col(text)).alias("key"),
                         F.posexplode(F.split(F.col(text), "\n")).alias("line", "_l"))
-    masked = lines.select("key", "line", F.regexp_replace("_l", r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", "<*>").alias("_m"))
-    tokens = masked.select("key", "line", F.array_remove(F.split("_m", WORD_BREAK), "").alias("_w")).filter(F.size("_w") > 0)
+    masked = lines.select("key", "line", "_l", F.regexp_replace("_l", r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", "<*>").alias("_m"))
+    tokens = masked.select("key", "line", "_l", F.array_remove(F.split("_m", WORD_BREAK), "").alias("_w")).filter(F.size("_w") > 0)
     edge = lambda i: f"cast(size(_w) * {i} div {SEGMENTS} as int)"
-    stretches = [F.expr(f"hash(slice(_w, {edge(i)} + 1, {edge(i + 1)} - {edge(i)}))").alias(f"s{i}")
-                 for i in range(SEGMENTS)]
-    return materialize(tokens.select(
-        "key", "line", F.size("_w").alias("n_tokens"),
-        F.xxhash64(F.size("_w"), F.slice("_w", 1, depth)).alias("leaf"), F.xxhash64("_w").alias("exact"), *stretches),
-        "template-lines")
+    stretch = lambda i: f"slice(_w, {edge(i)} + 1, {edge(i + 1)} - {edge(i)})"
+    stretches = [F.expr(f"hash({stretch(i)})").alias(f"s{i}") for i in range(SEGMENTS)]
+    constant = [F.expr(f"size(array_remove({stretch(i)}, '<*>'))").alias(f"c{i}") for i in range(SEGMENTS)]
+    cut = tokens.select(
+        "key", "line", "_l", F.size("_w").alias("n_tokens"), F.xxhash64(F.size("_w"), F.slice("_w", 1, depth)).alias("leaf"),
+        F.xxhash64("_w").alias("exact"), *stretches, *constant)
+    n_constant = sum(F.col(f"c{i}") for i in range(SEGMENTS))
+    general = (n_constant >= LEAST_CONSTANT) & (2 * n_constant >= F.col("n_tokens"))
+    own = F.xxhash64(F.array_remove(F.split("_l", WORD_BREAK), ""), F.lit("unmasked"))
+    return materialize(cut.select(
+        "key", "line", "n_tokens", *[F.when(general, F.col(c)).otherwise(own).alias(c) for c in ("leaf", "exact")],
+        *[f"s{i}" for i in range(SEGMENTS)], *[F.col(f"c{i}") for i in range(SEGMENTS)]), "template-lines")
 
 
 def _enough(docs_column: str, long_tokens: int, long_docs: int, short_docs: int) -> Column:
@@ -68,9 +81,10 @@ def _enough(docs_column: str, long_tokens: int, long_docs: int, short_docs: int)
 
 def _choices(lines: DataFrame, agree: int, *columns: str) -> DataFrame:
     """A row per line and choice of ``agree`` stretches: the hash of its template."""
-    hashes = [F.xxhash64("leaf", F.lit(i), *[F.col(f"s{k}") for k in some])
+    hashes = [F.when(sum(F.col(f"c{k}") for k in some) >= LEAST_CONSTANT,
+                     F.xxhash64("leaf", F.lit(i), *[F.col(f"s{k}") for k in some]))
               for i, some in enumerate(combinations(range(SEGMENTS), agree))]
-    return lines.select(*columns, F.explode(F.array(*hashes)).alias("template"))
+    return lines.select(*columns, F.explode(F.array_compact(F.array(*hashes))).alias("template"))
 
 
 def recurring(lines: DataFrame, agree: int = AGREE, long_tokens: int = LONG_TOKENS, long_docs: int = LONG_DOCS,
@@ -82,7 +96,7 @@ def recurring(lines: DataFrame, agree: int = AGREE, long_tokens: int = LONG_TOKE
         lines.groupBy("leaf", "key").agg(F.first("n_tokens").alias("n_tokens"))
         .groupBy("leaf").agg(F.first("n_tokens").alias("n_tokens"), F.count(F.lit(1)).alias("docs"))
         .filter(_enough("docs", *need)).select("leaf"), "template-leaves")
-    stretches = [f"s{i}" for i in range(SEGMENTS)]
+    stretches = [f"{x}{i}" for x in "sc" for i in range(SEGMENTS)]
     held = materialize(lines.join(shared, "leaf", "left_semi").groupBy("exact", "key")
                        .agg(*[F.first(c).alias(c) for c in ("leaf", "n_tokens", *stretches)]), "template-held")
     texts = materialize(held.groupBy("exact").agg(*[F.first(c).alias(c) for c in ("leaf", "n_tokens", *stretches)],

@@ -223,6 +223,18 @@ def test_templates_beside_other_lines_of_their_leaf(spark):
         assert got[i].text == f"own {chr(97 + i) * 3} words\n{short.format(who=w)}" and got[i].n_dropped == 2
 
 
+def test_lines_of_numbers_are_compared_as_they_stand(spark):
+    """Years, prices and table rows that differ stay; the same row in enough documents goes."""
+    rng = np.random.default_rng(3)
+    row = lambda n: " ".join(f"{x:.2f}" for x in rng.random(n))
+    same, rows = row(24), []
+    for i in range(12):
+        own = [f"{1990 + i}", f"EUR {i}.50", f"{i} May {2000 + i}", row(7), row(30), "Total sum " + row(20)]
+        rows.append((i, "\n".join([*own, same, f"Read all {i} answers of this thread"])))
+    for r in lines.clean_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert r.text == "\n".join(rows[r.doc_id][1].split("\n")[:6])
+
+
 def test_line_dedup_odd_rows(spark):
     docs = odd_documents(spark)
     got = lines.clean_documents(docs)
