@@ -22,6 +22,9 @@ documents link when ``100 * intersection >= percent * union``.
    to their members and verified. Members of one component are never paired
    with each other, so a group of thousands of near copies costs one pair each,
    not all pairs; no pair that could join two components is left out.
+5. *Links are counted* inside each component whose pairs are not all found yet: its
+   sets are spread over blocks, a task takes two blocks and multiplies their
+   shingle incidence matrices, and only a count per class leaves it.
 
 Defined results: texts without words (null, empty, white space) have size 0 and
 are linked with nothing; their component is their own doc_id. A text of fewer
@@ -52,6 +55,8 @@ PERCENT = 85
 PART_BYTES = 24 << 20     # text of a document part, about
 SLICE_BYTES = 3 << 20     # text handled at once inside a task
 LEAST_PARTS = 32
+BLOCK_SETS = 2048         # sets of a component in a block, about, and their bytes
+BLOCK_BYTES = 8 << 20
 
 # Low bits of a shingle kept inside a bucket. Buckets hold a few million shingles at any input
 # size, so about one in a thousand is counted together with another one. That changes the
@@ -251,6 +256,54 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").filter(links("sa", "sb")).select("a", "b")
 
 
+def _overlaps(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
+    """Intersection sizes of all pairs of sets, by dense products over some shingles at a time."""
+    values, codes, counts = np.unique(np.concatenate(xs + ys), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(xs) + len(ys)), [len(s) for s in xs + ys])
+    often = np.flatnonzero(counts[codes] > 1)
+    often = often[np.argsort(codes[often], kind="stable")]
+    codes, owner = codes[often], owner[often]
+    out = np.zeros((len(xs), len(ys)), np.float32)
+    step = 1024
+    for low in range(0, len(values), step):
+        a, b = np.searchsorted(codes, (low, low + step))
+        if a == b:
+            continue
+        held = np.zeros((len(xs) + len(ys), step), np.float32)
+        held[owner[a:b], codes[a:b] - low] = 1
+        out += held[:len(xs)] @ held[len(xs):].T
+    return out.astype(np.int64)
+
+
+def _link_counts(nodes: DataFrame, percent: int) -> DataFrame:
+    """``rep, links``: with how many other sets of its component each of ``nodes`` (``rep,
+    component, blocks, shingles``) links."""
+
+    def count(key: tuple, table: pa.Table) -> pa.Table:
+        i, j = key[1].as_py(), key[2].as_py()
+        reps, block = table["rep"].to_numpy(), table["block"].to_numpy()
+        sets = [np.frombuffer(x.as_buffer(), "<u8") for x in table["shingles"]]
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        if not len(left) or not len(right):
+            return pa.table({"rep": pa.array([], pa.int64()), "links": pa.array([], pa.int64())})
+        sizes = np.array([len(x) for x in sets])
+        both = _overlaps([sets[k] for k in left], [sets[k] for k in right])
+        link = 100 * both >= percent * (sizes[left][:, None] + sizes[right] - both)
+        link &= reps[left][:, None] != reps[right]
+        ids, links = reps[left], link.sum(1)
+        if i != j:
+            ids, links = np.concatenate((ids, reps[right])), np.concatenate((links, link.sum(0)))
+        return pa.table({"rep": pa.array(ids, pa.int64()), "links": pa.array(links.astype(np.int64), pa.int64())})
+
+    placed = nodes.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    met = placed.select("component", "rep", "block", "shingles",
+                        F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).alias("_o"))
+    return (met.select("component", F.least("block", "_o").alias("i"), F.greatest("block", "_o").alias("j"), "rep", "block",
+                       "shingles")
+            .groupBy("component", "i", "j").applyInArrow(count, "rep bigint, links bigint")
+            .groupBy("rep").agg(F.sum("links").alias("links")))
+
+
 def _pairs(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -259,8 +312,8 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
                       percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, n_links`` per row of ``docs``.
 
-    ``n_links`` counts the verified links of the document's class that the join made (copies
-    of one set not counted): 0 for a document without near copies.
+    ``n_links`` counts the other classes that the document's class links with (copies of one
+    set not counted): 0 for a document without near copies.
     """
     sets = document_sets(docs, doc_id, text, width, percent)
     # Classes of equal sets; their kept prefixes are equal, too.
@@ -308,8 +361,24 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     second = materialize(again.join(first, ["a", "b"], "left_anti"), "jaccard-pairs")
     all_links = materialize(links.union(_verified(second, whole, percent)), "jaccard-links")
     final = components(all_links)
-    degree = (all_links.select(F.explode(F.array("a", "b")).alias("_d")).groupBy("_d")
-              .agg(F.count(F.lit(1)).alias("links")))
+    made = (all_links.select(F.explode(F.array("a", "b")).alias("_d")).groupBy("_d")
+            .agg(F.count(F.lit(1)).alias("links")))
+    nodes = materialize(final.join(made, F.col("node") == F.col("_d")).select("node", "component", "links"),
+                        "jaccard-nodes")
+    # Where every pair of a component is a made link, nothing is left to count.
+    partial = materialize(
+        nodes.groupBy("component").agg(F.count(F.lit(1)).alias("_n"), F.sum("links").alias("_s"))
+        .filter("_s < _n * (_n - 1)").select(F.col("component").alias("_c"), "_n"), "jaccard-partial")
+    inner = nodes.join(partial, F.col("component") == F.col("_c")).select("node", "component", "_n")
+    weight = (inner.join(active.select("rep", F.octet_length("shingles").alias("_b")), F.col("node") == F.col("rep"))
+              .groupBy(F.col("component").alias("_w")).agg(F.greatest(
+                  F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("_b") / BLOCK_BYTES)).alias("blocks")))
+    counted = _link_counts(
+        inner.join(weight, F.col("component") == F.col("_w")).join(whole, F.col("node") == F.col("rep"))
+        .select("rep", "component", "blocks", "shingles"), percent)
+    whole_components = nodes.join(partial, F.col("component") == F.col("_c"), "left_anti")
+    degree = materialize(whole_components.select(F.col("node").alias("_d"), "links")
+                         .union(counted.select("rep", "links")), "jaccard-degree")
     known = materialize(
         classes.select("sum1", "sum2", "n", "rep")
         .join(final, F.col("rep") == F.col("node"), "left").join(degree, F.col("rep") == F.col("_d"), "left")

@@ -169,3 +169,23 @@ def test_small_shards_cover_every_text(spark):
     texts = pa.array(["a b", "", "c" * 50, "d"], pa.string())
     from playtally.llm.textscan import shards
     assert [x for s in shards(texts, 4) for x in s.to_pylist()] == texts.to_pylist()
+
+
+def test_links_inside_a_family_are_all_counted(spark, monkeypatch):
+    """A family of near copies: every member's links against all pairs, with one block and with many."""
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(25):
+        own = list(words)
+        for at in rng.choice(120, 1 + i % 3, replace=False):
+            own[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(own)))
+    rows.append((99, rows[3][1]))
+    sets = {t: {tuple(t.split()[k:k + 4]) for k in range(117)} for _, t in rows}
+    want = {i: sum(t != u and 100 * len(sets[t] & sets[u]) >= 85 * len(sets[t] | sets[u]) for u in sets) for i, t in rows}
+    assert sum(want.values()) > 100
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    for size in (2048, 4):
+        monkeypatch.setattr(join, "BLOCK_SETS", size)
+        assert {r.doc_id: r.n_links for r in join.similar_documents(table).collect()} == want
