@@ -16,6 +16,7 @@ from playtally.llm import op07_token_output as op07
 from playtally.llm import op08_mixing as op08
 from playtally.llm import op09_license_scan as op09
 from playtally.llm import op10_line_dedup as op10
+from playtally.llm import op13_embedding_whitening as op13
 from playtally.llm.common import read_table
 
 
@@ -61,6 +62,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10.clean_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13.component_rows(op13.whiten(read_table(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_gam": op1_quality_gam,
     "op2_quality_rules": op2_quality_rules,
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 ORACLES: dict[str, str] = {
     "op2_quality_rules": op02.ORACLE,
