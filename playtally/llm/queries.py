@@ -16,6 +16,7 @@ from playtally.llm import op07_token_output as op07
 from playtally.llm import op08_mixing as op08
 from playtally.llm import op09_license_scan as op09
 from playtally.llm import op10_line_dedup as op10
+from playtally.llm import op11_suffix_dedup as op11
 from playtally.llm import op12_token_alignment as op12
 from playtally.llm import op13_embedding_whitening as op13
 from playtally.llm.common import read_table
@@ -63,6 +64,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10.clean_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11.digests(op11.remove_repeats(read_table(spark, sf_dir, "documents")))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op12.align(read_table(spark, sf_dir, "documents")).drop("groups")
 
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
+    "op11_suffix_dedup": op11_suffix_dedup,
     "op12_token_alignment": op12_token_alignment,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
