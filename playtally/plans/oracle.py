@@ -13,7 +13,7 @@ import re
 _COUNT = r"""CASE WHEN regexp_full_match({text}, '\s*[+-]?[0-9]+\s*') AND try_cast({text} AS INTEGER) IS NOT NULL
      THEN try_cast({text} AS INTEGER)
      WHEN regexp_full_match({text}, '-?[0-9]+([.][0-9]+)?([eE][+-]?[0-9]+)?')
-          AND regexp_extract({json}, '.*"count"\s*:\s*("?)', 1) = ''
+          AND json_type({json}, '$.count') <> 'VARCHAR'
      THEN CAST(((CAST(trunc(CAST({text} AS DECIMAL(38, 9))) AS HUGEINT) % 4294967296 + 4294967296 + 2147483648)
                 % 4294967296) - 2147483648 AS INTEGER) END"""
 
@@ -31,6 +31,10 @@ M AS (
               WHEN event_id % 109 = 0 THEN '{"targetId":' || u || ',"count":' || c || 'e1}'
               WHEN event_id % 113 = 0 THEN '{"targetId":' || u || ',"count":' || (CAST(c AS BIGINT) + 4294967296) || '}'
               WHEN event_id % 127 = 0 THEN '{"targetId":' || u || ',"count":"' || c || '.9"}'
+              WHEN event_id % 131 = 0 THEN '{"targetId":' || u || ',"count":' || c || '.9,"meta":{"count":"1"}}'
+              WHEN event_id % 137 = 0
+              THEN '{"targetId":' || u || ',"count":' || (CAST(c AS BIGINT) + 4294967296) || ',"note":"see count: ''x''"}'
+              WHEN event_id % 139 = 0 THEN '{"targetId":' || u || ',"count":"' || c || '.9","meta":{"count":1}}'
               WHEN event_id % 4 = 0 THEN 'message: {"targetId":' || u || ',"count":' || c || '}'
               WHEN event_id % 4 = 1 THEN 'message: ' || chr(9) || '{"targetId":' || u || ',"count":' || c || '} ' || chr(13) || chr(10)
               WHEN event_id % 4 = 2 THEN '{"targetId":"' || u || '","count":"' || c || '","extra":1}'

@@ -27,14 +27,17 @@ FRACTION_EVERY = 107
 EXPONENT_EVERY = 109
 WIDE_EVERY = 113
 QUOTED_FRACTION_EVERY = 127
+NESTED_TEXT_EVERY = 131
+QUOTED_NAME_EVERY = 137
+NESTED_NUMBER_EVERY = 139
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _payload(target: Column, count: Column) -> Column:
-    return F.concat(F.lit('{"targetId":'), target, F.lit(',"count":'), count, F.lit("}"))
+def _payload(target: Column, count: Column, more: str = "") -> Column:
+    return F.concat(F.lit('{"targetId":'), target, F.lit(',"count":'), count, F.lit(more + "}"))
 
 
 def message_lines(events: DataFrame) -> DataFrame:
@@ -50,6 +53,10 @@ def message_lines(events: DataFrame) -> DataFrame:
         .when(eid % EXPONENT_EVERY == 0, _payload(u, F.concat(k, F.lit("e1"))))
         .when(eid % WIDE_EVERY == 0, _payload(u, (k.cast("bigint") + F.lit(1 << 32)).cast("string")))
         .when(eid % QUOTED_FRACTION_EVERY == 0, _payload(u, F.concat(F.lit('"'), k, F.lit('.9"'))))
+        .when(eid % NESTED_TEXT_EVERY == 0, _payload(u, F.concat(k, F.lit(".9")), ',"meta":{"count":"1"}'))
+        .when(eid % QUOTED_NAME_EVERY == 0,
+              _payload(u, (k.cast("bigint") + F.lit(1 << 32)).cast("string"), ',"note":"see count: \'x\'"'))
+        .when(eid % NESTED_NUMBER_EVERY == 0, _payload(u, F.concat(F.lit('"'), k, F.lit('.9"')), ',"meta":{"count":1}'))
         .when(part == 0, F.concat(F.lit(PREFIX), _payload(u, k)))
         .when(part == 1, F.concat(F.lit(PREFIX + "\t"), _payload(u, k), F.lit(" \r\n")))
         .when(part == 2, F.concat(F.lit('{"targetId":"'), u, F.lit('","count":"'), k,
