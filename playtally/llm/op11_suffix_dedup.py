@@ -124,6 +124,8 @@ class Part:
     """A part's documents: ids (null as the largest), joined bytes, and the rows that copy a smaller one."""
 
     def __init__(self, docs: pa.Table, messages: pa.Table, width: int):
+        # A shuffle delivers rows in any order, and answers name pieces by their place: a fixed order.
+        docs = docs.take(pc.sort_indices(docs, sort_keys=[("digest", "ascending"), ("doc_id", "ascending")]))
         self.given = docs["doc_id"].combine_chunks()
         self.ids = pc.fill_null(self.given, _NULL_ID).to_numpy(zero_copy_only=False)
         texts = docs["text"].combine_chunks().cast(pa.large_binary())
