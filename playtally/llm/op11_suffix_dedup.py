@@ -176,9 +176,16 @@ class Part:
 
 
 def _gather(raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The byte ranges end to end, and their offsets."""
-    offsets = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
-    return raw[np.arange(offsets[-1]) + np.repeat(start - offsets[:-1], size)], offsets
+    """The byte ranges (of ``GRAM`` bytes at least, in less than 2 GB) end to end, and their offsets."""
+    if not len(start):
+        return raw[:0], np.zeros(1, np.int64)
+    # As views into the bytes (size, first four bytes, buffer, offset), which Arrow then copies.
+    views = np.zeros((len(start), 4), np.int32)
+    views[:, 0], views[:, 3] = size, start
+    views[:, 1] = np.lib.stride_tricks.sliding_window_view(raw, 4)[start].view(np.int32)[:, 0]
+    found = pa.Array.from_buffers(pa.binary_view(), len(start), [None, pa.py_buffer(views), pa.py_buffer(raw)]).cast(pa.large_binary())
+    offsets = np.frombuffer(found.buffers()[1], np.int64)[found.offset:found.offset + len(found) + 1]
+    return np.frombuffer(found.buffers()[2], np.uint8)[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
 def _binary(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
@@ -376,13 +383,20 @@ def _answer_pieces(width: int, sort_bytes: int) -> Callable:
         start = np.cumsum(size) - size
         code, rep = distinct_ranges(raw, start, size)
         least = _least(code, ids, len(rep))
-        # Equal windows have equal anchors, so groups of anchors are sorted apart.
-        head, _ = _gather(raw, start[rep], np.full(len(rep), width))
-        group = content_group(head, width, max(1, int(size[rep].sum()) // sort_bytes))
+        # Equal windows have equal anchors. A piece that has its anchor alone repeats in no other
+        # (its copies are counted by ``least``), nor do single windows that differ; the others are
+        # sorted, groups of anchors apart.
+        anchor = head_anchors(_gather(raw, start[rep], np.full(len(rep), width))[0], width)
+        _, number, times = np.unique(anchor, return_inverse=True, return_counts=True)
+        wide = np.zeros(len(times), bool)
+        wide[number[count[rep] > 1]] = True
+        open_ = np.flatnonzero((times[number] > 1) & wide[number])
         bits = np.zeros(len(rep), np.uint64)
+        group = mix(anchor[open_]) % np.uint64(max(1, int(size[rep[open_]].sum()) // sort_bytes))
         by = np.argsort(group, kind="stable")
-        for some in np.split(by, np.flatnonzero(np.diff(group[by])) + 1):
-            bits[some] = repeated_windows(raw, start[rep[some]], count[rep[some]], least[some], width)
+        for some in np.split(open_[by], np.flatnonzero(np.diff(group[by])) + 1):
+            if len(some):
+                bits[some] = repeated_windows(raw, start[rep[some]], count[rep[some]], least[some], width)
         found = np.where(ids > least[code], _all_bits(count), bits[code])
         out: tuple[list, list, list] = ([], [], [])
         at = 0
@@ -398,15 +412,12 @@ def _answer_pieces(width: int, sort_bytes: int) -> Callable:
     return answer
 
 
-def content_group(heads: np.ndarray, width: int, groups: int) -> np.ndarray:
-    """A group for each window of ``heads`` (end to end), by its anchor."""
-    if groups == 1:
-        return np.zeros(len(heads) // width, np.int64)
-    out = []
-    for at in range(0, len(heads), width << 14):
-        least = least_ahead(gram_hashes(heads[at:at + (width << 14)]), width - GRAM + 1)[::width]
-        out.append(mix(mix(least)) % np.uint64(groups))
-    return np.concatenate(out).astype(np.int64)
+def head_anchors(heads: np.ndarray, width: int) -> np.ndarray:
+    """The anchor of each window of ``heads`` (end to end)."""
+    out = [np.zeros(0, np.uint64)]
+    for at in range(0, len(heads), width << 12):
+        out.append(least_ahead(gram_hashes(heads[at:at + (width << 12)]), width - GRAM + 1)[::width])
+    return mix(np.concatenate(out))
 
 
 def _spans(buckets: int, shards: int, width: int) -> Callable:
