@@ -5,9 +5,10 @@ and its first ``depth`` tokens; tokens that hold a digit are variable from the
 start. A leaf holds any number of templates: one for every choice of ``agree`` of
 ``SEGMENTS`` equal stretches of the tokens and the words on them; the other
 stretches are the template's variable fields. So a line belongs to a template
-whatever other lines its leaf holds. A template that occurs in enough documents
-is boilerplate: all its lines are dropped. Long templates need ``long_docs``
-documents, short ones, which recur by chance, ``short_docs``.
+whatever other lines its leaf holds. A template that occurs in enough different
+texts is boilerplate: all its lines are dropped. Copies of one text count once, so
+a text's copies, however many, never drop its lines. Templates of ``LONG_TOKENS``
+tokens need ``long_docs`` texts, shorter ones ``short_docs``.
 
 All state is plain aggregates with map-side partial sums. Leaves that too few
 documents reach hold no template and leave first. Equal lines in enough documents
@@ -44,7 +45,7 @@ SEGMENTS = 6
 AGREE = 4          # stretches on which a template's lines agree, at least
 LEAST_CONSTANT = 3  # tokens without a digit that a template holds, at least
 LONG_TOKENS = 20
-LONG_DOCS = 2
+LONG_DOCS = 5
 SHORT_DOCS = 10
 
 
@@ -53,24 +54,25 @@ def _key(doc_id: Column, text: Column) -> Column:
 
 
 def parsed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH) -> DataFrame:
-    """``key, line, n_tokens, leaf, exact, s0.., c0..`` per line with tokens, stored; ``c``: constant
-    tokens on a stretch."""
-    lines = docs.select(_key(F.col(doc_id), F.col(text)).alias("key"),
-                        F.posexplode(F.split(F.col(text), "\n")).alias("line", "_l"))
-    masked = lines.select("key", "line", "_l", F.regexp_replace("_l", r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", "<*>").alias("_m"))
-    tokens = masked.select("key", "line", "_l", F.array_remove(F.split("_m", WORD_BREAK), "").alias("_w")).filter(F.size("_w") > 0)
+    """``key, doc, copy, line, n_tokens, leaf, exact, s0.., c0..`` per line with tokens, stored; ``key``:
+    of id and text, ``copy``: of the text alone, ``c``: constant tokens on a stretch."""
+    lines = docs.select(_key(F.col(doc_id), F.col(text)).alias("key"), F.col(doc_id).alias("doc"),
+                        F.xxhash64(text).alias("copy"), F.posexplode(F.split(F.col(text), "\n")).alias("line", "_l"))
+    own_columns = ["key", "doc", "copy", "line"]
+    masked = lines.select(*own_columns, "_l", F.regexp_replace("_l", r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", "<*>").alias("_m"))
+    tokens = masked.select(*own_columns, "_l", F.array_remove(F.split("_m", WORD_BREAK), "").alias("_w")).filter(F.size("_w") > 0)
     edge = lambda i: f"cast(size(_w) * {i} div {SEGMENTS} as int)"
     stretch = lambda i: f"slice(_w, {edge(i)} + 1, {edge(i + 1)} - {edge(i)})"
     stretches = [F.expr(f"hash({stretch(i)})").alias(f"s{i}") for i in range(SEGMENTS)]
     constant = [F.expr(f"size(array_remove({stretch(i)}, '<*>'))").alias(f"c{i}") for i in range(SEGMENTS)]
     cut = tokens.select(
-        "key", "line", "_l", F.size("_w").alias("n_tokens"), F.xxhash64(F.size("_w"), F.slice("_w", 1, depth)).alias("leaf"),
+        *own_columns, "_l", F.size("_w").alias("n_tokens"), F.xxhash64(F.size("_w"), F.slice("_w", 1, depth)).alias("leaf"),
         F.xxhash64("_w").alias("exact"), *stretches, *constant)
     n_constant = sum(F.col(f"c{i}") for i in range(SEGMENTS))
     general = (n_constant >= LEAST_CONSTANT) & (2 * n_constant >= F.col("n_tokens"))
     own = F.xxhash64(F.array_remove(F.split("_l", WORD_BREAK), ""), F.lit("unmasked"))
     return materialize(cut.select(
-        "key", "line", "n_tokens", *[F.when(general, F.col(c)).otherwise(own).alias(c) for c in ("leaf", "exact")],
+        *own_columns, "n_tokens", *[F.when(general, F.col(c)).otherwise(own).alias(c) for c in ("leaf", "exact")],
         *[f"s{i}" for i in range(SEGMENTS)], *[F.col(f"c{i}") for i in range(SEGMENTS)]), "template-lines")
 
 
@@ -89,23 +91,23 @@ def _choices(lines: DataFrame, agree: int, *columns: str) -> DataFrame:
 
 def recurring(lines: DataFrame, agree: int = AGREE, long_tokens: int = LONG_TOKENS, long_docs: int = LONG_DOCS,
               short_docs: int = SHORT_DOCS) -> DataFrame:
-    """``exact`` of the lines whose template recurs: lines in enough documents, and lines with a
-    choice of stretches that enough documents hold."""
+    """``exact`` of the lines whose template recurs: lines in enough texts, and lines with a choice
+    of stretches that enough texts hold."""
     need = (long_tokens, long_docs, short_docs)
     shared = materialize(
-        lines.groupBy("leaf", "key").agg(F.first("n_tokens").alias("n_tokens"))
+        lines.groupBy("leaf", "copy").agg(F.first("n_tokens").alias("n_tokens"))
         .groupBy("leaf").agg(F.first("n_tokens").alias("n_tokens"), F.count(F.lit(1)).alias("docs"))
         .filter(_enough("docs", *need)).select("leaf"), "template-leaves")
     stretches = [f"{x}{i}" for x in "sc" for i in range(SEGMENTS)]
-    held = materialize(lines.join(shared, "leaf", "left_semi").groupBy("exact", "key")
+    held = materialize(lines.join(shared, "leaf", "left_semi").groupBy("exact", "copy")
                        .agg(*[F.first(c).alias(c) for c in ("leaf", "n_tokens", *stretches)]), "template-held")
     texts = materialize(held.groupBy("exact").agg(*[F.first(c).alias(c) for c in ("leaf", "n_tokens", *stretches)],
                                                   F.count(F.lit(1)).alias("docs")), "template-texts")
     alike = texts.filter(_enough("docs", *need))
     rare = texts.filter(~_enough("docs", *need))
-    # A template of a line that recurs itself recurs; the others' documents are counted.
-    counted = (_choices(held.join(alike.select("exact"), "exact", "left_anti"), agree, "key", "n_tokens")
-               .groupBy("template", "key").agg(F.first("n_tokens").alias("n_tokens"))
+    # A template of a line that recurs itself recurs; the others' texts are counted.
+    counted = (_choices(held.join(alike.select("exact"), "exact", "left_anti"), agree, "copy", "n_tokens")
+               .groupBy("template", "copy").agg(F.first("n_tokens").alias("n_tokens"))
                .groupBy("template").agg(F.first("n_tokens").alias("n_tokens"), F.count(F.lit(1)).alias("docs"))
                .filter(_enough("docs", *need)).select("template"))
     templates = materialize(_choices(alike, agree).union(counted).distinct(), "template-choices")
@@ -119,13 +121,14 @@ def clean_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     without the lines of recurring templates."""
     lines = parsed_lines(docs, doc_id, text, depth)
     # A semi join on stored keys, so that Spark can split a hot one.
-    dropped = (lines.select("key", "line", "n_tokens", "exact")
+    dropped = (lines.select("key", "doc", "line", "n_tokens", "exact")
                .join(recurring(lines, **thresholds), "exact", "left_semi")
-               .groupBy("key", "line").agg(F.first("n_tokens").alias("n"))
-               .groupBy("key").agg(F.collect_list("line").alias("_gone"), F.sum("n").cast("bigint").alias("_tokens"))
+               .groupBy("key", "doc", "line").agg(F.first("n_tokens").alias("n"))
+               .groupBy("key", "doc").agg(F.collect_list("line").alias("_gone"), F.sum("n").cast("bigint").alias("_tokens"))
                .withColumnRenamed("key", "_k"))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"))
-    joined = (rows.join(materialize(dropped, "template-dropped"), _key(F.col("doc_id"), F.col("_text")) == F.col("_k"), "left")
+    same = (_key(F.col("doc_id"), F.col("_text")) == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("doc"))
+    joined = (rows.join(materialize(dropped, "template-dropped"), same, "left")
               .withColumn("_lines", F.split("_text", "\n"))
               .withColumn("_gone", F.coalesce("_gone", F.array().cast("array<int>"))))
     n_lines = F.coalesce(F.size("_lines"), F.lit(0)).cast("bigint")
@@ -137,24 +140,27 @@ def clean_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.when(F.size("_gone") == 0, F.col("_text")).otherwise(F.array_join(kept, "\n")).alias("text"))
 
 
+# Choices of four of the six stretches, by number.
+_CHOICES = ", ".join("[" + ", ".join(str(k + 1) for k in some) + "]" for some in combinations(range(SEGMENTS), AGREE))
 ORACLE = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text, string_split(text, chr(10)) AS l FROM documents),
-x AS (SELECT rid, doc_id, text, i, regexp_extract_all(regexp_replace(l[i], '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'),
-             '[^\x20\x09-\x0D]+') AS w FROM (SELECT *, unnest(range(1, len(l) + 1)) AS i FROM d)),
-n AS (SELECT *, len(w) AS n, array_to_string(w, ' ') AS exact, len(w) || ':' || array_to_string(w[1:5], ' ') AS leaf,
-             [array_to_string(w[len(w) * k // 6 + 1:len(w) * (k + 1) // 6], ' ') FOR k IN range(6)] AS s
-      FROM x WHERE len(w) > 0),
-lf AS (SELECT leaf FROM n GROUP BY leaf HAVING
-         (min(s[1]) = max(s[1]))::INT + (min(s[2]) = max(s[2]))::INT + (min(s[3]) = max(s[3]))::INT
-       + (min(s[4]) = max(s[4]))::INT + (min(s[5]) = max(s[5]))::INT + (min(s[6]) = max(s[6]))::INT >= 4
-       AND count(DISTINCT (doc_id, text)) >= CASE WHEN any_value(n) >= 20 THEN 2 ELSE 10 END),
-ex AS (SELECT exact FROM n GROUP BY exact
-       HAVING count(DISTINCT (doc_id, text)) >= CASE WHEN any_value(n) >= 20 THEN 2 ELSE 10 END),
-g AS (SELECT rid, i, n FROM n WHERE leaf IN (SELECT leaf FROM lf) OR exact IN (SELECT exact FROM ex)),
-a AS (SELECT rid, list(i) AS gone, sum(n)::BIGINT AS tokens FROM g GROUP BY rid)
+x AS (SELECT rid, text, i, regexp_extract_all(l[i], '[^\x20\x09-\x0D]+') AS w
+      FROM (SELECT *, unnest(range(1, len(l) + 1)) AS i FROM d)),
+m AS (SELECT *, len(w) AS n, [CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END FOR t IN w] AS v FROM x WHERE len(w) > 0),
+g AS (SELECT *, len([t FOR t IN v IF t <> '<*>']) AS c FROM m),
+n AS (SELECT rid, text, i, n, c >= 3 AND 2 * c >= n AS general,
+             CASE WHEN c >= 3 AND 2 * c >= n THEN 'm ' || array_to_string(v, ' ') ELSE 'o ' || array_to_string(w, ' ') END AS exact,
+             n || ':' || array_to_string(v[1:5], ' ') AS leaf, [v[n * k // 6 + 1:n * (k + 1) // 6] FOR k IN range(6)] AS s FROM g),
+t AS (SELECT DISTINCT exact, leaf, n, text, choice, [s[k] FOR k IN choice] AS parts
+      FROM (SELECT *, unnest([@CHOICES@]) AS choice FROM n WHERE general)
+      WHERE len([u FOR u IN flatten([s[k] FOR k IN choice]) IF u <> '<*>']) >= 3),
+r AS (SELECT leaf, choice, parts FROM t GROUP BY ALL HAVING count(DISTINCT text) >= CASE WHEN any_value(n) >= @LONG@ END),
+e AS (SELECT exact FROM n GROUP BY exact HAVING count(DISTINCT text) >= CASE WHEN any_value(n) >= @LONG@ END
+      UNION SELECT DISTINCT exact FROM t JOIN r USING (leaf, choice, parts)),
+a AS (SELECT rid, list(i) AS gone, sum(n)::BIGINT AS tokens FROM n WHERE exact IN (SELECT exact FROM e) GROUP BY rid)
 SELECT doc_id, coalesce(len(l), 0)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_dropped,
        coalesce(tokens, 0)::BIGINT AS n_tokens_dropped,
        CASE WHEN gone IS NULL THEN text
             ELSE array_to_string([l[j] FOR j IN range(1, len(l) + 1) IF NOT list_contains(gone, j)], chr(10)) END AS text
 FROM d LEFT JOIN a USING (rid)
-"""
+""".replace("@CHOICES@", _CHOICES).replace("@LONG@", f"{LONG_TOKENS} THEN {LONG_DOCS} ELSE {SHORT_DOCS}")

@@ -2,7 +2,8 @@
 
 import html
 import re
-from collections import Counter
+from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -235,6 +236,53 @@ def test_lines_of_numbers_are_compared_as_they_stand(spark):
         assert r.text == "\n".join(rows[r.doc_id][1].split("\n")[:6])
 
 
+def brute_lines(texts):
+    """Kept text of each of ``texts``: the rule of op10 over all lines and choices, in plain Python."""
+    holders, parsed = defaultdict(set), []
+    for copy, text in enumerate(texts):
+        copy = texts.index(text)
+        for line in (text or "").split("\n"):
+            words = re.findall(r"[^\x20\x09-\x0D]+", line)
+            if not words:
+                parsed.append([])
+                continue
+            masked = ["<*>" if re.search("[0-9]", w) else w for w in words]
+            n, constant = len(words), sum(w != "<*>" for w in masked)
+            general = constant >= 3 and 2 * constant >= n
+            keys = [("exact", general, tuple(masked if general else words))]
+            cut = [masked[n * k // 6:n * (k + 1) // 6] for k in range(6)]
+            for some in combinations(range(6), 4):
+                if general and sum(w != "<*>" for k in some for w in cut[k]) >= 3:
+                    keys.append((n, tuple(masked[:5]), some, tuple(tuple(cut[k]) for k in some)))
+            need = lines.LONG_DOCS if n >= lines.LONG_TOKENS else lines.SHORT_DOCS
+            parsed.append([(key, need) for key in keys])
+            for key in keys:
+                holders[key].add(copy)
+    at, out = 0, []
+    for text in texts:
+        own = (text or "").split("\n")
+        kept = [line for i, line in enumerate(own) if not any(len(holders[k]) >= need for k, need in parsed[at + i])]
+        at += len(own)
+        out.append("\n".join(kept) if text else text)
+    return out
+
+
+def test_line_dedup_matches_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()
+    got = {r.doc_id: r.text for r in QUERIES["op10_line_dedup"](spark, SF).collect()}
+    assert [got[r.doc_id] for r in docs] == brute_lines([r.text for r in docs])
+
+
+def test_copies_of_a_text_keep_it(spark):
+    """Copies count once: neither two nor many of them drop their lines, long or short."""
+    words = [f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(200)]
+    text = "\n".join(" ".join(words[k:k + 30]) for k in range(0, 120, 30)) + "\nshort line of five words"
+    near = text + "\nand one line more"
+    rows = [(i, text) for i in range(40)] + [(50, near)]
+    got = lines.clean_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.text) for r in got} == set(rows) and {r.n_dropped for r in got} == {0}
+
+
 def test_line_dedup_odd_rows(spark):
     docs = odd_documents(spark)
     got = lines.clean_documents(docs)
@@ -276,6 +324,6 @@ def test_pipeline_equals_its_stages_by_brute_force(spark):
 
 def test_all_dealt_operators_are_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names
