@@ -146,7 +146,7 @@ class Tokenizers:
 
 def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     edges = np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int64)
-    return np.fromiter((i for x in lists for i in x), np.int64, int(edges[-1])), edges
+    return np.concatenate([np.zeros(0, np.int64), *(np.array(x, np.int64) for x in lists)]), edges
 
 
 def _starts(table: pa.Array, ids: np.ndarray) -> tuple[np.ndarray, memoryview]:
@@ -207,6 +207,15 @@ class Aligned:
         self.pairs = key[first] & ((1 << _PAIR_BITS) - 1)
         self.held = np.bincount(key[first] >> _PAIR_BITS, minlength=n)
 
+    def compact(self, keep_groups: bool) -> Aligned:
+        """Without what a part does not need of its batches (all its tokens and texts)."""
+        self.digests = [hashlib.sha256(t).hexdigest() if t else "" for t in self.texts]
+        del self.link_a, self.link_b, self.a, self.b
+        if not keep_groups:
+            del self.texts
+        self.times = self.times.astype(np.int32)
+        return self
+
     def _group_texts(self, tok, group_a, group_b, doc_a, doc_b, good) -> list[bytes]:
         """``a1,a2|b1;a3|b2,b3`` of every document (empty without tokens)."""
         total = len(self.a) + len(self.b)
@@ -246,8 +255,7 @@ def _write_parts(paths: tuple[str, str], buckets: int, keep_groups: bool, part_b
         every, docs = np.unique(np.concatenate([a.pairs for _, a in done]), return_counts=True)
         for ids, a in done:
             row = {"part": [part], "doc_ids": [ids], "held": [a.held], "numbers": [squeeze(np.searchsorted(every, a.pairs))],
-                   "times": [squeeze(a.times)], "groups_sha256": [[hashlib.sha256(t).hexdigest() if t else "" for t in a.texts]],
-                   **{c: [getattr(a, c)] for c in _FIGURES}}
+                   "times": [squeeze(a.times)], "groups_sha256": [a.digests], **{c: [getattr(a, c)] for c in _FIGURES}}
             if keep_groups:
                 row["groups"] = [[t.decode() for t in a.texts]]
             yield _batch(row, 1)
@@ -265,8 +273,7 @@ def _write_parts(paths: tuple[str, str], buckets: int, keep_groups: bool, part_b
         for batch in batches:
             ids, texts, at = batch["doc_id"], pc.fill_null(batch["text"], ""), 0
             for piece in shards(texts, batch_bytes):
-                done.append((ids.slice(at, len(piece)), Aligned(piece.to_pylist(), tok)))
-                del done[-1][1].link_a, done[-1][1].link_b, done[-1][1].a, done[-1][1].b
+                done.append((ids.slice(at, len(piece)), Aligned(piece.to_pylist(), tok).compact(keep_groups)))
                 at += len(piece)
                 size += pc.sum(pc.binary_length(piece)).as_py() or 0
                 if size >= part_bytes:
