@@ -5,14 +5,15 @@ Format, one folder:
 * ``dictionary`` (Parquet, one row): the shared zstandard dictionary and its
   SHA-256;
 * ``blocks`` (Parquet): documents in ascending doc_id order. A row is a block of
-  about ``block_bytes``: ``part, block`` (the order), ``data`` (one zstandard
+  about ``block_bytes``, in a row group of its own: ``part, block`` (the order),
+  ``min_id, max_id`` (of its documents), ``data`` (one zstandard
   frame per document, end to end; a frame holds the document's ids as
   little-endian unsigned 32-bit integers), the offset index ``doc_ids, offsets,
   n_tokens`` (frame ``i`` is ``data[offsets[i]:offsets[i + 1]]``), ``start_in_part``
   (ids of the part before the block) and ``dict_sha256``.
 
-``read_document`` finds a block by its doc_id statistics and decompresses one
-frame. ``read_tokens`` reads everything back.
+``read_document`` opens the row groups whose ``min_id`` and ``max_id`` statistics
+allow the doc_id and decompresses one frame. ``read_tokens`` reads everything back.
 
 Steps. The dictionary is trained on a bounded sample (``DICT_DOCS`` documents
 chosen by id hash, the first ``DICT_DOC_BYTES`` of each id array); it is a
@@ -57,13 +58,15 @@ DICT_DOC_BYTES = 64 * 1024  # of each such document's id array
 LEVEL = 3
 BLOCK_BYTES = 1 << 20
 SLICE_BYTES = 6 << 20       # text handled at once inside a task
-CACHE_PIECES = 200_000      # pieces whose ids a Python worker remembers
+CACHE_PIECES = 600_000      # pieces whose ids a Python worker remembers
 
 # White space at the start or before a split point, other than the one safe pattern ("\n\n").
 _SPACE = r"\t-\r \x1c-\x1f\x{85}\p{Z}"
 _UNSAFE = rf"\A[{_SPACE}]|[{_SPACE}] |[\t\x0b-\r \x1c-\x1f\x{{85}}\p{{Z}}]\n|\n\n[{_SPACE}]|\n\n\z"
+# A piece with white space at an edge (but for the line break that it may start with), or nothing else.
+_RAGGED = rf"\A\n?\z|\A\n[{_SPACE}]|\A[\t\x0b-\r \x1c-\x1f\x{{85}}\p{{Z}}]|[{_SPACE}]\z"
 
-BLOCK_SCHEMA = ("part int, block int, start_in_part bigint, doc_ids array<bigint>, offsets array<bigint>, "
+BLOCK_SCHEMA = ("part int, block int, min_id bigint, max_id bigint, start_in_part bigint, doc_ids array<bigint>, offsets array<bigint>, "
                 "n_tokens array<bigint>, data binary, dict_sha256 string")
 TOKEN_SCHEMA = "part int, doc_id bigint, start_in_part bigint, n_tokens bigint, ids_crc32 bigint"
 
@@ -93,7 +96,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        # Remembered pieces, and their ids: where they begin in ``flat`` and how many they are.
+        self.keys = pa.array([], pa.string())
+        self.flat, self.starts, self.sizes = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.newline = self._whole("\n")
         # Added tokens cut a text before white space is looked at: such texts go whole, too.
         added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -124,10 +129,7 @@ class Encoder:
         bounds = lists.offsets.to_numpy()
         coded = lists.flatten().dictionary_encode()
         which = coded.indices.to_numpy()
-        pieces = self._pieces(coded.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) // 4
-        flat = np.frombuffer(b"".join(pieces), dtype="<u4")
-        starts = np.cumsum(sizes) - sizes
+        flat, starts, sizes = self._pieces(coded.dictionary)
         n = sizes[which]
         ends = np.cumsum(n)
         gather = np.repeat(starts[which] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
@@ -136,45 +138,66 @@ class Encoder:
         edges = np.concatenate(([0], ends))[bounds]
         return [ids[a + first:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
-        known, found = self.known, [None] * len(pieces)
-        new = []
-        for i, piece in enumerate(pieces):
-            ids = known.get(piece)
-            if ids is None:
-                new.append(i)
-            else:
-                found[i] = ids
-        # A piece that has white space at an edge would run into its neighbours' breaks: alone.
-        lone = [i for i in new if _ragged(pieces[i])]
-        rest = [i for i in new if not _ragged(pieces[i])] if lone else new
-        for i in lone:
-            found[i] = self._whole(pieces[i] if pieces[i][:1] == "\n" else f" {pieces[i]}")
+    def _pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of different pieces: an array of ids, and where each piece's begin in it and how many
+        they are. Known pieces are looked up, the others encoded and remembered; when there are too
+        many, only those of this batch stay."""
+        at = pc.fill_null(pc.index_in(pieces, value_set=self.keys), -1).to_numpy()
+        new = np.flatnonzero(at < 0)
+        flat, starts, sizes = self._encode_new(pieces.take(pa.array(new)))
+        all_starts = np.empty(len(pieces), np.int64)
+        all_sizes = np.empty(len(pieces), np.int64)
+        held = np.flatnonzero(at >= 0)
+        all_starts[held], all_sizes[held] = self.starts[at[held]], self.sizes[at[held]]
+        all_starts[new], all_sizes[new] = starts + len(self.flat), sizes
+        ids = np.concatenate((self.flat, flat))
+        short = pc.less(pc.binary_length(pieces), 64).to_numpy(zero_copy_only=False)
+        if len(self.keys) + len(new) <= CACHE_PIECES:
+            more, keys = new[short[new]], [self.keys]
+            self.starts, self.sizes = [np.concatenate((x, y[more])) for x, y in ((self.starts, all_starts), (self.sizes, all_sizes))]
+            self.flat = ids
+        else:
+            more, keys = np.flatnonzero(short)[:CACHE_PIECES], []
+            n = all_sizes[more]
+            ends = np.cumsum(n)
+            self.flat = ids[np.repeat(all_starts[more] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+            self.starts, self.sizes = ends - n, n
+        self.keys = pa.concat_arrays([*keys, pieces.take(pa.array(more))])
+        return ids, all_starts, all_sizes
+
+    def _encode_new(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As :meth:`_pieces`, each piece's ids as inside a text. One call encodes many, a line break
+        after each: the break is one token there and occurs inside a piece's ids only where the piece
+        starts with it. A piece that has white space at an edge would run into its neighbours'
+        breaks: alone."""
+        starts, sizes = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        parts, used = [np.zeros(0, "<u4")], 0
+        lone = pc.match_substring_regex(pieces, _RAGGED).to_numpy(zero_copy_only=False).astype(bool)
+        breaks_own = pc.starts_with(pieces, "\n").to_numpy(zero_copy_only=False).astype(np.int64)
+        lead = pc.if_else(pc.starts_with(pieces, "\n"), "", " ")
+        inside = pc.binary_join_element_wise(lead, pieces, "")
+        rest = np.flatnonzero(~lone)
+        alone = np.flatnonzero(lone).tolist()
         for at in range(0, len(rest), 4096):
             some = rest[at:at + 4096]
-            for i, ids in zip(some, self._encode_pieces([pieces[i] for i in some]), strict=True):
-                found[i] = ids
-                if len(known) < CACHE_PIECES and len(pieces[i]) < 64:
-                    known[pieces[i]] = ids
-        return found
-
-    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Each piece's ids as inside a text. One call encodes all, a line break after each: the
-        break is one token there and occurs inside a piece's ids only where the piece starts with it."""
-        joined = "".join(p + "\n" if p[:1] == "\n" else f" {p}\n" for p in pieces)
-        flat = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, dtype="<u4")
-        breaks = np.flatnonzero(flat == np.frombuffer(self.newline, dtype="<u4")[0])
-        own = np.array([p.count("\n") for p in pieces])
-        if len(self.newline) != 4 or len(breaks) != own.sum() + len(pieces):
-            return [self._whole(p if p[:1] == "\n" else f" {p}") for p in pieces]
-        stops = breaks[np.cumsum(own + 1) - 1]
-        begins = np.concatenate(([0], stops[:-1] + 1))
-        return [flat[a:b].tobytes() for a, b in zip(begins, stops, strict=True)]
-
-
-def _ragged(piece: str) -> bool:
-    body = piece[1:] if piece[:1] == "\n" else piece
-    return not body or body[0].isspace() or body[-1].isspace()
+            joined = "\n".join([*inside.take(pa.array(some)).to_pylist(), ""])
+            flat = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
+            breaks = np.flatnonzero(flat == np.frombuffer(self.newline, dtype="<u4")[0])
+            own = breaks_own[some]
+            if len(self.newline) != 4 or len(breaks) != own.sum() + len(some):
+                alone.extend(some.tolist())
+                continue
+            stops = breaks[np.cumsum(own + 1) - 1]
+            begins = np.concatenate(([0], stops[:-1] + 1))
+            starts[some], sizes[some] = begins + used, stops - begins
+            parts.append(flat)
+            used += len(flat)
+        for i in alone:
+            flat = np.frombuffer(self._whole(inside[i].as_py()), dtype="<u4")
+            starts[i], sizes[i] = used, len(flat)
+            parts.append(flat)
+            used += len(flat)
+        return np.concatenate(parts), starts, sizes
 
 
 def _slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
@@ -235,8 +258,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, doc_i
 
         def flush() -> pa.RecordBatch:
             offsets = np.concatenate(([0], np.cumsum([len(f) for f in frames]))).astype(np.int64)
+            named = [i for i in ids if i is not None]
             return pa.RecordBatch.from_pydict({
                 "part": pa.array([part], pa.int32()), "block": pa.array([block], pa.int32()),
+                "min_id": pa.array([min(named, default=None)], pa.int64()),
+                "max_id": pa.array([max(named, default=None)], pa.int64()),
                 "start_in_part": pa.array([start], pa.int64()), "doc_ids": pa.array([ids], pa.list_(pa.int64())),
                 "offsets": pa.array([offsets], pa.list_(pa.int64())),
                 "n_tokens": pa.array([counts], pa.list_(pa.int64())),
@@ -261,7 +287,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, doc_i
     (slim.repartitionByRange(shuffle_width(spark), F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
      .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
      .mapInArrow(pack, BLOCK_SCHEMA)
-     .write.option("compression", "uncompressed").parquet(f"{path}/blocks"))
+     # A row group for each block, so that a reader of one document opens one.
+     .write.option("compression", "uncompressed").option("parquet.block.row.count.limit", 1)
+     .parquet(f"{path}/blocks"))
     return path
 
 
@@ -305,10 +333,12 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_document(spark: SparkSession, path: str, doc_id: int) -> list[list[int]]:
-    """Ids of the rows with this doc_id: only their frames are decompressed."""
+    """Ids of the rows with this doc_id: the blocks whose id range holds it are read, and only its
+    frames decompressed."""
     _, raw = _dictionary_of(spark, path)
     decompress = zstandard.ZstdDecompressor(dict_data=_dictionary(raw)).decompress
-    blocks = spark.read.schema(BLOCK_SCHEMA).parquet(f"{path}/blocks").filter(F.array_contains("doc_ids", doc_id))
+    blocks = spark.read.schema(BLOCK_SCHEMA).parquet(f"{path}/blocks").filter(
+        (F.col("min_id") <= doc_id) & (F.col("max_id") >= doc_id))
     hits = blocks.select("part", "block", F.posexplode("doc_ids").alias("i", "id"), "offsets", "data") \
         .filter(F.col("id") == doc_id).select(
             "part", "block", "i", F.expr("substring(data, cast(offsets[i] + 1 as int), "

@@ -64,6 +64,36 @@ def test_odd_rows_small_blocks_and_random_access(spark, encoder):
     assert op.read_document(spark, path, 99) == []
 
 
+def test_pieces_are_remembered_and_replaced(encoder, monkeypatch):
+    """More different pieces than the memory holds, over several batches: ids stay those of whole texts."""
+    monkeypatch.setattr(op, "CACHE_PIECES", 50)
+    for k in range(8):
+        texts = [" ".join(f"w{j}x{j * k}\nl{j % 7}" for j in range(k, k + 30)), f"same words {k}", "é" * 70]
+        assert encoder.encode(pa.array(texts)) == [whole(encoder, t) for t in texts]
+        assert len(encoder.keys) == len(encoder.starts) == len(encoder.sizes) <= 50
+
+
+def test_a_document_is_read_from_one_row_group(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    docs = spark.createDataFrame([(i, " ".join(f"w{i * j % 99_991}" for j in range(60))) for i in range(300)],
+                                 "doc_id long, text string")
+    path = op.write_tokens(docs, scratch_dir(spark, "t7g"), block_bytes=2000)
+    groups = []
+    for name in glob.glob(f"{path.replace('file:', '')}/blocks/*.parquet"):
+        meta = pq.ParquetFile(name).metadata
+        at = {meta.schema.column(c).path: c for c in range(meta.num_columns)}
+        for g in range(meta.num_row_groups):
+            low, high = (meta.row_group(g).column(at[c]).statistics for c in ("min_id", "max_id"))
+            groups.append((low.min, high.max))
+    assert len(groups) > 5 and sum(low <= 150 <= high for low, high in groups) == 1
+    blocks = spark.read.schema(op.BLOCK_SCHEMA).parquet(f"{path}/blocks").filter("min_id <= 150 and max_id >= 150")
+    assert "GreaterThanOrEqual(max_id,150)" in blocks._jdf.queryExecution().executedPlan().toString()
+    assert len(op.read_document(spark, path, 150)) == 1
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert op.token_output(docs).collect() == []
