@@ -71,12 +71,17 @@ STATE = f"""SELECT 'total' AS kind, CAST(-1 AS BIGINT) AS batch_id, target_id AS
 UNION ALL SELECT 'notice', batch_id, target_id, view_count FROM N
 UNION ALL SELECT 'ledger', batch_id, CAST("partition" AS BIGINT), until_offset FROM L"""
 
-# The same over six batches cut by event_id.
-RESUMED = f"""SELECT 'total' AS kind, CAST(-1 AS BIGINT) AS batch_id, target_id AS k, view_count AS v FROM ({TOTALS})
+# Without offsets: totals and notices.
+LOGGED = f"""SELECT 'total' AS kind, CAST(-1 AS BIGINT) AS batch_id, target_id AS k, view_count AS v FROM ({TOTALS})
+UNION ALL SELECT 'notice', batch_id, target_id, view_count FROM N"""
+
+# The same over six batches cut by event_id, of the messages for which {kept} holds; the ledger is of all.
+CUT = """SELECT 'total' AS kind, CAST(-1 AS BIGINT) AS batch_id, target_id AS k, CAST(sum("count") AS BIGINT) AS v
+FROM D WHERE {kept} GROUP BY target_id
 UNION ALL (
   SELECT 'notice', nb, target_id, view_count FROM (
     SELECT nb, target_id, CAST(sum(c) OVER (PARTITION BY target_id ORDER BY nb) AS BIGINT) view_count FROM (
-      SELECT event_id * 6 // (SELECT max(event_id) + 1 FROM M) nb, target_id, sum("count") c FROM D GROUP BY ALL))
+      SELECT event_id * 6 // (SELECT max(event_id) + 1 FROM M) nb, target_id, sum("count") c FROM D WHERE {kept} GROUP BY ALL))
   WHERE view_count > 3000 QUALIFY row_number() OVER (PARTITION BY target_id ORDER BY nb) = 1)
 UNION ALL (
   SELECT 'ledger', event_id * 6 // (SELECT max(event_id) + 1 FROM M) nb, CAST("partition" AS BIGINT), max("offset") + 1
@@ -128,11 +133,15 @@ _BODIES = {
     "stream_job_deltas": "SELECT batch_id, target_id, batch_count FROM C",
     "stream_job_rejected": 'SELECT batch_id, event_id, line FROM A WHERE target_id IS NULL OR "count" IS NULL',
     "stream_replay": STATE,
-    "stream_resume": RESUMED,
+    "stream_resume": CUT.format(kept="true"),
+    "stream_log_resume": LOGGED,
+    "stream_topic_ranges": CUT.format(
+        kept='NOT ("partition" = 3 AND event_id * 6 // (SELECT max(event_id) + 1 FROM M) = 4)'),
     "stream_empty_batch": ('SELECT batch_id, count(*) n_rows, '
                            'count(*) FILTER (WHERE target_id IS NULL OR "count" IS NULL) n_rejected '
                            'FROM A WHERE batch_id <> 2 GROUP BY batch_id'),
     "stream_split_job": "SELECT batch_id, target_id, notice_key, view_count FROM N",
+    "stream_delivery": 'SELECT event_id, target_id, "count" FROM D',
     "counter_table": ("SELECT target_id, 'view:count:' || target_id AS counter_key, "
                       'CAST(sum("count") AS BIGINT) view_count FROM D GROUP BY target_id'),
 }

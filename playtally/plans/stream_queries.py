@@ -11,14 +11,17 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from playtally.functions.decode import accepted as dec_accepted
 from playtally.functions.decode import decode_messages
 from playtally.operators import counts, offsets
 from playtally.plans.batch_queries import QUERY_LIMIT
 from playtally.session import materialize, remove_folder, scratch_dir
 from playtally.sources.kafka import as_kafka_rows, kafka_messages
 from playtally.sources.logs import log_text, read_log_lines
-from playtally.sources.messages import read_messages
+from playtally.sources.messages import TOPIC, read_messages
+from playtally.sources.topic_store import append, read_topic_store
 from playtally.streaming import job, stateful
+from playtally.streaming.committed_sink import read_delivered, start_delivery
 from playtally.streaming.replay import StagedReplay
 
 RUN_ONCE = {"availableNow": True}
@@ -152,6 +155,39 @@ def stream_resume(spark, sf_dir):
     return _whole_state(spark, out)
 
 
+def stream_log_resume(spark, sf_dir):
+    """Log lines as rolled files; the checkpoint is lost after three batches, and the new one, which
+    sees all files again, counts only those that were not read."""
+    root, replay = _setup(spark, sf_dir, "stream_log_resume", fmt="text", to_files=log_text)
+    out, ids = f"{root}/out", replay.batch_ids()
+    for b in ids:
+        resumed = b in ids[3:]
+        replay.release(b)
+        job.start_job(read_log_lines(spark, replay.inbox), out, f"{root}/{'new' if resumed else 'lost'}", limit=QUERY_LIMIT,
+                      trigger=RUN_ONCE, compact_every=2, resume=resumed).awaitTermination()
+    totals = job.read_counters(spark, out).selectExpr("'total' as kind", "-1L as batch_id", "target_id as k", "view_count as v")
+    told = job.read_output(spark, out, "notices").selectExpr("'notice' as kind", "batch_id", "target_id as k", "view_count as v")
+    return totals.union(told)
+
+
+def stream_topic_ranges(spark, sf_dir):
+    """The job on a stored topic, whose ledger is the source's own ranges. The messages of partition
+    3 in batch 4 are gone from the topic (their offsets are not): no rows, but a range."""
+    messages = read_messages(spark, sf_dir)
+    last = messages.agg(F.max("event_id")).first()[0]
+    root = scratch_dir(spark, "stream_topic_ranges")
+    cut = materialize(messages.withColumn("batch_id", F.expr(f"event_id * 6 div {last + 1}")), "topic-batches")
+    ends = {(r["batch_id"], str(r["partition"])): r["until"] for r in
+            cut.groupBy("batch_id", "partition").agg((F.max("offset") + 1).alias("until")).collect()}
+    out, topic = f"{root}/out", f"{root}/topic"
+    for b in sorted({b for b, _ in ends}):
+        kept = cut.filter((F.col("batch_id") == b) & ~((F.lit(b) == 4) & (F.col("partition") == 3)))
+        append(spark, as_kafka_rows(kept), topic, b, {TOPIC: {p: v for (n, p), v in ends.items() if n == b}})
+        job.start_job(kafka_messages(read_topic_store(spark, topic)), out, f"{root}/checkpoint", limit=QUERY_LIMIT,
+                      trigger=RUN_ONCE).awaitTermination()
+    return _whole_state(spark, out)
+
+
 def stream_empty_batch(spark, sf_dir):
     """A micro-batch without rows (batch 2): it is marked complete and writes no output."""
     root, replay = _setup(spark, sf_dir, "stream_empty_batch", to_files=lambda df: df.filter("batch_id <> 2"))
@@ -161,7 +197,7 @@ def stream_empty_batch(spark, sf_dir):
 
 
 def stream_split_job(spark, sf_dir):
-    """Large-key-space form: stateless outputs + state-store totals for notices."""
+    """Large-key-space form: stateless outputs, and notices by a stateful query over the stored sums."""
     root, replay = _setup(spark, sf_dir, "stream_split_job")
     out, ck = f"{root}/out", f"{root}/checkpoint"
     for b in replay.batch_ids():
@@ -171,6 +207,15 @@ def stream_split_job(spark, sf_dir):
     return job.read_output(spark, out, "notices").select("batch_id", "target_id", "notice_key", "view_count")
 
 
+def stream_delivery(spark, sf_dir):
+    """Accepted messages through the committing stream sink, six micro-batches."""
+    root, replay = _setup(spark, sf_dir, "stream_delivery")
+    out = f"{root}/delivered"
+    replay.run(lambda s: start_delivery(dec_accepted(decode_messages(s)).select("event_id", "target_id", "count"), out,
+                                        f"{root}/checkpoint", trigger=RUN_ONCE))
+    return read_delivered(spark, out, "event_id BIGINT, target_id BIGINT, count INT")
+
+
 def counter_table(spark, sf_dir):
     """Batch form of the counter sink: per-batch deltas written with dynamic
     partition overwrite (idempotent per batch), counters = sum of deltas."""
@@ -195,7 +240,10 @@ STREAM_QUERIES = {
     "stream_job_rejected": stream_job_rejected,
     "stream_replay": stream_replay,
     "stream_resume": stream_resume,
+    "stream_log_resume": stream_log_resume,
+    "stream_topic_ranges": stream_topic_ranges,
     "stream_empty_batch": stream_empty_batch,
     "stream_split_job": stream_split_job,
+    "stream_delivery": stream_delivery,
     "counter_table": counter_table,
 }

@@ -7,6 +7,8 @@ session has no such folder (local runs, tests) is one made here.
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
 import uuid
 
@@ -94,12 +96,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def partition_values(spark: SparkSession, path: str, column: str) -> list[int]:
     """Integer values of ``column=N`` sub-folders of ``path`` (folder listing only)."""
-    prefix = f"{column}="
     fs, hpath = _hadoop_fs(spark, path)
     if not fs.exists(hpath):
         return []
-    names = [st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory()]
-    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
+    # All names in one call: each call to the JVM costs as much as a small listing.
+    jvm = spark.sparkContext._jvm
+    paths = jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.listStatus(hpath))
+    listed = jvm.org.apache.commons.lang3.ArrayUtils.toString(paths)
+    return sorted(int(n) for n in re.findall(rf"/{column}=(-?[0-9]+)(?=,|}}$)", listed))
 
 
 def touch(spark: SparkSession, path: str) -> None:
@@ -114,6 +118,52 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     fs.delete(hpath, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, hpath = _hadoop_fs(spark, path)
+    fs.mkdirs(hpath)
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes below a folder (listing only)."""
+    fs, hpath = _hadoop_fs(spark, path)
+    return int(fs.getContentSummary(hpath).getLength()) if fs.exists(hpath) else 0
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file through Hadoop's FileSystem, None if it is absent."""
+    fs, hpath = _hadoop_fs(spark, path)
+    if not fs.exists(hpath):
+        return None
+    stream = fs.open(hpath)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, complete when its name appears (written aside, then renamed)."""
+    fs, hpath = _hadoop_fs(spark, path)
+    aside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(hpath.getParent(), f".{uuid.uuid4().hex}")
+    stream = fs.create(aside, True)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    if not fs.rename(aside, hpath):
+        raise FileExistsError(path)
+
+
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did (clusters whose nodes do
+    not share the code get it by ``--py-files``)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def materialize(df, name: str):
     """Write ``df`` once to a fresh folder below the checkpoint folder and
     return it read back (explicit schema, no inference job).

@@ -22,7 +22,7 @@ def log_text(messages: DataFrame) -> DataFrame:
 
 def read_log_lines(spark: SparkSession, folder: str, stream: bool = True,
                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """Lines of the text files in ``folder`` as a ``line`` column."""
+    """Lines of the text files in ``folder`` as a ``line`` column, with the path of their ``file``."""
     if stream:
         reader = spark.readStream.format("text")
         if max_files_per_trigger:
@@ -30,7 +30,7 @@ def read_log_lines(spark: SparkSession, folder: str, stream: bool = True,
         df = reader.load(folder)
     else:
         df = spark.read.text(folder)
-    return df.select(F.col("value").alias("line"))
+    return df.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
 
 
 def start_log_to_topic(lines: DataFrame, checkpoint: str, options: dict[str, str], topic: str = DEFAULT_TOPIC,

@@ -6,12 +6,15 @@
         --out s3a://bucket/playcount --checkpoint s3a://bucket/playcount-ckpt
 
 With ``--log-dir`` and ``--forward-to`` it streams the log lines into the topic
-instead. With ``--resume`` a job whose checkpoint was lost goes on from the
-ledger in ``--out`` (``--topic-partitions`` gives the topic's partition count, so
-that partitions without a message yet start at 0). Reads the topic (or ``--log-dir`` with rolled text files), runs the job with
-a processing-time trigger (10 s by default) and waits for termination. On
-restart the checkpoint resumes at the committed offsets; a first start reads
-from ``--starting-offsets`` (default ``earliest``).
+instead. Reads the topics (``--topic`` takes a comma-separated list; or
+``--log-dir`` with rolled text files), runs the job with a processing-time
+trigger (10 s by default) and waits for termination. On restart the checkpoint
+resumes at the committed offsets; a first start reads from
+``--starting-offsets`` (default ``earliest``). With ``--resume`` a job whose
+checkpoint was lost goes on from what ``--out`` holds: a topic at the committed
+positions (``--topic-partitions`` gives the partition count, one for all topics
+or one each, so that partitions without a message yet start at 0), a log folder
+without the files that were read.
 """
 
 from __future__ import annotations
@@ -33,14 +36,14 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     src = p.add_mutually_exclusive_group(required=True)
     src.add_argument("--bootstrap", help="Kafka bootstrap servers")
     src.add_argument("--log-dir", help="folder of rolled log files")
-    p.add_argument("--topic", default=DEFAULT_TOPIC)
+    p.add_argument("--topic", default=DEFAULT_TOPIC, help="a topic, or several with commas")
     p.add_argument("--group", default=DEFAULT_GROUP, help="consumer group id")
     p.add_argument("--starting-offsets", default="earliest")
     p.add_argument("--max-offsets-per-trigger", type=int, default=20_000_000,
                    help="messages of a micro-batch, at most")
     p.add_argument("--max-files-per-trigger", type=int, default=1000, help="log files of a micro-batch, at most")
     p.add_argument("--resume", action="store_true", help="new checkpoint on old output: go on from the ledger")
-    p.add_argument("--topic-partitions", type=int, help="partitions of the topic (needed with --resume)")
+    p.add_argument("--topic-partitions", help="partitions of the topics, one number or one each (needed with --resume)")
     p.add_argument("--forward-to", help="bootstrap servers: stream --log-dir into the topic and count nothing")
     p.add_argument("--min-partitions", type=int,
                    help="split large topic partitions over at least this many tasks")
@@ -51,6 +54,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--no-strip", action="store_true", help="parse raw lines (no prefix strip, no trim)")
     p.add_argument("--fail-fast", action="store_true")
     p.add_argument("--compact-every", type=int, default=DEFAULT_COMPACT_EVERY)
+    p.add_argument("--keep-batches", type=int, default=10_000,
+                   help="batches whose sums, ledger rows and rejected rows stay (behind the snapshots)")
     p.add_argument("--notice-topic", help=f"also send notices to this Kafka topic (e.g. {NOTICE_QUEUE})")
     args = p.parse_args(argv)
     if not args.out and not args.forward_to:
@@ -59,12 +64,28 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
         p.error("--forward-to needs --log-dir")
     if args.resume and args.bootstrap and not args.topic_partitions:
         p.error("--resume needs --topic-partitions")
+    if args.forward_to and "," in args.topic:
+        p.error("--forward-to takes one topic")
+    if args.topic_partitions:
+        try:
+            topic_sizes(args.topic, args.topic_partitions)
+        except ValueError as exc:
+            p.error(str(exc))
     return args
 
 
-def resume_offsets_json(spark, out: str, topic: str, partitions: int) -> str:
-    """``startingOffsets`` for all partitions of the topic: committed positions, else 0."""
-    every = spark.range(partitions).select(F.lit(topic).alias("topic"), F.col("id").cast("int").alias("partition"))
+def topic_sizes(topics: str, partitions: str) -> dict[str, int]:
+    """Partition counts: one number for all topics, or one each."""
+    names, counts = topics.split(","), [int(n) for n in str(partitions).split(",")]
+    if len(counts) not in (1, len(names)):
+        raise ValueError("--topic-partitions needs one number, or one for each topic")
+    return dict(zip(names, counts * len(names) if len(counts) == 1 else counts, strict=True))
+
+
+def resume_offsets_json(spark, out: str, topics: str, partitions: int | str) -> str:
+    """``startingOffsets`` for all partitions of the topics: committed positions, else 0."""
+    every = spark.createDataFrame(list(topic_sizes(topics, str(partitions)).items()), "topic STRING, n INT").select(
+        "topic", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("partition"))
     positions = resume_offsets(every, committed_positions(spark, out))
     return starting_offsets_json(positions).first()[0]
 
@@ -89,7 +110,7 @@ def main(argv: list[str] | None = None) -> None:
         starting = args.starting_offsets
         if args.resume:
             starting = resume_offsets_json(spark, args.out, args.topic, args.topic_partitions)
-        opts = kafka_options(args.bootstrap, args.topic, starting_offsets=starting, group_id=args.group,
+        opts = kafka_options(args.bootstrap, args.topic.split(","), starting_offsets=starting, group_id=args.group,
                              max_offsets_per_trigger=args.max_offsets_per_trigger,
                              min_partitions=args.min_partitions)
         messages = kafka_messages(read_kafka(spark, opts))
@@ -103,7 +124,7 @@ def main(argv: list[str] | None = None) -> None:
     query = start_job(messages, args.out, args.checkpoint, limit=args.limit,
                       trigger={"processingTime": args.trigger}, strip=not args.no_strip,
                       fail_fast=args.fail_fast, compact_every=args.compact_every,
-                      query_name="playtally", on_notices=on_notices, resume=args.resume)
+                      query_name="playtally", on_notices=on_notices, resume=args.resume, keep_batches=args.keep_batches)
     query.awaitTermination()
 
 

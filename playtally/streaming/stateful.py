@@ -6,25 +6,32 @@ totals (the counter increment's return value). State holds one entry per
 target for ever, as the reference's counters never expire; sessions built by
 :func:`playtally.build_session` keep it in RocksDB.
 
-Notices need a second "seen" state after the aggregate. Chaining a streaming
-``dropDuplicates`` after the aggregate fails on the RocksDB provider in Spark
-4.1, so the flag is the notice table itself: each batch's updated totals over
-the limit are ``left_anti`` joined with notices of earlier batches.
+Notices need total and flag of a target together. One stateful operator
+(:func:`threshold_state`) keeps both; what it takes in is summed before it, so a
+hot target costs it one row a batch. It runs on a decoded stream
+(:func:`start_threshold_notices`) or on the sums that a job has written
+(:func:`start_delta_notices`).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
-from playtally.functions.decode import accepted, decode_messages
+from playtally.functions.decode import accepted
 from playtally.functions.keys import notice_key
 from playtally.operators.notices import DEFAULT_LIMIT
-from playtally.session import path_exists
+from playtally.session import make_folder, share_package
 from playtally.streaming.job import DEFAULT_TRIGGER, refuse_lost_checkpoint
 
 TOTALS_SCHEMA = "target_id BIGINT, view_count BIGINT, batch_id BIGINT"
+SUMS_SCHEMA = "target_id BIGINT, batch_id BIGINT, batch_count BIGINT"
 NOTICES_SCHEMA = "target_id BIGINT, notice_key STRING, view_count BIGINT, batch_id BIGINT"
 
 
@@ -65,50 +72,100 @@ def latest_totals(spark: SparkSession, out_dir: str) -> DataFrame:
             .agg(F.max_by("view_count", "batch_id").alias("view_count")))
 
 
-class _NoticeWriter:
-    def __init__(self, out_dir: str, limit: int):
-        self.out_dir = out_dir.rstrip("/")
-        self.limit = limit
+def _advance(limit: int):
+    """The notice operator's step for one target: its new batches (``batch_id, batch_count``), oldest
+    first, on the state ``(view_count, notified, last_batch)``."""
+
+    def step(key, frames, state):
+        total, told, last = state.get if state.exists else (0, False, -1)
+        rows = pd.concat(list(frames)).groupby("batch_id", sort=True)["batch_count"].sum()
+        crossed = None
+        for batch, count in rows.items():
+            if 0 <= batch <= last:      # a batch that failed before its mark and was written again
+                continue
+            total, last = total + int(count), max(last, int(batch))
+            if not told and total > limit:
+                told, crossed = True, (total, int(batch))
+        state.update((total, told, last))
+        if crossed:
+            yield pd.DataFrame({"target_id": [key[0]], "view_count": [crossed[0]], "batch_id": [crossed[1]]})
+
+    return step
+
+
+def threshold_state(sums: DataFrame, limit: int = DEFAULT_LIMIT) -> DataFrame:
+    """``target_id, view_count, batch_id`` of each target's first crossing, from a stream of
+    ``target_id, batch_id, batch_count``: one stateful operator holds total, notice flag and the
+    last batch of a target. ``batch_id`` -1 stands for the micro-batch itself."""
+    share_package(sums.sparkSession)
+    return sums.groupBy("target_id").applyInPandasWithState(
+        _advance(limit), "target_id BIGINT, view_count BIGINT, batch_id BIGINT",
+        "view_count BIGINT, notified BOOLEAN, last_batch BIGINT", "update", GroupStateTimeout.NoTimeout)
+
 
-    def __call__(self, totals: DataFrame, batch_id: int) -> None:
-        spark = totals.sparkSession
-        n = int(batch_id)
-        new = totals.filter(F.col("view_count") > F.lit(self.limit))
-        if path_exists(spark, self.out_dir):
-            earlier = (spark.read.schema(NOTICES_SCHEMA).parquet(self.out_dir)
-                       .where(F.col("batch_id") < F.lit(n)))
-            new = new.join(earlier.select("target_id"), "target_id", "left_anti")
-        (new.select("target_id", notice_key().alias("notice_key"), "view_count")
-         .write.mode("overwrite").parquet(f"{self.out_dir}/batch_id={n}"))
+def _partial_sums(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+    for batch in batches:
+        sums = pa.table({"target_id": batch["target_id"], "n": batch["count"].cast(pa.int64())}).group_by("target_id").aggregate(
+            [("n", "sum")])
+        yield from pa.table({"target_id": sums["target_id"], "batch_id": pa.array([-1] * len(sums), pa.int64()),
+                             "batch_count": sums["n_sum"]}).to_batches()
 
 
 def start_threshold_notices(decoded: DataFrame, out_dir: str, checkpoint: str,
                             limit: int = DEFAULT_LIMIT, trigger: dict | None = None) -> StreamingQuery:
-    """Write each batch's new notices to ``out_dir/batch_id=N``."""
+    """Write each micro-batch's new notices to ``out_dir/batch_id=N``. Counts are summed before the
+    shuffle (a hot target sends one row an Arrow batch); no earlier notice is read."""
     refuse_lost_checkpoint(decoded.sparkSession, out_dir, checkpoint)
-    return (running_totals(decoded).writeStream.outputMode("update")
-            .foreachBatch(_NoticeWriter(out_dir, limit))
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or DEFAULT_TRIGGER)).start())
+    share_package(decoded.sparkSession)
+    sums = accepted(decoded).select("target_id", "count").mapInArrow(_partial_sums, SUMS_SCHEMA)
 
+    def write(found: DataFrame, batch_id: int) -> None:
+        (found.select("target_id", notice_key().alias("notice_key"), "view_count")
+         .write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch_id={int(batch_id)}"))
 
-def start_split_job(messages: DataFrame, out_dir: str, checkpoint: str, limit: int = DEFAULT_LIMIT,
-                    trigger: dict | None = None, strip: bool = True) -> list[StreamingQuery]:
-    """The job for very large key spaces: two queries on the same source.
+    return (threshold_state(sums, limit).writeStream.outputMode("update").foreachBatch(write)
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or DEFAULT_TRIGGER)).start())
 
-    The stateless job writes deltas, rejected rows, metrics and the ledger;
-    a stateful query keeps the totals in the state store and writes notices
-    to the same ``notices/batch_id=N`` layout, so a batch never reads other
-    targets' history. Both queries see the same micro-batches when started
-    together with ``availableNow``.
+
+def start_delta_notices(spark: SparkSession, out_dir: str, checkpoint: str, limit: int = DEFAULT_LIMIT,
+                        trigger: dict | None = None) -> StreamingQuery:
+    """Notices of a running job (started with ``notify=False``) from its stored per-batch sums: the
+    job decodes once, and a notice carries the job's own batch id, whichever micro-batch of this
+    query finds it. Written to the job's ``notices/batch_id=N``, a folder for each micro-batch.
+
+    The job writes batches one after another and a batch's sums are the same when it runs again,
+    so the state takes each batch of a target once. ``keep_batches`` must leave this query the
+    batches it has not read yet.
     """
-    from playtally.streaming.job import JobLayout, start_job
+    from playtally.streaming.store import SCHEMAS, JobLayout
 
     lay = JobLayout(out_dir)
+    refuse_lost_checkpoint(spark, lay.table("notices"), checkpoint)
+    make_folder(spark, lay.table("deltas"))
+    deltas = (spark.readStream.schema(SCHEMAS["deltas"] + ", batch_id BIGINT").parquet(lay.table("deltas"))
+              .select("target_id", F.col("batch_id").cast("bigint").alias("batch_id"), "batch_count"))
+
+    def write(found: DataFrame, epoch: int) -> None:
+        (found.select("target_id", notice_key().alias("notice_key"), "view_count", "batch_id",
+                      F.lit(int(epoch)).cast("bigint").alias("epoch"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id", "epoch").parquet(lay.table("notices")))
+
+    return (threshold_state(deltas, limit).writeStream.outputMode("update").foreachBatch(write)
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or DEFAULT_TRIGGER)).start())
+
+
+def start_split_job(messages: DataFrame, out_dir: str, checkpoint: str, limit: int = DEFAULT_LIMIT,
+                    trigger: dict | None = None, strip: bool = True) -> list[StreamingQuery]:
+    """The job for very large key spaces: the stateless job writes deltas, rejected rows, metrics
+    and the ledger; a stateful query over its deltas keeps totals and notice flags in the state
+    store, so that a batch never reads other targets' history. Notices carry the job's batch ids.
+    With an ``availableNow`` trigger the second starts when the first has ended.
+    """
+    from playtally.streaming.job import start_job
+
     ck = checkpoint.rstrip("/")
-    return [
-        start_job(messages, out_dir, f"{ck}/job", limit=limit, trigger=trigger, strip=strip,
-                  notify=False),
-        start_threshold_notices(decode_messages(messages, strip=strip), lay.table("notices"),
-                                f"{ck}/notices", limit=limit, trigger=trigger),
-    ]
+    first = start_job(messages, out_dir, f"{ck}/job", limit=limit, trigger=trigger, strip=strip, notify=False)
+    if trigger and ("availableNow" in trigger or "once" in trigger):
+        first.awaitTermination()
+    return [first, start_delta_notices(messages.sparkSession, out_dir, f"{ck}/notices", limit, trigger)]

@@ -247,7 +247,7 @@ def test_history_reads_only_folders_after_the_snapshot(spark, scratch):
     files = []
     for b in range(9):
         handler(msgs.filter(F.col("batch_id") == b), b)   # batch 4 is empty
-        files.append(len(job._history(spark, job.JobLayout(out)).inputFiles()))
+        files.append(len(job.history(spark, job.JobLayout(out)).inputFiles()))
     assert max(files[4:]) <= max(files[:5]) + 1
     from playtally.session import partition_values
     assert len(partition_values(spark, f"{out}/snapshots", "batch_id")) <= 3
@@ -288,7 +288,7 @@ def test_stopping_a_query_stops_its_writes(spark, scratch):
     out = f"{scratch}/out"
     handler = job.PlayCountBatch(out, limit=10)
     slow = F.expr("java_method('java.lang.Thread', 'sleep', 20000L)")
-    handler._notices = lambda s, deltas, n: deltas.filter(slow.isNull()).selectExpr(
+    handler._notices = lambda s, deltas, n, touched: deltas.filter(slow.isNull()).selectExpr(
         "target_id", "'x' as notice_key", "batch_count as view_count")
     q = (replay.stream().writeStream.foreachBatch(handler).option("checkpointLocation", f"{scratch}/ck")
          .trigger(**ONCE).start())
