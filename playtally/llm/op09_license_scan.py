@@ -1,22 +1,22 @@
 """License scan by conditional compression.
 
-Every trigger term of a text opens, for each notice template that holds the same
-term, a window of the template's length around it, widened by the words that may
-differ. Windows overlap and none is skipped; they do not end at lines. A window
-that lacks more of the template's words than may be missing cannot fit; in the
-others the template's words are aligned with the window's, and missing plus extra
-words must stay within ``tolerance`` of the template, with no difference in a
-number (versions decide between licenses). The stretch that fits is compressed by
-zstandard plainly and with the template as raw dictionary: what the template
-saves, relative to its own compressed size, is the finding's ``coverage``.
-Compression drops nothing: over longer text its savings say little.
+Every trigger term of a text opens a block around it, long enough for every notice template
+that holds the same term. Blocks overlap and none is skipped; they do not end at lines. A
+template whose words are missing from the block, more than may be, cannot fit. For the
+others the block is compressed by zstandard with the template as raw dictionary, and the
+template with the block as raw dictionary: the sizes that both save are the template's
+*gain*. Gains rank all candidates of a text, and the ranking decides: from the highest
+on, a candidate is confirmed by its exact wording (missing plus extra words within
+``tolerance`` of the template, no difference in a number: versions decide between
+licenses), and takes its words from the candidates after it. ``coverage`` is what the
+template saves on the words that fit, relative to its own compressed size.
 
 Spark picks the candidate texts by one regular expression inside the JVM; only
 those reach Python, as whole texts. No shuffle, no collected state.
 
 Defined results: null and empty texts, and texts without a notice, have no
-findings. Of templates that fit overlapping words, the one with fewer
-differences wins, then the longer, then the first by name. ``line`` is the line
+findings. Of templates that fit overlapping words, the one with the highest gain
+wins, of equal ones the longer, then the first by name. ``line`` is the line
 of the notice's first word; each occurrence is a finding. Repeated rows repeat.
 Extra columns are not read. Empty table: no rows.
 
@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import difflib
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -119,7 +119,7 @@ _FINDINGS = pa.list_(pa.struct([("license", pa.string()), ("line", pa.int32()),
 _WORD = re.compile(r"[^\W_]+(?:[.'][^\W_]+)*")
 _TRIGGER = re.compile(TRIGGER)
 _SPDX = re.compile(r"SPDX-License-Identifier:([^\n]*)", re.I)
-_CLAUSE_WORDS = 200       # the clauses end within so many words after the opening
+_OPENING = 6              # the trigger of the BSD notices
 
 
 def _split(text: str) -> tuple[list[str], list[int], list[tuple[int, int]]]:
@@ -141,6 +141,7 @@ def _compressor(dictionary: bytes | None = None) -> zstandard.ZstdCompressor:
 class Template:
     name: str
     words: list[str]
+    raw: bytes
     counts: Counter
     triggers: list[tuple[int, int]]
     size: int
@@ -155,7 +156,7 @@ def _templates() -> list[Template]:
         for text in texts:
             words, _, triggers = _split(text.lower())
             raw = " ".join(words).encode()
-            rows.append(Template(name, words, Counter(words), triggers, len(plain.compress(raw)), _compressor(raw)))
+            rows.append(Template(name, words, raw, Counter(words), triggers, len(plain.compress(raw)), _compressor(raw)))
     return rows
 
 
@@ -173,6 +174,24 @@ def _differences(template: list[str], block: list[str]) -> tuple[int, int, int,
     return len(missing), len(extra), begin, end, numbers
 
 
+@cache
+def _reach() -> dict[int, tuple[int, int]]:
+    """How many words before and after a trigger term its templates may take, slack included."""
+    out: dict[int, tuple[int, int]] = {}
+    for t in _templates():
+        slack = int(TOLERANCE * len(t.words))
+        for term, offset in t.triggers:
+            before, after = out.get(term, (0, 0))
+            out[term] = (max(before, offset + slack), max(after, len(t.words) - offset + slack))
+    return out
+
+
+def _gain(template: Template, block: bytes) -> int:
+    """Bytes that the template saves on the block and the block on the template."""
+    saved = len(_compressor().compress(block)) - len(template.compressor.compress(block))
+    return saved + template.size - len(_compressor(block).compress(template.raw))
+
+
 def _coverage(template: Template, stretch: list[str]) -> float:
     raw = " ".join(stretch).encode()
     return round(min(1.0, (len(_compressor().compress(raw)) - len(template.compressor.compress(raw))) / template.size), 3)
@@ -180,7 +199,7 @@ def _coverage(template: Template, stretch: list[str]) -> float:
 
 def _bsd(words: list[str]) -> str:
     """The BSD license whose clauses stand in the words after the opening."""
-    clauses = " ".join(words).partition("redistribution and use in source")[0]
+    clauses = " ".join(words)
     if "to endorse or promote products" in clauses or "redistributions in binary form" not in clauses:
         return "BSD-3-Clause"
     return "BSD-2-Clause"
@@ -204,31 +223,44 @@ def _tagged(text: str) -> list[tuple[str, int]]:
 def match_words(words: list[str], triggers: list[tuple[int, int]], seen: dict[tuple, tuple],
                 tolerance: float = TOLERANCE) -> list[tuple[str, float, int, int, int]]:
     """``(license, coverage, missing, extra, first word)`` of every notice among the words.
-    ``seen`` remembers windows that were aligned before."""
-    held, fits = Counter(words), set()
-    for i, template in enumerate(_templates()):
-        size = len(template.words)
-        slack = int(tolerance * size)
-        if (template.counts - held).total() > slack:
-            continue
-        for begin in {at - offset for term, at in triggers for t, offset in template.triggers if t == term}:
-            low = max(0, begin - slack)
-            window = words[low:max(0, begin + size + slack)]
-            if (template.counts - Counter(window)).total() > slack:
+    ``seen`` remembers what was compressed or aligned before."""
+    held, ranked = Counter(words), set()
+    near = [(i, t) for i, t in enumerate(_templates())
+            if (t.counts - held).total() <= int(tolerance * len(t.words))]
+    for term, at in triggers:
+        before, after = _reach().get(term, (0, 0))
+        block = words[max(0, at - before):at + after]
+        count, raw = Counter(block), " ".join(block).encode()
+        for i, template in near:
+            size = len(template.words)
+            slack = int(tolerance * size)
+            offsets = [offset for t, offset in template.triggers if t == term]
+            if not offsets or (template.counts - count).total() > slack:
                 continue
-            key = (i, *window)
-            if key not in seen:
-                seen[key] = _differences(template.words, window)
-            missing, extra, first, last, numbers = seen[key]
-            if numbers and missing + extra <= slack:
-                fits.add((missing + extra, -size, template.name, low + first, low + last, i, missing, extra))
+            if (i, raw) not in seen:
+                seen[i, raw] = _gain(template, raw)
+            for begin in {at - offset for offset in offsets}:
+                low, high = max(0, begin - slack), max(0, begin + size + slack)
+                ranked.add((-seen[i, raw], -size, template.name, low, high, i))
     taken, found = bytearray(len(words)), []
-    for _, _, name, first, last, i, missing, extra in sorted(fits):
-        if not any(taken[first:last]):
-            taken[first:last] = b"\1" * (last - first)
-            if _templates()[i].words[0] == "redistribution":
-                name = _bsd(words[last:last + _CLAUSE_WORDS])
-            found.append((name, _coverage(_templates()[i], words[first:last]), missing, extra, first))
+    openings = [at for term, at in triggers if term == _OPENING]
+    for _, _, name, low, high, i in sorted(ranked):
+        template, window = _templates()[i], words[low:high]
+        slack = int(tolerance * len(template.words))
+        if (template.counts - Counter(window)).total() > slack:
+            continue
+        if (i, *window) not in seen:
+            seen[i, *window] = _differences(template.words, window)
+        missing, extra, first, last, numbers = seen[i, *window]
+        first, last = low + first, low + last
+        if not numbers or missing + extra > slack or any(taken[first:last]):
+            continue
+        taken[first:last] = b"\1" * (last - first)
+        if template.words[0] == "redistribution":
+            # The clauses stand before the next opening.
+            after = bisect_left(openings, last)
+            name = _bsd(words[last:openings[after] if after < len(openings) else len(words)])
+        found.append((name, _coverage(template, words[first:last]), missing, extra, first))
     return sorted(found, key=lambda f: f[4])
 
 

@@ -165,6 +165,24 @@ def test_license_notices_over_lines_repeats_and_tags(text, found):
     assert [(f["license"], f["line"]) for f in licenses.scan_text(text, {})] == found
 
 
+def test_compression_decides_between_licenses(monkeypatch):
+    """Of templates that all fit the wording, the gain picks; without it another one wins."""
+    text = "This work is licensed under the GNU General Public License, version 3."
+    assert [f["license"] for f in licenses.scan_text(text, {})] == ["GPL-3.0"]
+    monkeypatch.setattr(licenses, "_gain", lambda template, block: 0)
+    assert [f["license"] for f in licenses.scan_text(text, {})] != ["GPL-3.0"]
+
+
+def test_bsd_clauses_far_behind_the_opening():
+    opening = licenses.TEMPLATES["BSD-3-Clause"][1]
+    far = " ".join(["conditions"] * 900)
+    two = f"{opening}: {far} redistributions in binary form must reproduce the above copyright notice"
+    three = f"{two} {far} nor the names of its contributors may be used to endorse or promote products"
+    assert [f["license"] for f in licenses.scan_text(two, {})] == ["BSD-2-Clause"]
+    assert [f["license"] for f in licenses.scan_text(three, {})] == ["BSD-3-Clause"]
+    assert [f["license"] for f in licenses.scan_text(f"{two}\n{three}", {})] == ["BSD-2-Clause", "BSD-3-Clause"]
+
+
 def test_license_notices_in_lines_of_any_length(spark):
     """Each notice planted once in a line of 10 to 10,000 words, held against an exact word search."""
     rng = np.random.default_rng(9)
