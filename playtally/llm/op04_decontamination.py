@@ -4,9 +4,11 @@ Every partition of the documents is cut into shards of about ``SHARD_WORDS``
 words (whole documents). A shard's words become 64-bit ids, a suffix array over
 them is built by prefix doubling (sorted on the first ``DEPTH`` words, which is
 at least a window), and every suffix of every benchmark item is binary-searched
-in it, all suffixes at once and word by word. The interval at window length
-holds all occurrences of the window; each occurrence is extended word by word to
-the longest verbatim match. Documents with an occurrence are contaminated.
+in it, all suffixes at once and word by word, each different window once. The
+interval at window length holds all occurrences of the window; each occurrence is
+extended word by word among the benchmark's own sorted suffixes to the longest
+verbatim match. Neither repeats in a text nor items that share a window multiply.
+Documents with an occurrence are contaminated.
 
 The benchmark is the query set: it is read in blocks of at most
 ``BLOCK_BYTES`` of text, each broadcast on its own and searched against all
@@ -77,50 +79,66 @@ def suffix_array(ids: np.ndarray, edges: np.ndarray, depth: int = DEPTH) -> tupl
 
 
 class Benchmark:
-    """A block of benchmark items: words, and the suffix at each word with its window length."""
+    """A block of benchmark items: their words, and the suffixes that hold a window, in sorted order.
+
+    Equal windows stand together, so a shard is searched once for each different window, and what
+    is found are intervals of the shard's suffix array, whatever number of items share the window.
+    """
 
     def __init__(self, item_ids: list[str | None], texts: list[str | None], window: int = WINDOW):
         self.names = item_ids
         self.ids, edges = word_ids(pc.fill_null(pa.array(texts, pa.string()), ""))
         sizes = np.diff(edges)
         self.item = np.repeat(np.arange(len(sizes)), sizes)
-        self.ends = np.repeat(edges[1:], sizes)
-        at = np.arange(len(self.ids))
-        self.window = np.minimum(window, np.repeat(sizes, sizes))
-        self.starts = np.flatnonzero(at + self.window <= self.ends)  # suffixes that hold a window
-
-    def search(self, ids: np.ndarray, order: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All occurrences: pairs (benchmark position, shard position) of equal windows."""
-        active = self.starts
+        order, self.ends = (suffix_array(self.ids, edges, int(sizes.max())) if len(self.ids)
+                            else (np.zeros(0, np.int64), np.zeros(0, np.int64)))
+        length = np.minimum(window, np.repeat(sizes, sizes))
+        order = order[order + length[order] <= self.ends[order]]     # suffixes that hold a window
+        # By window length, then as sorted; where different windows begin.
+        by = np.argsort(length[order], kind="stable")
+        self.starts, self.window = order[by], length[order][by]
+        self.full = window
+        new = np.ones(len(by), bool)
+        new[1:] = self.window[1:] != self.window[:-1]
+        for d in range(window):
+            inside = np.flatnonzero(d < self.window[1:]) + 1
+            inside = inside[~new[inside]]
+            new[inside] = self.ids[self.starts[inside] + d] != self.ids[self.starts[inside - 1] + d]
+        self.first = np.flatnonzero(new)
+        self.stop = np.append(self.first[1:], len(by))[:len(self.first)]
+
+    def search(self, ids: np.ndarray, order: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Different windows (numbers) that occur, and their intervals of ``order``."""
+        active, size = np.arange(len(self.first)), self.window[self.first]
         lo, hi = np.zeros(len(active), np.int64), np.full(len(active), len(order), np.int64)
-        found_b, found_p = [], []
-        for d in range(int(self.window.max()) if len(self.ids) else 0):
-            want = self.ids[active + d]
+        none = np.zeros(0, np.int64)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(none, none, none)]
+        for d in range(self.full):
+            want = self.ids[self.starts[self.first[active]] + d]
             lo, hi = (_bisect(ids, order, ends, d, want, lo, hi, right) for right in (False, True))
-            full = (self.window[active] == d + 1) & (hi > lo)
-            if full.any():
-                n = (hi - lo)[full]
-                found_b.append(np.repeat(active[full], n))
-                gather = np.repeat(lo[full] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                found_p.append(order[gather])
-            on = (self.window[active] > d + 1) & (hi > lo)
+            full = (size[active] == d + 1) & (hi > lo)
+            found.append((active[full], lo[full], hi[full]))
+            on = (size[active] > d + 1) & (hi > lo)
             active, lo, hi = active[on], lo[on], hi[on]
             if not len(active):
                 break
-        none = np.zeros(0, np.int64)
-        return np.concatenate([none, *found_b]), np.concatenate([none, *found_p])
-
-    def extend(self, ids: np.ndarray, ends: np.ndarray, b: np.ndarray, p: np.ndarray) -> np.ndarray:
-        """Words of the longest verbatim match that starts at each pair."""
-        length = self.window[b].copy()
-        on = np.arange(len(b))
+        return tuple(np.concatenate(column) for column in zip(*found, strict=True))
+
+    def extend(self, ids: np.ndarray, ends: np.ndarray, p: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Words of the longest verbatim match that starts at each occurrence, with any suffix that
+        holds its window, and the interval of ``starts`` that match so far. An item that is itself a
+        window has no more words."""
+        lo, hi, length = self.first[number].copy(), self.stop[number].copy(), self.window[self.first[number]].copy()
+        on = np.flatnonzero(length == self.full)
         while len(on):
-            nb, np_ = b[on] + length[on], p[on] + length[on]
-            fits = (nb < self.ends[b[on]]) & (np_ < ends[p[on]])
-            on, nb, np_ = on[fits], nb[fits], np_[fits]
-            on = on[self.ids[nb] == ids[np_]]
+            on = on[p[on] + length[on] < ends[p[on]]]
+            want, d = ids[p[on] + length[on]], int(length[on[0]]) if len(on) else 0
+            a, b = (_bisect(self.ids, self.starts, self.ends, d, want, lo[on], hi[on], right) for right in (False, True))
+            more = b > a
+            on = on[more]
+            lo[on], hi[on] = a[more], b[more]
             length[on] += 1
-        return length
+        return length, lo, hi
 
     RESULT = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("spans", pa.list_(pa.int64())),
                         ("items", pa.list_(pa.string())), ("longest", pa.int64()), ("longest_start", pa.int64()),
@@ -137,19 +155,21 @@ class Benchmark:
             row.update(old or {})
         if n and len(self.starts):
             order, ends = suffix_array(ids, edges)
-            b, p = self.search(ids, order, ends)
-            if len(b):
-                self._add(rows, ids, edges, ends, b, p)
+            number, lo, hi = self.search(ids, order, ends)
+            if len(number):
+                n = hi - lo
+                at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                self._add(rows, ids, edges, ends, np.repeat(number, n), order[at])
         return pa.array(rows, self.RESULT)
 
     def _add(self, rows: list[dict], ids: np.ndarray, edges: np.ndarray, ends: np.ndarray,
-             b: np.ndarray, p: np.ndarray) -> None:
+             number: np.ndarray, p: np.ndarray) -> None:
+        """Occurrences: at most one a shard position and window length."""
         doc = np.searchsorted(edges, p, side="right") - 1
-        pairs = np.unique(doc * len(self.names) + self.item[b])
         touched = np.unique(doc)
         cover = np.zeros(len(ids) + 1, np.int64)
         np.add.at(cover, p, 1)
-        np.add.at(cover, p + self.window[b], -1)
+        np.add.at(cover, p + self.window[self.first[number]], -1)
         for d in touched:
             old = np.array(rows[d]["spans"], np.int64) + edges[d]
             np.add.at(cover, old[0::2], 1)
@@ -159,18 +179,24 @@ class Benchmark:
             own = np.concatenate(([False], hit[edges[d]:edges[d + 1]], [False]))
             rows[d]["spans"] = np.flatnonzero(own[1:] != own[:-1]).tolist()
             rows[d]["n_hit"] = int(own.sum())
-        for pair in pairs:
-            name = self.names[int(pair) % len(self.names)]
-            row = rows[int(pair) // len(self.names)]
-            if name is not None and name not in row["items"]:
-                row["items"] = sorted([*row["items"], name])
-        length = self.extend(ids, ends, b, p)
-        by = np.lexsort((b, p, -length, doc))
-        for i in by[np.concatenate(([True], np.diff(doc[by]) > 0))]:
-            row = rows[int(doc[i])]
-            if length[i] > row["longest"]:
-                row.update(longest=int(length[i]), longest_start=int(p[i] - edges[doc[i]]),
-                           longest_item=self.names[int(self.item[b[i]])])
+        held = np.unique(doc * len(self.first) + number)
+        items = {int(d): set(rows[d]["items"]) for d in touched}
+        for pair in held.tolist():
+            d, k = divmod(pair, len(self.first))
+            items[d].update(self.names[i] for i in np.unique(self.item[self.starts[self.first[k]:self.stop[k]]]).tolist())
+        for d, names in items.items():
+            rows[d]["items"] = sorted(names - {None})
+        length, lo, hi = self.extend(ids, ends, p, number)
+        by = np.lexsort((p, -length, doc))
+        heads = np.flatnonzero(np.concatenate(([True], np.diff(doc[by]) > 0)))
+        for d, i, at in zip(doc[by[heads]].tolist(), by[heads].tolist(), heads.tolist(), strict=True):
+            if length[i] > rows[d]["longest"]:
+                # Of equally long matches at one place (an item of its own window's words, too) the first.
+                same = by[at:at + self.full]   # one a window length, next to each other
+                same = same[(doc[same] == d) & (p[same] == p[i]) & (length[same] == length[i])]
+                first = min(int(self.starts[lo[j]:hi[j]].min()) for j in same)
+                rows[d].update(longest=int(length[i]), longest_start=int(p[i] - edges[d]),
+                               longest_item=self.names[int(self.item[first])])
 
 
 def _bisect(ids: np.ndarray, order: np.ndarray, ends: np.ndarray, d: int, want: np.ndarray,

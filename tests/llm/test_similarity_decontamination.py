@@ -189,3 +189,32 @@ def test_links_inside_a_family_are_all_counted(spark, monkeypatch):
     for size in (2048, 4):
         monkeypatch.setattr(join, "BLOCK_SETS", size)
         assert {r.doc_id: r.n_links for r in join.similar_documents(table).collect()} == want
+
+
+def test_shared_windows_and_repeats_do_not_multiply():
+    """3,000 items with one instruction against a text that repeats it 10,000 times, in one process
+    of its own: time, memory and result."""
+    import json
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = f"""
+import json, resource, sys, time
+sys.path.insert(0, {root!r})
+import pyarrow as pa
+from playtally.llm import op04_decontamination as op
+instruction = "answer the question below with one of the four given letters only"
+items = op.Benchmark([str(i) for i in range(3000)], [f"{{instruction}} item{{i}} asks number{{i}}" for i in range(3000)])
+text = f"{{instruction}} " * 10_000 + f"{{instruction}} item7 asks another thing"
+before, start = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.process_time()
+row = items.matches(pa.array([text, "nothing here"]), [None, None]).to_pylist()
+print(json.dumps([time.process_time() - start, (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024,
+                  len(row[0]["items"]), row[0]["n_hit"], row[0]["n_words"], row[0]["longest"], row[0]["longest_item"],
+                  row[0]["spans"], row[1]["n_hit"]]))
+"""
+    said = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True)
+    seconds, mb, *got = json.loads(said.stdout)
+    assert got == [3000, 120_014, 120_016, 14, "7", [0, 120_014], 0]
+    assert seconds < 6 and mb < 500
