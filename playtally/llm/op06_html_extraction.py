@@ -29,7 +29,9 @@ empty text. Repeated rows repeat. Only page_id, url and html are read.
 from __future__ import annotations
 
 import html as entities
+import math
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -90,6 +92,7 @@ _KINDS = 4
 _TAG_WORDS = {"article": "article", "main": "main", "nav": "nav", "menu": "menu", "aside": "aside", "footer": "footer",
               "header": "header", "form": "form", "dialog": "dialog"}
 _INHERIT = 2  # levels over which an element also counts as part of its ancestors' non-content families
+_FEW = 6      # elements of a level that are handled one by one
 _CONTAINERS = set("html body div section article main aside nav header footer form table tbody tr td ul ol dl "
                   "details fieldset dialog menu".split())
 
@@ -109,20 +112,38 @@ class Page:
 def parse(source: str) -> Page:
     """Tree of the elements and text runs of one page."""
     page, stack, block, at = Page(), [], 0, 0
+    # Depths of the open elements of each name, and of the open blocks other than p: no tag looks
+    # through the whole stack.
+    where: dict[str, list[int]] = defaultdict(list)
+    blocks: list[int] = []
 
     def close(depth: int) -> None:
         nonlocal block
-        if any(page.tags[e] in _BLOCK for e in stack[depth:]):
+        gone = [page.tags[e] for e in stack[depth:]]
+        for tag in gone:
+            where[tag].pop()
+        while blocks and blocks[-1] >= depth:
+            blocks.pop()
+        if any(tag in _BLOCK for tag in gone):
             block += 1
         del stack[depth:]
 
+    def enter(name: str, attributes: str) -> None:
+        where[name].append(len(stack))
+        if name in _BLOCK and name != "p":
+            blocks.append(len(stack))
+        _open(page, stack, name, attributes)
+
+    def nearest(names: set[str]) -> int:
+        return max((where[x][-1] for x in names if where[x]), default=-1)
+
     while (token := _TOKEN.match(source, at)) is not None:
         at = token.end()
         slash, name, attributes, end, text = token.groups()
         if text is not None:
             # A sibling-less run before any element still needs one to hang on.
             if not stack and not text.isspace():
-                _open(page, stack, "body", "")
+                enter("body", "")
             if stack:
                 page.runs.append((stack[-1], block, entities.unescape(text)))
             continue
@@ -130,13 +151,11 @@ def parse(source: str) -> Page:
             continue
         name = name.lower()
         if slash:
-            for depth in range(len(stack) - 1, -1, -1):
-                if page.tags[stack[depth]] == name:
-                    close(depth)
-                    break
+            if where[name]:
+                close(where[name][-1])
             continue
-        if attributes.endswith("/") and not _UNQUOTED_END.search(attributes[-500:]) and (
-                name in _RAW or name in _FOREIGN or name == "object" or any(page.tags[e] in _FOREIGN for e in stack)):
+        if attributes.endswith("/") and not _ends_unquoted(attributes) and (
+                name in _RAW or name in _FOREIGN or name == "object" or any(where[x] for x in _FOREIGN)):
             continue
         in_head = name == "noscript" and stack and page.tags[stack[-1]] == "head"
         if name in _RAW or in_head:
@@ -148,27 +167,27 @@ def parse(source: str) -> Page:
             if stack:
                 page.runs.append((stack[-1], block, " "))
             continue
-        for depth in range(len(stack) - 1, -1, -1):
-            open_tag = page.tags[stack[depth]]
-            if open_tag in _CLOSES.get(name, ()):
+        if name in _CLOSES:
+            # The open elements that this one ends, from the innermost on, up to its scope.
+            while (depth := nearest(_CLOSES[name])) >= 0 and depth >= (scope := nearest(_SCOPE.get(name, set()))):
                 close(depth)
-            if open_tag in _SCOPE.get(name, ()):
-                break
-        if name in _ENDS_P:
-            for depth in range(len(stack) - 1, -1, -1):
-                open_tag = page.tags[stack[depth]]
-                if open_tag == "p":
-                    close(depth)
-                    break
-                if open_tag in _BLOCK:
+                if depth == scope:
                     break
+        if name in _ENDS_P and where["p"] and where["p"][-1] > (blocks[-1] if blocks else -1):
+            close(where["p"][-1])
         if name in _BLOCK:
             block += 1
         if name not in _VOID:
-            _open(page, stack, name, attributes)
+            enter(name, attributes)
     return page
 
 
+def _ends_unquoted(attributes: str) -> bool:
+    """Whether the last attribute has an unquoted value (which holds a slash that ends it)."""
+    stop = attributes.rfind("=")
+    return stop >= 0 and _UNQUOTED_END.search(attributes, stop) is not None
+
+
 def _open(page: Page, stack: list[int], name: str, attributes: str) -> None:
     families, mark = 0, ""
     if attributes:
@@ -228,18 +247,23 @@ def forest(pages: list[Page]) -> Forest:
             if size:
                 chars[base + element] += size
                 marks[base + element] += sum(map(text.count, ".,;!?"))
-    levels = [np.flatnonzero(depth == d) for d in range(int(depth.max()) + 1 if n else 0)]
-    for some in levels[1:]:
-        link[some] |= link[parent[some]]
+    # A parent stands before its children: links go down in order, sums go up against it.
+    above, linked_to = parent.tolist(), link.tolist()
+    for i, p in enumerate(above):
+        if p >= 0 and linked_to[p]:
+            linked_to[i] = 1
+    link = np.array(linked_to, np.int64)
     inner = np.array([t not in ("html", "body") for page in pages for t in page.tags], dtype=np.int64)
     near = names
     for _ in range(_INHERIT):
-        above = near * inner & ~2  # all families but content's own
-        near = names | np.where(parent >= 0, above[parent], 0)
-    linked = chars * link
-    for some in levels[:0:-1]:
-        for values in (chars, marks, linked):
-            np.add.at(values, parent[some], values[some])
+        held = near * inner & ~2  # all families but content's own
+        near = names | np.where(parent >= 0, held[parent], 0)
+    sums = [values.tolist() for values in (chars, marks, chars * link)]
+    for i in range(n - 1, -1, -1):
+        if (p := above[i]) >= 0:
+            for values in sums:
+                values[p] += values[i]
+    chars, marks, linked = (np.array(values) for values in sums)
     share = np.digitize(linked / np.maximum(chars, 1), [0.01, 0.3, 0.7, 0.99])
     amount = np.digitize(chars, [1, 20, 60, 150, 400, 1500])
     density = np.where(chars > 0, 1 + np.digitize(marks / np.maximum(chars, 1), [0.001, 0.01, 0.03]), 0)
@@ -262,18 +286,47 @@ class TreeModel:
             local += table[:, values].T
         roots = trees.parent < 0
         local[roots] += self.prior
-        levels = [np.flatnonzero(trees.depth == d) for d in range(int(trees.depth.max()) + 1 if len(local) else 0)]
+        order = np.argsort(trees.depth, kind="stable")
+        levels = np.split(order, np.cumsum(np.bincount(trees.depth))[:-1]) if len(order) else []
         up = np.zeros_like(local)
         belief = local.copy()
+        # Levels of a few elements, of which a deeply nested page has very many, go without arrays.
         for some in levels[:0:-1]:
+            if len(some) <= _FEW:
+                self._up_few(some.tolist(), trees, belief, up)
+                continue
             up[some] = np.logaddexp.reduce(belief[some][:, None, :] + self.tie[trees.kind[some]], axis=2)
             np.add.at(belief, trees.parent[some], up[some])
         for some in levels[1:]:
+            if len(some) <= _FEW:
+                self._down_few(some.tolist(), trees, belief, up)
+                continue
             above = belief[trees.parent[some]] - up[some]
             belief[some] += np.logaddexp.reduce(above[:, :, None] + self.tie[trees.kind[some]], axis=1)
         return 1 / (1 + np.exp(np.clip(belief[:, 0] - belief[:, 1], -500, 500)))
 
 
+    def _up_few(self, some: list[int], trees: Forest, belief: np.ndarray, up: np.ndarray) -> None:
+        for i in some:
+            (a, b), (c, d) = self.tie[trees.kind.item(i)].tolist()
+            x, y, p = belief.item(i, 0), belief.item(i, 1), trees.parent.item(i)
+            up[i, 0], up[i, 1] = off, on = _log_sum(x + a, y + b), _log_sum(x + c, y + d)
+            belief[p, 0] += off
+            belief[p, 1] += on
+
+    def _down_few(self, some: list[int], trees: Forest, belief: np.ndarray, up: np.ndarray) -> None:
+        for i in some:
+            (a, b), (c, d) = self.tie[trees.kind.item(i)].tolist()
+            p = trees.parent.item(i)
+            x, y = belief.item(p, 0) - up.item(i, 0), belief.item(p, 1) - up.item(i, 1)
+            belief[i, 0] += _log_sum(x + a, y + c)
+            belief[i, 1] += _log_sum(x + b, y + d)
+
+
+def _log_sum(x: float, y: float) -> float:
+    return max(x, y) + math.log1p(math.exp(-abs(x - y)))
+
+
 def train_model(sources: Iterator[str] | None = None, smoothing: float = SMOOTHING) -> TreeModel:
     """Count both potential tables on labelled pages."""
     pages = [parse(s) for s in (labelled_pages() if sources is None else sources)]

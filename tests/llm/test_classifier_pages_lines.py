@@ -110,6 +110,25 @@ def test_page_elements_that_are_no_raw_text(extra, text):
     assert pages.extract([pages.parse(page)], pages.train_model()) == ["\n".join(x for x in want if x)]
 
 
+@pytest.mark.parametrize("page", ["<font>" * 170_000, "<li><b>" * 140_000, "<div><p>x" * 110_000, "</i><i>" * 140_000,
+                                  "<svg><g a=b/>" + "<path/>" * 140_000, "<ul>" + "<font>" * 80_000 + "<li>x" * 80_000])
+def test_deep_pages_take_linear_time(page):
+    import time
+
+    model, start = pages.train_model(), time.process_time()
+    pages.extract([pages.parse(page)], model)
+    assert time.process_time() - start < 10     # about 3 s alone; the work was quadratic (minutes) before
+
+
+def test_narrow_levels_equal_wide_ones(monkeypatch):
+    """A chain with side branches: messages one by one and as arrays."""
+    trees = pages.forest([pages.parse("<div><p>some text here, and more.</p><a>link</a>" * 30), pages.parse("<b>" * 40 + "x")])
+    model = pages.train_model()
+    one = model.marginals(trees)
+    monkeypatch.setattr(pages, "_FEW", 0)
+    assert np.abs(one - model.marginals(trees)).max() < 1e-9
+
+
 def test_marginals_equal_enumeration():
     """Sum-product against summing over all labelings of a small tree."""
     from itertools import product
