@@ -115,3 +115,29 @@ def test_equal_windows_have_equal_anchors(texts, width):
             assert anchor_of.setdefault(raw[p:p + width], a) == a
             seen.append(p)
     assert sorted(seen) == [p for lo, hi in zip(edges[:-1], edges[1:], strict=True) for p in range(lo, hi - width + 1)]
+
+
+def test_a_parts_rows_may_come_in_any_order():
+    """A shuffle gives each step the part's rows in an order of its own."""
+    import pyarrow as pa
+
+    rows = [(i, t.encode()) for i, t in [(r[0], r[1]) for r in near_copies(40)]]
+    none = op._message_table([], 0, 0, [], [])
+
+    def table(order):
+        part = [rows[k] for k in order]
+        return pa.table({"part": pa.array([0] * len(part), pa.int32()), "doc_id": pa.array([i for i, _ in part], pa.int64()),
+                         "digest": pa.array([hashlib.sha256(t).digest() for _, t in part], pa.binary()),
+                         "text": pa.array([t for _, t in part], pa.binary())})
+
+    def groups(rows_, column):
+        values = rows_[column].to_numpy()
+        return [rows_.take(pa.array(np.flatnonzero(values == v))) for v in np.unique(values)]
+
+    one, other = table(range(40)), table(reversed(range(40)))
+    anchors = op._send_anchors(3, 50)(one, none)
+    shared = pa.concat_tables([op._answer_anchors(5)(g) for g in groups(anchors, "bucket")])
+    pieces = op._send_pieces(3, 4, 50)(one, shared)
+    answers = pa.concat_tables([shared, *(op._answer_pieces(50, 3000)(g) for g in groups(pieces, "shard"))])
+    both = [sorted(map(repr, op._spans(3, 4, 50)(t, answers).to_pylist())) for t in (one, other)]
+    assert both[0] == both[1]
