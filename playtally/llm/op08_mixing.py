@@ -39,7 +39,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from playtally.llm.common import words
+from playtally.llm.common import shuffle_width, words
 from playtally.session import materialize
 
 SEED = 42
@@ -47,6 +47,7 @@ WEIGHTS = (1, 2, 3)
 MAX_PASSES = 3
 BLOCK_WORDS = 50_000      # a block's words, about
 SHARD_WORDS = 5_000_000   # an output shard's words, about
+DEAL_LEVELS = 6           # levels of the splitting tree between two deals of its nodes over all tasks
 FILLS = 5                 # documents beyond the cutoff that may fill a source's gap
 
 
@@ -186,6 +187,7 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int = SEED) -> DataFrame:
 
     ``quotas``: ``source, quota``. The root holds all quotas as one array, one entry per
     source; each level draws the left half's quotas and leaves the rest to the right half.
+    The nodes of some levels are dealt over all tasks, which go on with the trees below them.
     """
     tree = quotas.groupBy().agg(
         F.array_sort(F.collect_list(F.struct(F.col("source").isNull().alias("null"), "source", "quota"))).alias("all")) \
@@ -193,7 +195,9 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int = SEED) -> DataFrame:
                 F.transform("all", lambda q: q["quota"]).alias("q"),
                 F.lit(0).alias("lo"), F.lit(shards).alias("hi"))
     depth = max(0, (shards - 1).bit_length())
-    for _ in range(depth):
+    for level in range(depth):
+        if level and level % DEAL_LEVELS == 0:
+            tree = tree.repartition(shuffle_width(quotas.sparkSession), "lo")
         left = _left_expression(seed)
         node = (tree.withColumn("n", F.expr("aggregate(q, 0L, (a, x) -> a + x)"))
                 .withColumn("mid", F.expr("lo + (hi - lo + 1) div 2"))
