@@ -3,11 +3,11 @@
 A document's set is its distinct ``width``-word shingles (64-bit hashes). Two
 documents link when ``100 * intersection >= percent * union``.
 
-1. *Frequencies.* Tasks cut their shingles by shingle bucket and document part
-   into packed, locally distinct arrays (a shingle that a third of all documents
-   share costs two entries per slice); a bucket's task counts them and sends
-   each part the shingles that occur more than once. Four bytes a shingle travel,
-   nothing per (document, shingle) row.
+1. *Frequencies.* Documents are dealt to parts of about 24 MB once. A part's task
+   sorts its shingles by shingle bucket into packed arrays (a shingle that a third of
+   all documents share costs two entries per part); a bucket's task counts them and
+   sends each part the shingles that occur more than once. Four bytes a shingle travel
+   in rows of one (part, bucket): some 3,000 shingles each over 30 GB, 100 over 1 TB.
 2. *Prefixes.* A part's documents meet those counts. Shingles are ordered rarest
    first; a set of size n keeps its first ``n - ceil(p n) + 1`` (a pair that
    links shares one of them). Shingles that occur once cannot match: they fill
@@ -37,7 +37,7 @@ read. Empty table: no rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +57,8 @@ SLICE_BYTES = 3 << 20     # text handled at once inside a task
 LEAST_PARTS = 32
 BLOCK_SETS = 2048         # sets of a component in a block, about, and their bytes
 BLOCK_BYTES = 8 << 20
+HOT_COMPONENT = 256       # nodes of a component from which its rows are salted, and the salts
+SALTS = 64
 
 # Low bits of a shingle kept inside a bucket. Buckets hold a few million shingles at any input
 # size, so about one in a thousand is counted together with another one. That changes the
@@ -78,11 +80,16 @@ def shingle_sets(texts: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.nd
     doc = np.repeat(np.arange(len(sizes)), n_shingles)
     at = np.arange(len(doc)) - np.repeat(np.cumsum(n_shingles) - n_shingles, n_shingles) + edges[doc]
     value = np.zeros(len(doc), np.uint64)
+    short = np.flatnonzero(sizes[doc] < width)  # a short text is one shingle of all its words
     with np.errstate(over="ignore"):
-        for k in range(width):  # a short text is one shingle of all its words
-            inside = at + k < edges[doc + 1]
-            value[inside] = mix(value[inside] * np.uint64(0x9E3779B97F4A7C15) + ids[at[inside] + k] + np.uint64(k + 1))
-    by = np.lexsort((value, doc))
+        for k in range(width):
+            word = ids[np.minimum(at + k, len(ids) - 1)]
+            after = mix(value * np.uint64(0x9E3779B97F4A7C15) + word + np.uint64(k + 1))
+            ended = short[k >= sizes[doc[short]]]
+            after[ended] = value[ended]
+            value = after
+    by = np.argsort(value)
+    by = by[np.argsort(doc[by].astype(np.uint16 if len(sizes) < 1 << 16 else np.int64), kind="stable")]
     doc, value = doc[by], value[by]
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
@@ -94,60 +101,50 @@ def _bucket(shingles: np.ndarray, buckets: int) -> np.ndarray:
     return ((shingles >> _BITS) % np.uint64(buckets)).astype(np.int64)
 
 
+def _packed(data: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """Binary values: the bytes of ``data`` between neighbouring ``edges``."""
+    offsets = (edges * data.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
 def _blobs(buckets: int, width: int) -> Callable:
-    """``part, text`` to BLOB_SCHEMA: per slice, a bucket's shingles of a part, each once or,
-    where it occurs more often, twice."""
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, parts, at = pc.fill_null(batch["text"], ""), batch["part"].to_numpy(), 0
-            for piece in shards(texts, SLICE_BYTES):
-                value, edges = shingle_sets(piece, width)
-                part = np.repeat(parts[at:at + len(piece)].astype(np.int64), np.diff(edges))
-                at += len(piece)
-                if not len(value):
-                    continue
-                cell = _bucket(value, buckets) * buckets + part
-                low = value & _LOW
-                by = np.lexsort((low, cell))
-                cell, low = cell[by], low[by]
-                same = np.zeros(len(cell), bool)
-                same[1:] = (cell[1:] == cell[:-1]) & (low[1:] == low[:-1])
-                third = np.zeros(len(cell), bool)
-                third[2:] = same[2:] & same[1:-1]
-                cell, low = cell[~third], low[~third]
-                edge = np.concatenate(([0], np.flatnonzero(np.diff(cell)) + 1, [len(cell)]))
-                data = pa.py_buffer(low.astype("<u4").tobytes())
-                offsets = pa.py_buffer((edge * 4).astype(np.int32).tobytes())
-                first = cell[edge[:-1]]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(first // buckets, pa.int32()), pa.array(first % buckets, pa.int32()),
-                    pa.Array.from_buffers(pa.binary(), len(first), [None, offsets, data])],
-                    names=["bucket", "part", "low"])
+    """A part's documents to BLOB_SCHEMA: a bucket's shingles of the part, each once or, where
+    more texts hold it, twice."""
+
+    def cut(key: tuple, docs: pa.Table) -> pa.Table:
+        found = [np.zeros(0, np.uint64)]
+        for batch in docs.to_batches():
+            for piece in shards(pc.fill_null(batch["text"], ""), SLICE_BYTES):
+                value, _ = shingle_sets(piece, width)
+                found.append((_bucket(value, buckets).astype(np.uint64) << _BITS) | (value & _LOW))
+        cells = np.concatenate(found)
+        del found
+        cells.sort()
+        third = np.zeros(len(cells), bool)
+        third[2:] = (cells[2:] == cells[1:-1]) & (cells[2:] == cells[:-2])
+        cells = cells[~third]
+        low, bucket = (cells & _LOW).astype("<u4"), (cells >> _BITS).astype(np.int32)
+        edges = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+        return pa.table({"bucket": pa.array(bucket[edges[:-1]], pa.int32()),
+                         "part": pa.array(np.full(len(edges) - 1, key[0].as_py()), pa.int32()),
+                         "low": _packed(low, edges)})
 
     return cut
 
 
 def _count_bucket(key: tuple, table: pa.Table) -> pa.Table:
     """One bucket: per part, its shingles that occur more than once in all, with saturated counts."""
-    lows = [np.frombuffer(x, "<u4") for x in table["low"].to_pylist()]
+    lows = [np.frombuffer(x.as_buffer(), "<u4") for x in table["low"]]
     parts = np.repeat(table["part"].to_numpy(), [len(x) for x in lows])
-    low = np.concatenate(lows)
-    values, where, counts = np.unique(low, return_inverse=True, return_counts=True)
+    values, where, counts = np.unique(np.concatenate(lows), return_inverse=True, return_counts=True)
     often = counts[where] > 1
-    part, which = parts[often], where[often]
-    pairs = np.unique(part.astype(np.int64) * len(values) + which)
+    pairs = np.unique(parts[often].astype(np.int64) * len(values) + where[often])
     part, which = pairs // len(values), pairs % len(values)
-    edge = np.searchsorted(part, np.arange(part[-1] + 2)) if len(part) else np.zeros(1, np.int64)
-    out_part, keys, times = [], [], []
-    for p in np.unique(part):
-        some = which[edge[p]:edge[p + 1]]
-        out_part.append(int(p))
-        keys.append(values[some].tobytes())
-        times.append(np.minimum(counts[some], 65535).astype("<u2").tobytes())
-    return pa.table({"part": pa.array(out_part, pa.int32()),
-                     "bucket": pa.array([key[0].as_py()] * len(out_part), pa.int32()),
-                     "low": pa.array(keys, pa.binary()), "counts": pa.array(times, pa.binary())})
+    edges = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
+    return pa.table({"part": pa.array(part[edges[:-1]], pa.int32()),
+                     "bucket": pa.array(np.full(len(edges) - 1, key[0].as_py()), pa.int32()),
+                     "low": _packed(values[which], edges),
+                     "counts": _packed(np.minimum(counts[which], 65535).astype("<u2"), edges)})
 
 
 def _prefixes(buckets: int, width: int, percent: int) -> Callable:
@@ -186,11 +183,15 @@ def _prefix_rows(doc_ids: pa.Array, texts: pa.Array, keys: np.ndarray, counts: n
         key = (_bucket(value, buckets).astype(np.uint64) << _BITS) | (value & _LOW)
         at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
         times = np.where(keys[at] == key, counts[at].astype(np.int64), 1)
-    by = np.lexsort((value, times, doc))
-    rank = np.arange(len(value)) - np.repeat(edges[:-1], n)
-    probe = np.repeat(n - -(-percent * n // 100) + 1, n)
-    keep = (rank < probe) & (times[by] > 1)
-    kept, kept_rank, kept_doc = value[by][keep], rank[keep], doc[keep]
+    # A text's shingles of its own come first and are not kept; only the others are put in order.
+    alone = np.bincount(doc[times == 1], minlength=len(n))
+    probe = n - -(-percent * n // 100) + 1
+    some = np.flatnonzero((times > 1) & (alone < probe)[doc])
+    some = some[np.lexsort((value[some], times[some], doc[some]))]
+    begin = np.searchsorted(doc[some], np.arange(len(n)))
+    rank = np.arange(len(some)) - begin[doc[some]] + alone[doc[some]]
+    keep = rank < probe[doc[some]]
+    kept, kept_rank, kept_doc = value[some][keep], rank[keep], doc[some][keep]
     lists = np.searchsorted(kept_doc, np.arange(len(n) + 1)).astype(np.int32)
     with np.errstate(over="ignore"):
         sums = [np.add.reduceat(np.append(mix(value ^ np.uint64(c)), np.uint64(0)), np.minimum(edges[:-1], len(value)))
@@ -213,8 +214,9 @@ def document_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     slim = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(LEAST_PARTS, math.ceil(size / PART_BYTES))
-    placed = slim.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int"))
-    shared = (placed.select("part", "text").mapInArrow(_blobs(parts, width), BLOB_SCHEMA)
+    # Both uses of the parts read one exchange.
+    placed = slim.withColumn("part", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int"))
+    shared = (placed.groupBy("part").applyInArrow(_blobs(parts, width), BLOB_SCHEMA)
               .groupBy("bucket").applyInArrow(_count_bucket, SHARED_SCHEMA))
     sets = (placed.groupBy("part").cogroup(shared.groupBy("part"))
             .applyInArrow(_prefixes(parts, width, percent), SET_SCHEMA))
@@ -304,6 +306,20 @@ def _link_counts(nodes: DataFrame, percent: int) -> DataFrame:
             .groupBy("rep").agg(F.sum("links").alias("links")))
 
 
+def _with_blocks(nodes: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``nodes`` with their component's ``blocks`` of ``sizes`` (``_c, _n, blocks``). Large
+    components are few, so their rows can stand under every salt."""
+    large = (sizes.filter(F.col("_n") >= HOT_COMPONENT)
+             .select("_c", F.col("blocks").alias("_large"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_s")))
+    salt = F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")
+    met = nodes.withColumn("_salt", salt).join(
+        large, (F.col("component") == F.col("_c")) & (F.col("_salt") == F.col("_s")), "left").drop("_c", "_s", "_salt")
+    rest = (met.filter("_large is null").drop("_large")
+            .join(sizes.filter(F.col("_n") < HOT_COMPONENT).select("_c", "blocks"), F.col("component") == F.col("_c")))
+    return (met.filter("_large is not null").withColumnRenamed("_large", "blocks")
+            .union(rest.select("node", "component", "links", "blocks")))
+
+
 def _pairs(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -353,30 +369,36 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         postings.groupBy("token").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"))
         .filter("_lo <> _hi").select(F.col("token").alias("_t")), "jaccard-split")
     left = materialize(postings.join(split, F.col("token") == F.col("_t"), "left_semi"), "jaccard-left")
-    again = (left.alias("x").join(left.alias("y"), (F.col("x.token") == F.col("y.token"))
-                                  & (F.col("x.gid") < F.col("y.gid"))
-                                  & (F.col("x.component") != F.col("y.component"))
-                                  & _may_link("x", "y", percent))
-             .select(*_pairs("x.gid", "y.gid")).distinct())
+    heads = materialize(left.groupBy("token", "component").agg(F.min("n").alias("lo"), F.max("n").alias("hi")),
+                        "jaccard-heads")
+    across = (heads.alias("x").join(heads.alias("y"), (F.col("x.token") == F.col("y.token"))
+                                    & (F.col("x.component") < F.col("y.component"))
+                                    & (100 * F.col("x.hi") >= percent * F.col("y.lo"))
+                                    & (100 * F.col("y.hi") >= percent * F.col("x.lo")))
+              .select(F.col("x.token").alias("_t"), F.col("x.component").alias("_c"), F.col("y.component").alias("_d")))
+    again = (left.alias("x").join(across, (F.col("x.token") == F.col("_t")) & (F.col("x.component") == F.col("_c")))
+             .join(left.alias("y"), (F.col("y.token") == F.col("_t")) & (F.col("y.component") == F.col("_d")))
+             .filter(_may_link("x", "y", percent)).select(*_pairs("x.gid", "y.gid")).distinct())
     second = materialize(again.join(first, ["a", "b"], "left_anti"), "jaccard-pairs")
     all_links = materialize(links.union(_verified(second, whole, percent)), "jaccard-links")
     final = components(all_links)
     made = (all_links.select(F.explode(F.array("a", "b")).alias("_d")).groupBy("_d")
             .agg(F.count(F.lit(1)).alias("links")))
-    nodes = materialize(final.join(made, F.col("node") == F.col("_d")).select("node", "component", "links"),
-                        "jaccard-nodes")
-    # Where every pair of a component is a made link, nothing is left to count.
-    partial = materialize(
-        nodes.groupBy("component").agg(F.count(F.lit(1)).alias("_n"), F.sum("links").alias("_s"))
-        .filter("_s < _n * (_n - 1)").select(F.col("component").alias("_c"), "_n"), "jaccard-partial")
-    inner = nodes.join(partial, F.col("component") == F.col("_c")).select("node", "component", "_n")
-    weight = (inner.join(active.select("rep", F.octet_length("shingles").alias("_b")), F.col("node") == F.col("rep"))
-              .groupBy(F.col("component").alias("_w")).agg(F.greatest(
-                  F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("_b") / BLOCK_BYTES)).alias("blocks")))
+    nodes = materialize(
+        final.join(made, F.col("node") == F.col("_d"))
+        .join(active.select("rep", F.octet_length("shingles").alias("_b")), F.col("node") == F.col("rep"))
+        .select("node", "component", "links", "_b"), "jaccard-nodes")
+    # Where every pair of a component is a made link, nothing is left to count: no blocks.
+    sizes = materialize(
+        nodes.groupBy("component").agg(F.count(F.lit(1)).alias("_n"), F.sum("links").alias("_s"), F.sum("_b").alias("_b"))
+        .select(F.col("component").alias("_c"), "_n", F.when(F.expr("_s < _n * (_n - 1)"), F.greatest(
+            F.ceil(F.col("_n") / BLOCK_SETS), F.ceil(F.col("_b") / BLOCK_BYTES))).otherwise(0).alias("blocks")),
+        "jaccard-sizes")
+    split_nodes = materialize(_with_blocks(nodes.select("node", "component", "links"), sizes), "jaccard-blocks")
     counted = _link_counts(
-        inner.join(weight, F.col("component") == F.col("_w")).join(whole, F.col("node") == F.col("rep"))
+        split_nodes.filter("blocks > 0").join(whole, F.col("node") == F.col("rep"))
         .select("rep", "component", "blocks", "shingles"), percent)
-    whole_components = nodes.join(partial, F.col("component") == F.col("_c"), "left_anti")
+    whole_components = split_nodes.filter("blocks = 0")
     degree = materialize(whole_components.select(F.col("node").alias("_d"), "links")
                          .union(counted.select("rep", "links")), "jaccard-degree")
     known = materialize(

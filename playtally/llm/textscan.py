@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +11,8 @@ import pyarrow.compute as pc
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
-_BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))  # odd
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, so that they have inverses
+_STEP = 1 << 17  # bytes hashed at a time
 
 
 def byte_class(*ranges: Iterable[int]) -> np.ndarray:
@@ -32,6 +34,30 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+@lru_cache(2 * len(_BASES))
+def _powers(base: int, size: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size, base, np.uint64))))
+
+
+def _polynomials(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+    """``sum((byte + 1) * base ** place)`` of every word, modulo 2 ** 64: differences of running
+    sums over some words at a time, moved back to place 0 by the base's inverse."""
+    out, inverse, i = np.zeros(len(starts), np.uint64), pow(base, -1, 1 << 64), 0
+    while i < len(starts):
+        low = starts[i]
+        j = max(i + 1, int(np.searchsorted(ends, low + _STEP, side="right")))
+        size = int(ends[j - 1] - low)
+        # A word longer than a step has tables of its own, which are not remembered.
+        table = _powers if size <= _STEP else _powers.__wrapped__
+        power, back = table(base, max(size, _STEP)), table(inverse, _STEP)
+        sums = np.zeros(size + 1, np.uint64)
+        np.cumsum((raw[low:low + size].astype(np.uint64) + np.uint64(1)) * power[:size], out=sums[1:])
+        out[i:j] = (sums[ends[i:j] - low] - sums[starts[i:j] - low]) * back[starts[i:j] - low]
+        i = j
+    return out
+
+
 def scan_words(texts: pa.Array, word_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit ids of all texts' words, and where each text's words begin (one entry more).
 
@@ -50,19 +76,16 @@ def scan_words(texts: pa.Array, word_bytes: np.ndarray) -> tuple[np.ndarray, np.
     begins[1:] &= ~word[:-1]
     cuts = offsets[:-1][offsets[:-1] < len(raw)]
     begins[cuts] = word[cuts]  # a text's first byte never continues the text before
-    starts = np.flatnonzero(begins)
+    ends = word.copy()
+    ends[:-1] &= ~word[1:]
+    ends[cuts[cuts > 0] - 1] = word[cuts[cuts > 0] - 1]
+    starts, ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     if not len(starts):
         return none
-    where = np.flatnonzero(word)
-    first = np.searchsorted(where, starts)
-    length = np.diff(np.append(first, len(where)))
-    inside = np.arange(len(where)) - np.repeat(first, length)
-    value = raw[where].astype(np.uint64) + np.uint64(1)
     ids = np.zeros(len(starts), np.uint64)
     with np.errstate(over="ignore"):
         for base in _BASES:
-            power = np.cumprod(np.concatenate(([np.uint64(1)], np.full(int(length.max()), base))))
-            ids = mix(ids ^ np.add.reduceat(value * power[inside], first)) + length.astype(np.uint64)
+            ids = mix(ids ^ _polynomials(raw, starts, ends, base)) + (ends - starts).astype(np.uint64)
     return ids, np.searchsorted(starts, offsets)
 
 

@@ -218,3 +218,68 @@ print(json.dumps([time.process_time() - start, (resource.getrusage(resource.RUSA
     seconds, mb, *got = json.loads(said.stdout)
     assert got == [3000, 120_014, 120_016, 14, "7", [0, 120_014], 0]
     assert seconds < 6 and mb < 500
+
+
+def test_word_ids_do_not_depend_on_the_step(monkeypatch):
+    """Ids by running sums over small and large steps, words longer than a step, against a plain sum."""
+    from playtally.llm import textscan
+
+    rng = random.Random(9)
+    texts = ["", "a", " a", "a ", "x" * 700 + " y", "  "] + [
+        "".join(rng.choices("aB \n\té", k=rng.randint(0, 40))) for _ in range(300)]
+    want, power = [], [[pow(int(b), i, 1 << 64) for i in range(701)] for b in textscan._BASES]
+    for word in re.findall(r"[^\x20\x09-\x0D]+", lower("\n".join(texts))):
+        value, raw = 0, word.encode()
+        for table in power:
+            total = sum((byte + 1) * table[i] for i, byte in enumerate(raw)) % (1 << 64)
+            value = (int(textscan.mix(np.array([value ^ total], np.uint64))[0]) + len(raw)) % (1 << 64)
+        want.append(value)
+    for step in (1 << 17, 64):
+        monkeypatch.setattr(textscan, "_STEP", step)
+        textscan._powers.cache_clear()
+        ids, edges = textscan.scan_words(pa.array(texts), textscan.NOT_SPACE)
+        assert ids.tolist() == want and edges[-1] == len(want)
+    textscan._powers.cache_clear()
+
+
+def test_cells_hold_many_shingles():
+    """A part's rows of packed shingles with the part counts of 30 GB and of 1 TB of text."""
+    rng = np.random.default_rng(4)
+    size = join.PART_BYTES // 4
+    letters = rng.integers(97, 123, size, dtype=np.uint8)
+    letters[rng.random(size) < 1 / 5.5] = 32
+    texts = [letters[i:i + 4000].tobytes().decode() for i in range(0, size, 4000)]
+    part = pa.table({"doc_id": range(len(texts)), "text": texts, "part": [3] * len(texts)})
+    for parts in (1280, 42_000):
+        rows = join._blobs(parts, 4)([pa.scalar(3)], part)
+        shingles = sum(len(x.as_py()) for x in rows["low"]) // 4
+        assert rows["bucket"].to_pylist() == sorted(set(rows["bucket"].to_pylist()))
+        assert shingles / len(rows) * 4 >= 85  # a quarter of a part
+    # Each once, or twice where several texts hold it.
+    twice = pa.table({"doc_id": [1, 2, 3, 4], "text": ["a b c d", "a b c d", "a b c d e", None], "part": [0] * 4})
+    rows = join._blobs(2, 4)([pa.scalar(0)], twice)
+    assert sum(len(x.as_py()) for x in rows["low"]) // 4 == 3
+
+
+def test_a_family_beside_one_more_text(spark):
+    """Second meeting: a stray set that shares shingles with a large family, and families that meet
+    over a hub that links with neither, against all pairs."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(40):
+        own = list(base)
+        own[rng.randrange(60)] = f"x{i}"
+        rows.append((i + 10, " ".join(own)))
+    rows.append((1, " ".join(base[:12])))                                   # shares shingles, links with none
+    rows.append((2, " ".join(base[:56] + [f"y{k}" for k in range(4)])))     # links with some
+    rows += [(100 + i, " ".join(base[:50] + [f"z{k}" for k in range(10)] + [f"q{i}"])) for i in range(10)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert components_of(join.similar_documents(table)) == brute_components(rows)
+
+
+def test_large_components_are_salted(spark, monkeypatch):
+    monkeypatch.setattr(join, "HOT_COMPONENT", 3)
+    rows = near_copies()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert components_of(join.similar_documents(docs)) == brute_components(rows)
