@@ -240,6 +240,39 @@ def _may_link(x: str, y: str, percent: int) -> Column:
     return fits(x, y) | fits(y, x)
 
 
+def _heads(postings: DataFrame, keys: list[str], percent: int) -> DataFrame:
+    """Per ``keys``: range of sizes, most shingles from this one on, and whether any set has it
+    in its indexed prefix."""
+    early = F.col("rank") < F.expr(f"n - ({200 * percent} * n + {100 * (100 + percent) - 1}) div {100 * (100 + percent)} + 1")
+    return postings.groupBy(*keys).agg(F.min("n").alias("lo"), F.max("n").alias("hi"),
+                                       F.max(F.expr("n - rank")).alias("rest"), F.max(early).alias("early"))
+
+
+def _heads_may_link(x: str, y: str, percent: int) -> Column:
+    """Heads ``x`` and ``y`` of one shingle: can any two of their sets link by it?"""
+    return ((100 * F.col(f"{x}.hi") >= percent * F.col(f"{y}.lo")) & (100 * F.col(f"{y}.hi") >= percent * F.col(f"{x}.lo"))
+            & (F.least(f"{x}.rest", f"{y}.rest") >= _least_overlap(f"{x}.lo", f"{y}.lo", percent))
+            & ((F.col(f"{x}.early") & (F.col(f"{x}.lo") <= F.col(f"{y}.hi")))
+               | (F.col(f"{y}.early") & (F.col(f"{y}.lo") <= F.col(f"{x}.hi")))))
+
+
+def _across(heads: DataFrame, percent: int) -> DataFrame:
+    """``_t, _c, _d, h``: shingles at which sets of components ``_c`` < ``_d`` may link, with the head of ``_d``."""
+    return (heads.alias("x").join(heads.alias("y"), (F.col("x.token") == F.col("y.token"))
+                                  & (F.col("x.component") < F.col("y.component")) & _heads_may_link("x", "y", percent))
+            .select(F.col("x.token").alias("_t"), F.col("x.component").alias("_c"), F.col("y.component").alias("_d"),
+                    F.struct("y.lo", "y.hi", "y.rest", "y.early").alias("h")))
+
+
+def _members_of(across: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``x, y`` of ``members`` that may link at an ``across`` row: members that fit the other
+    component's head first, then pairs."""
+    one = members.alias("x").join(across, (F.col("x.token") == F.col("_t")) & (F.col("x.component") == F.col("_c"))
+                                  & _heads_may_link("x", "h", percent))
+    return one.join(members.alias("y"), (F.col("y.token") == F.col("_t")) & (F.col("y.component") == F.col("_d"))
+                    & _may_link("x", "y", percent))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The ``a, b`` pairs whose whole sets link."""
 
@@ -369,16 +402,9 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         postings.groupBy("token").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"))
         .filter("_lo <> _hi").select(F.col("token").alias("_t")), "jaccard-split")
     left = materialize(postings.join(split, F.col("token") == F.col("_t"), "left_semi"), "jaccard-left")
-    heads = materialize(left.groupBy("token", "component").agg(F.min("n").alias("lo"), F.max("n").alias("hi")),
-                        "jaccard-heads")
-    across = (heads.alias("x").join(heads.alias("y"), (F.col("x.token") == F.col("y.token"))
-                                    & (F.col("x.component") < F.col("y.component"))
-                                    & (100 * F.col("x.hi") >= percent * F.col("y.lo"))
-                                    & (100 * F.col("y.hi") >= percent * F.col("x.lo")))
-              .select(F.col("x.token").alias("_t"), F.col("x.component").alias("_c"), F.col("y.component").alias("_d")))
-    again = (left.alias("x").join(across, (F.col("x.token") == F.col("_t")) & (F.col("x.component") == F.col("_c")))
-             .join(left.alias("y"), (F.col("y.token") == F.col("_t")) & (F.col("y.component") == F.col("_d")))
-             .filter(_may_link("x", "y", percent)).select(*_pairs("x.gid", "y.gid")).distinct())
+    ranged = materialize(_heads(left, ["token", "component", "gid", "n", "rank"], percent), "jaccard-ranged")
+    across = _across(materialize(_heads(left, ["token", "component"], percent), "jaccard-heads"), percent)
+    again = _members_of(across, ranged, percent).select(*_pairs("x.gid", "y.gid")).distinct()
     second = materialize(again.join(first, ["a", "b"], "left_anti"), "jaccard-pairs")
     all_links = materialize(links.union(_verified(second, whole, percent)), "jaccard-links")
     final = components(all_links)
