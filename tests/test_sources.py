@@ -64,3 +64,26 @@ def test_jdbc_options():
         jdbc.jdbc_options("jdbc:x", "t", partition_column="id")
     with pytest.raises(ValueError):
         jdbc.read_jdbc(None, "jdbc:x", "t", style="nope")
+
+
+def test_a_stored_group_of_events_is_made_and_replayed_by_several_tasks(spark, scratch):
+    """One row group of events, in the order of time: many tasks make the lines, and a batch is released
+    as files that several tasks read."""
+    from playtally.session import partition_values
+    from playtally.sources.messages import read_table, spread_messages
+    from playtally.streaming.replay import StagedReplay
+
+    (spark.range(0, 400_000, 1, 1).selectExpr("id as event_id", "timestamp_seconds(1704067200 + id * 6) as ts",
+                                              "id % 1999 as user_id", "concat('{\"k\": ', id % 90, '}') as props")
+     .write.parquet(f"{scratch}/events.parquet"))
+    assert read_table(spark, scratch, "events").count() == 400_000
+    rows = spread_messages(spark, scratch)
+    assert rows.rdd.getNumPartitions() > 1
+    assert rows.select(F.count("*"), F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)"))).first() == \
+        read_messages(spark, scratch).select(F.count("*"), F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)"))).first()
+    replay = StagedReplay(spark, rows, f"{scratch}/stage", rows_per_file=10_000)
+    replay.release(0)
+    stored = spark.read.parquet(replay.inbox)
+    assert partition_values(spark, replay.source, "batch_id") == [0, 1, 2, 3, 4, 5]
+    assert stored.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= 10_000
+    assert len(stored.inputFiles()) >= stored.count() / 10_000 > 1
