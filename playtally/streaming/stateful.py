@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +35,9 @@ TOTALS_SCHEMA = "target_id BIGINT, view_count BIGINT, batch_id BIGINT"
 SUMS_SCHEMA = "target_id BIGINT, batch_id BIGINT, batch_count BIGINT"
 NOTICES_SCHEMA = "target_id BIGINT, notice_key STRING, view_count BIGINT, batch_id BIGINT"
 
+# Groups of targets, one state entry each (see threshold_state).
+STATE_GROUPS = 1 << 12
+
 
 def running_totals(decoded: DataFrame) -> DataFrame:
     return (accepted(decoded).groupBy("target_id")
@@ -72,35 +76,59 @@ def latest_totals(spark: SparkSession, out_dir: str) -> DataFrame:
             .agg(F.max_by("view_count", "batch_id").alias("view_count")))
 
 
+# One target's state, packed: a group's targets stand end to end in one binary value.
+_ENTRY = np.dtype([("target", "<i8"), ("total", "<i8"), ("last", "<i8"), ("told", "?")])
+
+
 def _advance(limit: int):
-    """The notice operator's step for one target: its new batches (``batch_id, batch_count``), oldest
-    first, on the state ``(view_count, notified, last_batch)``."""
+    """The notice operator's step for a group of targets: their new sums (``target_id, batch_id,
+    batch_count``), each target's oldest batch first, on the packed state of the group."""
 
     def step(key, frames, state):
-        total, told, last = state.get if state.exists else (0, False, -1)
-        rows = pd.concat(list(frames)).groupby("batch_id", sort=True)["batch_count"].sum()
-        crossed = None
-        for batch, count in rows.items():
+        sums: dict[tuple[int, int], int] = {}
+        for frame in frames:
+            for target, batch, count in zip(frame["target_id"].tolist(), frame["batch_id"].tolist(),
+                                            frame["batch_count"].tolist(), strict=True):
+                sums[target, batch] = sums.get((target, batch), 0) + count
+        held = np.frombuffer(bytes(state.get[0]), _ENTRY) if state.exists else np.zeros(0, _ENTRY)
+        at = dict(zip(held["target"].tolist(), range(len(held)), strict=True))
+        fresh = sorted({target for target, _ in sums} - at.keys())
+        at.update(zip(fresh, range(len(held), len(held) + len(fresh)), strict=True))
+        entries = np.zeros(len(at), _ENTRY)
+        entries[:len(held)] = held
+        entries["target"][len(held):], entries["last"][len(held):] = fresh, -1
+        crossed = []
+        for target, batch in sorted(sums):
+            _, total, last, told = entries[at[target]].item()
             if 0 <= batch <= last:      # a batch that failed before its mark and was written again
                 continue
-            total, last = total + int(count), max(last, int(batch))
+            total += sums[target, batch]
             if not told and total > limit:
-                told, crossed = True, (total, int(batch))
-        state.update((total, told, last))
+                told = True
+                crossed.append((target, total, batch))
+            entries[at[target]] = (target, total, max(last, batch), told)
+        state.update((entries.tobytes(),))
         if crossed:
-            yield pd.DataFrame({"target_id": [key[0]], "view_count": [crossed[0]], "batch_id": [crossed[1]]})
+            yield pd.DataFrame(crossed, columns=["target_id", "view_count", "batch_id"])
 
     return step
 
 
-def threshold_state(sums: DataFrame, limit: int = DEFAULT_LIMIT) -> DataFrame:
+def threshold_state(sums: DataFrame, limit: int = DEFAULT_LIMIT, groups: int = STATE_GROUPS) -> DataFrame:
     """``target_id, view_count, batch_id`` of each target's first crossing, from a stream of
     ``target_id, batch_id, batch_count``: one stateful operator holds total, notice flag and the
-    last batch of a target. ``batch_id`` -1 stands for the micro-batch itself."""
+    last batch of a target. ``batch_id`` -1 stands for the micro-batch itself.
+
+    Targets are dealt by hash over ``groups`` groups, the operator's keys: a call into Python costs
+    the same for one target and for a hundred, so a micro-batch costs ``groups`` calls at most. The
+    checkpoint fixes the number; a group's state (25 bytes a target) is rewritten when one of its
+    targets has a sum, so give more of them for hundreds of millions of targets."""
     share_package(sums.sparkSession)
-    return sums.groupBy("target_id").applyInPandasWithState(
+    group = F.pmod(F.xxhash64("target_id"), F.lit(groups)).cast("int")
+    return sums.select(group.alias("target_group"), "target_id", "batch_id", "batch_count").groupBy(
+        "target_group").applyInPandasWithState(
         _advance(limit), "target_id BIGINT, view_count BIGINT, batch_id BIGINT",
-        "view_count BIGINT, notified BOOLEAN, last_batch BIGINT", "update", GroupStateTimeout.NoTimeout)
+        "targets BINARY", "update", GroupStateTimeout.NoTimeout)
 
 
 def _partial_sums(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -112,7 +140,7 @@ def _partial_sums(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]
 
 
 def start_threshold_notices(decoded: DataFrame, out_dir: str, checkpoint: str,
-                            limit: int = DEFAULT_LIMIT, trigger: dict | None = None) -> StreamingQuery:
+                            limit: int = DEFAULT_LIMIT, trigger: dict | None = None, groups: int = STATE_GROUPS) -> StreamingQuery:
     """Write each micro-batch's new notices to ``out_dir/batch_id=N``. Counts are summed before the
     shuffle (a hot target sends one row an Arrow batch); no earlier notice is read."""
     refuse_lost_checkpoint(decoded.sparkSession, out_dir, checkpoint)
@@ -123,12 +151,12 @@ def start_threshold_notices(decoded: DataFrame, out_dir: str, checkpoint: str,
         (found.select("target_id", notice_key().alias("notice_key"), "view_count")
          .write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch_id={int(batch_id)}"))
 
-    return (threshold_state(sums, limit).writeStream.outputMode("update").foreachBatch(write)
+    return (threshold_state(sums, limit, groups).writeStream.outputMode("update").foreachBatch(write)
             .option("checkpointLocation", checkpoint).trigger(**(trigger or DEFAULT_TRIGGER)).start())
 
 
 def start_delta_notices(spark: SparkSession, out_dir: str, checkpoint: str, limit: int = DEFAULT_LIMIT,
-                        trigger: dict | None = None) -> StreamingQuery:
+                        trigger: dict | None = None, groups: int = STATE_GROUPS) -> StreamingQuery:
     """Notices of a running job (started with ``notify=False``) from its stored per-batch sums: the
     job decodes once, and a notice carries the job's own batch id, whichever micro-batch of this
     query finds it. Written to the job's ``notices/batch_id=N``, a folder for each micro-batch.
@@ -151,12 +179,13 @@ def start_delta_notices(spark: SparkSession, out_dir: str, checkpoint: str, limi
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id", "epoch").parquet(lay.table("notices")))
 
-    return (threshold_state(deltas, limit).writeStream.outputMode("update").foreachBatch(write)
+    return (threshold_state(deltas, limit, groups).writeStream.outputMode("update").foreachBatch(write)
             .option("checkpointLocation", checkpoint).trigger(**(trigger or DEFAULT_TRIGGER)).start())
 
 
 def start_split_job(messages: DataFrame, out_dir: str, checkpoint: str, limit: int = DEFAULT_LIMIT,
-                    trigger: dict | None = None, strip: bool = True) -> list[StreamingQuery]:
+                    trigger: dict | None = None, strip: bool = True,
+                    groups: int = STATE_GROUPS) -> list[StreamingQuery]:
     """The job for very large key spaces: the stateless job writes deltas, rejected rows, metrics
     and the ledger; a stateful query over its deltas keeps totals and notice flags in the state
     store, so that a batch never reads other targets' history. Notices carry the job's batch ids.
@@ -168,4 +197,4 @@ def start_split_job(messages: DataFrame, out_dir: str, checkpoint: str, limit: i
     first = start_job(messages, out_dir, f"{ck}/job", limit=limit, trigger=trigger, strip=strip, notify=False)
     if trigger and ("availableNow" in trigger or "once" in trigger):
         first.awaitTermination()
-    return [first, start_delta_notices(messages.sparkSession, out_dir, f"{ck}/notices", limit, trigger)]
+    return [first, start_delta_notices(messages.sparkSession, out_dir, f"{ck}/notices", limit, trigger, groups)]

@@ -194,3 +194,29 @@ def test_delivery_refuses_a_lost_checkpoint(spark, scratch):
     with pytest.raises(RuntimeError, match="no commit log"):
         start_delivery(rows, f"{scratch}/out", f"{scratch}/other", ONCE)
     assert _rows(read_delivered(spark, f"{scratch}/out", "id BIGINT"), "id") == [(0,), (1,), (2,)]
+
+
+def test_targets_share_state_entries(spark, scratch):
+    """Many targets in few groups: one state entry (and one call into Python) a group, and every
+    target still has its own total, flag and first crossing."""
+    rows = [(b, t, (t * 7 + b * 5) % 13 - 3) for b in range(3) for t in range(-100, 100)] + [(1, 5, 2**40 % 97)] * 3
+    expected, totals, told = [], {}, set()
+    for b in range(3):
+        for t in {t for n, t, _ in rows if n == b}:
+            totals[t] = totals.get(t, 0) + sum(c for n, k, c in rows if n == b and k == t)
+            if t not in told and totals[t] > 10:
+                told.add(t)
+                expected.append((b, t, totals[t]))
+    replay = StagedReplay(spark, _messages(spark, rows), f"{scratch}/stage")
+    entries = []
+
+    def start(s):
+        query = stateful.start_threshold_notices(decode_messages(s), f"{scratch}/nt", f"{scratch}/ck", 10, ONCE, groups=4)
+        query.awaitTermination()
+        entries.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+        return query
+
+    replay.run(start)
+    got = spark.read.schema(stateful.NOTICES_SCHEMA).parquet(f"{scratch}/nt")
+    assert _rows(got, "batch_id", "target_id", "view_count") == sorted(expected)
+    assert entries == [4, 4, 4]
