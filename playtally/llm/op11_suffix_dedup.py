@@ -47,8 +47,9 @@ from playtally.session import materialize
 WIDTH = 50
 GRAM = 24
 HOT = 200                 # documents with an anchor from which on windows are dealt one by one
+HASHED = 1 << 15          # windows hashed together
 RUN = 64                  # windows of a piece, at most: one bit each in an answer
-PART_BYTES = 12 << 20     # text of a part, about
+PART_BYTES = 6 << 20      # text of a part, about: a task holds some thirty times as much
 BUCKET_BYTES = 96 << 20   # text for each anchor bucket
 SHARD_BYTES = 6 << 20     # text for each shard
 SORT_BYTES = 1 << 20      # pieces sorted together, about
@@ -303,8 +304,10 @@ class _Pieces:
         by_anchor = w.anchor[rep]
         single = np.flatnonzero(w.single[rep])
         if len(single):                         # single windows are dealt by their own content
-            data, _ = _gather(part.raw, self.start[single], np.full(len(single), width))
-            by_anchor[single] = content_hash(data.reshape(len(single), width))
+            for at in range(0, len(single), HASHED):
+                some = single[at:at + HASHED]
+                data, _ = _gather(part.raw, self.start[some], np.full(len(some), width))
+                by_anchor[some] = content_hash(data.reshape(len(some), width))
         self.shard = (mix(by_anchor) % np.uint64(shards)).astype(np.int64)
         self.order = np.argsort(self.shard, kind="stable")
         held = self.shard[self.order]

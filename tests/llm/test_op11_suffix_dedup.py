@@ -141,3 +141,27 @@ def test_a_parts_rows_may_come_in_any_order():
     answers = pa.concat_tables([shared, *(op._answer_pieces(50, 3000)(g) for g in groups(pieces, "shard"))])
     both = [sorted(map(repr, op._spans(3, 4, 50)(t, answers).to_pylist())) for t in (one, other)]
     assert both[0] == both[1]
+
+
+def test_memory_of_a_part(spark):
+    """A part of the usual size whose windows are all shared, one anchor in twenty of them hot."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    texts = [rng.integers(97, 123, 3000, dtype=np.uint8).tobytes() for _ in range(op.PART_BYTES // 3000)]
+    docs = pa.table({"part": pa.array([0] * len(texts), pa.int32()), "doc_id": pa.array(range(len(texts)), pa.int64()),
+                     "digest": [hashlib.sha256(t).digest() for t in texts], "text": pa.array(texts, pa.binary())})
+    sent = op._send_anchors(4, 50)(docs, op._message_table([], op._SHARED, 0, [], []))
+    low = sent["low"].to_pylist()
+    hot = [(np.arange(len(v) // 4) % 20 == 0).tobytes() for v in low]
+    messages = op._message_table([0] * len(low), op._SHARED, 0, low, hot).set_column(2, "slot", sent["bucket"].combine_chunks())
+    tracemalloc.start()
+    try:
+        out = op._send_pieces(4, 8, 50)(docs, messages)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(len(v) for v in out["sizes"].to_pylist()) > len(texts) * 100
+    assert peak < 150 << 20
